@@ -67,16 +67,21 @@ def batch_bounds(msgs: DataFrame, n: int) -> dict | None:
             "last_m": row["last"]["message_id"], "n": row["n"]}
 
 
+def batch_condition(bounds: dict):
+    """Predicate selecting the batch described by ``bounds``."""
+    t = F.coalesce(F.col("event_time"), F.lit(MIN_LONG))
+    in_top = (t < F.lit(bounds["last_t"])) | ((t == F.lit(bounds["last_t"]))
+                                               & (F.col("message_id") <= F.lit(bounds["last_m"])))
+    cond = in_top
+    if bounds["lo"] is not None:
+        cond = cond | F.coalesce(F.col("event_time").between(bounds["lo"], bounds["hi"]), F.lit(False))
+    return cond
+
+
 def select_batch(msgs: DataFrame, n: int, bounds: dict | None = None) -> DataFrame:
     """First n unprocessed messages plus every other one whose event time
     falls inside their [min, max] (ties are never split across batches)."""
     bounds = bounds if bounds is not None else batch_bounds(msgs, n)
     if bounds is None:
         return msgs.limit(0)
-    t = F.coalesce(F.col("event_time"), F.lit(MIN_LONG))
-    in_top = (t < F.lit(bounds["last_t"])) | ((t == F.lit(bounds["last_t"]))
-                                               & (F.col("message_id") <= F.lit(bounds["last_m"])))
-    cond = in_top
-    if bounds["lo"] is not None:
-        cond = cond | F.col("event_time").between(bounds["lo"], bounds["hi"])
-    return msgs.filter(cond)
+    return msgs.filter(batch_condition(bounds))

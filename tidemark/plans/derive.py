@@ -134,16 +134,34 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(SENTINEL_NS).alias("valid_to"))))
     return c.select("message_id", F.col("op").alias("operation"), F.lit("dbo").alias("schema"),
                     F.lit(USER_STATE.name).alias("table"), "ts_ns", before.alias("before"),
-                    after.alias("after"), "key_id", F.col("ts_ns").alias("event_time"))
+                    after.alias("after"),
+                    F.when((F.col("op") != "d") | F.col("before_valid_from").isNotNull(), F.col("key_id"))
+                    .alias("key_id"), F.col("ts_ns").alias("event_time"))
 
 
-def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``customer_last_order`` change log: first order creates, later ones update."""
+def order_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(main, archive) of the source table ``customer_last_order``."""
     use_utc(spark)
-    o = table(spark, sf_dir, "orders").select(
+    o = _order_rows(spark, sf_dir)
+    n = neighbours(o, "o_custkey", "ts_ns", "o_orderkey", ["ts_ns"], width=365 * DAY_NS)
+    v = n.select("o_custkey", "o_orderkey", "o_totalprice", "order_date", F.col("ts_ns").alias("valid_from"),
+                 F.coalesce(F.col("next_ts_ns"), F.lit(SENTINEL_NS)).alias("valid_to"),
+                 F.col("next_ts_ns").isNull().alias("is_live"))
+    cols = LAST_ORDER.columns
+    return v.filter("is_live").select(*cols), v.filter(~F.col("is_live")).select(*cols)
+
+
+def _order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(
         "o_custkey", "o_orderkey", "o_totalprice",
         F.unix_date(F.col("o_orderdate").cast("date")).alias("order_date"),
         ts_to_ns(F.col("o_orderdate")).alias("ts_ns"))
+
+
+def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``customer_last_order`` change log: first order creates, later ones update."""
+    use_utc(spark)
+    o = _order_rows(spark, sf_dir)
     n = neighbours(o, "o_custkey", "ts_ns", "o_orderkey", ["o_orderkey", "o_totalprice", "order_date", "ts_ns"],
                    width=365 * DAY_NS)
     has_prev = F.col("prev_o_orderkey").isNotNull()
