@@ -38,14 +38,24 @@ def event_time_bounds(msgs: DataFrame) -> tuple[int | None, int | None]:
     return (row["lo"], row["hi"]) if row else (None, None)
 
 
+SLICE_NS = 3_600_000_000_000  # default slice width: one hour of event time
+
+
+def fixed_slice_expr(width_ns: int = SLICE_NS) -> Column:
+    """Monotone slice number from a fixed event-time width (no action needed).
+    A key has at most (batch span / width) slices."""
+    t = F.coalesce(F.col("event_time"), F.lit(MIN_LONG))
+    return F.floor(t.cast("double") / F.lit(float(width_ns))).cast("long")
+
+
 def slice_expr(lo: int | None, hi: int | None, slices: int) -> Column:
     """Monotone (non-decreasing in event time) slice number in [0, slices)."""
     if slices <= 1 or lo is None or hi is None or hi <= lo:
-        return F.lit(0)
+        return F.lit(0).cast("long")
     width = (float(hi) - float(lo)) / slices
     t = F.coalesce(F.col("event_time"), F.lit(lo)).cast("double")
     raw = F.floor((t - F.lit(float(lo))) / F.lit(width))
-    return F.least(F.greatest(raw, F.lit(0)), F.lit(slices - 1)).cast("int")
+    return F.least(F.greatest(raw, F.lit(0)), F.lit(slices - 1)).cast("long")
 
 
 def applicable(msgs: DataFrame, spec: TableSpec) -> DataFrame:
@@ -61,16 +71,21 @@ def applicable(msgs: DataFrame, spec: TableSpec) -> DataFrame:
         & ((op == "d") | (op.isin("c", "u") & F.col("after").isNotNull())))
 
 
-def slice_summaries(msgs: DataFrame, spec: TableSpec, slices: int = 16,
-                    bounds: tuple[int | None, int | None] | None = None) -> DataFrame:
-    """One row per (key, slice): the slice's effect on absent and present rows."""
+def slice_summaries(msgs: DataFrame, spec: TableSpec, slices: int | None = None,
+                    bounds: tuple[int | None, int | None] | None = None,
+                    slice_ns: int = SLICE_NS) -> DataFrame:
+    """One row per (key, slice): the slice's effect on absent and present rows.
+
+    Slices are fixed ``slice_ns`` event-time ranges, or -- when the caller
+    knows the batch's event-time ``bounds`` -- ``slices`` equal ranges."""
     m = applicable(msgs, spec)
-    if slices > 1 and bounds is None:
-        bounds = event_time_bounds(m)
-    lo, hi = bounds if bounds else (None, None)
+    if slices and bounds is not None:
+        sl = slice_expr(bounds[0], bounds[1], slices)
+    else:
+        sl = fixed_slice_expr(slice_ns)
     op = F.col("_op")
     o = F.col("_o")
-    m = m.select(F.col("key_id").alias("_k"), slice_expr(lo, hi, slices).alias("_s"),
+    m = m.select(F.col("key_id").alias("_k"), sl.alias("_s"),
                  F.col("operation").alias("_op"), order_key().alias("_o"), F.col("after").alias("_img"))
     w = Window.partitionBy("_k", "_s")
     m = m.withColumn("_d", F.max(F.when(op == "d", o)).over(w))
@@ -98,7 +113,7 @@ def _current_as_summaries(current: DataFrame, spec: TableSpec) -> DataFrame:
     st = spec.struct
     row = F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in st.fields])
     return current.select(
-        F.col(spec.key).cast("long").alias("_k"), F.lit(-1).alias("_s"), F.lit(True).alias("abs_exists"),
+        F.col(spec.key).cast("long").alias("_k"), F.lit(MIN_LONG).cast("long").alias("_s"), F.lit(True).alias("abs_exists"),
         row.alias("abs_row"), F.lit(REPLACED).alias("pres_kind"), row.alias("pres_row"))
 
 
@@ -119,8 +134,8 @@ def fold_summaries(summaries: DataFrame, spec: TableSpec) -> DataFrame:
     return folded.filter(F.col("_f.e") & F.col("_f.r").isNotNull()).select("_f.r.*")
 
 
-def apply_changes(current: DataFrame | None, msgs: DataFrame, spec: TableSpec, slices: int = 16,
-                  bounds: tuple[int | None, int | None] | None = None) -> DataFrame:
+def apply_changes(current: DataFrame | None, msgs: DataFrame, spec: TableSpec, slices: int | None = None,
+                  bounds: tuple[int | None, int | None] | None = None, slice_ns: int = SLICE_NS) -> DataFrame:
     """New current table = ``current`` with ``msgs`` applied (columns: spec row fields).
 
     ``msgs`` needs message_id, operation, table, ts_ns, after, key_id,
@@ -128,7 +143,7 @@ def apply_changes(current: DataFrame | None, msgs: DataFrame, spec: TableSpec, s
     caller passes are touched, so callers pass just the affected
     buckets of a large table.
     """
-    summ = slice_summaries(msgs, spec, slices, bounds)
+    summ = slice_summaries(msgs, spec, slices, bounds, slice_ns)
     if current is not None:
         summ = summ.unionByName(_current_as_summaries(current, spec))
     return fold_summaries(summ, spec)

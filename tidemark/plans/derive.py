@@ -177,7 +177,11 @@ def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("ts_ns").alias("event_time"))
 
 
-def raw_stream(spark: SparkSession, sf_dir: str, cutoff: int = T_CUTOFF) -> DataFrame:
+RECORD_KINDS = ("change", "duplicate", "tombstone", "malformed", "archive", "snapshot")
+
+
+def raw_stream(spark: SparkSession, sf_dir: str, cutoff: int = T_CUTOFF,
+               kinds: tuple[str, ...] = RECORD_KINDS, materialize: bool = True) -> DataFrame:
     """Raw stream records (Kafka column layout) for ``user_state``.
 
     Besides one envelope per change it carries what a real topic does:
@@ -228,7 +232,14 @@ def raw_stream(spark: SparkSession, sf_dir: str, cutoff: int = T_CUTOFF) -> Data
         envelope(F.lit("r"), USER_STATE.name, F.lit(cutoff), F.lit(None),
                  _image("user_id", "event_type", "value", "valid_from",
                         F.lit(SENTINEL_NS).alias("valid_to"))).alias("value"))
-    allrec = base.unionByName(dups).unionByName(tombs).unionByName(bad).unionByName(arch).unionByName(snap)
-    return allrec.select("topic", F.lit(0).alias("partition"), F.col("offset").cast("long").alias("offset"),
+    parts = {"change": base, "duplicate": dups, "tombstone": tombs, "malformed": bad, "archive": arch,
+             "snapshot": snap}
+    allrec = None
+    for kind in kinds:
+        allrec = parts[kind] if allrec is None else allrec.unionByName(parts[kind])
+    out = allrec.select("topic", F.lit(0).alias("partition"), F.col("offset").cast("long").alias("offset"),
                          F.col("key_id").cast("string").cast("binary").alias("key"), "value",
                          F.timestamp_micros(F.lit(0)).alias("timestamp"))
+    # The simulated topic is a source table: materialise it once (reliable
+    # checkpoint in spark.checkpoint.dir) instead of re-deriving per branch.
+    return out.checkpoint(eager=True) if materialize else out

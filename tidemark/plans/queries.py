@@ -68,7 +68,7 @@ def q_apply_archive(spark, sf):
 
 
 def _archive_topic_messages(spark, sf) -> DataFrame:
-    msgs = to_messages(_parsed(spark, sf), SPECS)
+    msgs = to_messages(parse_envelope(d.raw_stream(spark, sf, kinds=("archive",))), SPECS)
     return msgs.filter(F.col("table") == USER_STATE.archive_name)
 
 
@@ -323,7 +323,7 @@ def control_history(spark, sf) -> DataFrame:
         "ending_offset", (F.col("table_name") == USER_STATE.name).alias("is_validated"),
         F.lit(None).cast("long").alias("validated_date"))
     batches = _batch_history(spark, sf)
-    base = initial.unionByName(preload).unionByName(batches)
+    base = initial.unionByName(preload).unionByName(batches).checkpoint(eager=True)
     return base.unionByName(control.mark_validated(base, None, T_CUTOFF, version=1))
 
 
