@@ -206,22 +206,25 @@ def raw_stream(spark: SparkSession, sf_dir: str, cutoff: int = T_CUTOFF,
             b.alias("before"), a.alias("after")).alias("payload"))).cast("binary")
 
     main = c.select(F.lit(USER_STATE.topic).alias("topic"), F.col("message_id").alias("event_id"), "key_id", "op",
+                    "ts_ns",
                     envelope(F.col("op"), USER_STATE.name, F.col("ts_ns"), img_b, img_a).alias("value"))
-    base = main.select("topic", F.col("event_id").alias("offset"), "key_id", "value")
+    main = main.withColumn("_ts", F.col("ts_ns"))
+    base = main.select("topic", F.col("event_id").alias("offset"), "key_id", "value", "_ts")
     dups = main.filter(F.col("event_id") % 89 == 0).select(
-        "topic", (F.col("event_id") + DUP_OFFSET).alias("offset"), "key_id", "value")
+        "topic", (F.col("event_id") + DUP_OFFSET).alias("offset"), "key_id", "value", "_ts")
     tombs = main.filter(F.col("op") == "d").select(
         "topic", (F.col("event_id") + TOMBSTONE_OFFSET).alias("offset"), "key_id",
-        F.lit(None).cast("binary").alias("value"))
+        F.lit(None).cast("binary").alias("value"), "_ts")
     bad = main.filter(F.col("event_id") % 97 == 0).select(
         "topic", (F.col("event_id") + MALFORMED_OFFSET).alias("offset"), "key_id",
-        F.lit('{"payload": {"op": "c", "source": ').cast("binary").alias("value"))
+        F.lit('{"payload": {"op": "c", "source": ').cast("binary").alias("value"), "_ts")
     v = versions(spark, sf_dir)
     arch_img = _image("user_id", "event_type", "value", "valid_from", "valid_to")
     arch = v.filter(~F.col("is_live")).select(
         F.lit(USER_STATE.archive_topic).alias("topic"), F.col("event_id").alias("offset"),
         F.col("user_id").alias("key_id"),
-        envelope(F.lit("c"), USER_STATE.archive_name, F.col("valid_to"), F.lit(None), arch_img).alias("value"))
+        envelope(F.lit("c"), USER_STATE.archive_name, F.col("valid_to"), F.lit(None), arch_img).alias("value"),
+        F.col("valid_to").alias("_ts"))
     from tidemark.operators.temporal import rebuild_as_of
     mainv, archv = source_pair(spark, sf_dir)
     snap_rows = rebuild_as_of(mainv, archv, cutoff, USER_STATE).join(
@@ -231,7 +234,7 @@ def raw_stream(spark: SparkSession, sf_dir: str, cutoff: int = T_CUTOFF,
         F.col("user_id").alias("key_id"),
         envelope(F.lit("r"), USER_STATE.name, F.lit(cutoff), F.lit(None),
                  _image("user_id", "event_type", "value", "valid_from",
-                        F.lit(SENTINEL_NS).alias("valid_to"))).alias("value"))
+                        F.lit(SENTINEL_NS).alias("valid_to"))).alias("value"), F.lit(cutoff).alias("_ts"))
     parts = {"change": base, "duplicate": dups, "tombstone": tombs, "malformed": bad, "archive": arch,
              "snapshot": snap}
     allrec = None
@@ -239,7 +242,7 @@ def raw_stream(spark: SparkSession, sf_dir: str, cutoff: int = T_CUTOFF,
         allrec = parts[kind] if allrec is None else allrec.unionByName(parts[kind])
     out = allrec.select("topic", F.lit(0).alias("partition"), F.col("offset").cast("long").alias("offset"),
                          F.col("key_id").cast("string").cast("binary").alias("key"), "value",
-                         F.timestamp_micros(F.lit(0)).alias("timestamp"))
+                         F.timestamp_micros(F.call_function("div", F.col("_ts"), F.lit(1000))).alias("timestamp"))
     # The simulated topic is a source table: materialise it once (reliable
     # checkpoint in spark.checkpoint.dir) instead of re-deriving per branch.
     return out.checkpoint(eager=True) if materialize else out

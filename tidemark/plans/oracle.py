@@ -240,6 +240,10 @@ b AS (SELECT event_id, user_id, event_type, CASE WHEN event_id % 83 = 0 THEN val
 SELECT *, 'source' AS side FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) x
 UNION ALL
 SELECT *, 'target' AS side FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a) y""",
+    "stream_journal": BASE + """SELECT min("offset") AS message_id, operation, "schema", "table", ts_ns, key_id, event_time
+FROM recs WHERE operation <> 'r' GROUP BY operation, "schema", "table", ts_ns, key_id, event_time""",
+    "stream_apply": BASE + "SELECT * FROM v_main",
+    "stream_bootstrap": BASE + "SELECT * FROM oh",
     "preload_cutoff": BASE + f"SELECT COALESCE(max(valid_from), {T}) AS cutoff_ns FROM asof_h",
     "offset_history": BASE + "SELECT * FROM oh",
     "load_history": BASE + "SELECT * FROM bh",

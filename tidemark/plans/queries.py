@@ -23,7 +23,10 @@ from tidemark.operators.temporal import (archive_window_rows, rebuild_as_of, sna
 from tidemark.operators.validate import diff_summary, duplicate_keys, multiset_diff
 from tidemark.plans import derive as d
 from tidemark.plans.derive import LAST_ORDER, SPECS, T_CUTOFF, USER_STATE, WINDOW_HI, WINDOW_LO
-from tidemark.session import use_utc
+from tidemark.session import use_utc, work_dir
+from tidemark.sources.store import CdcStore
+from tidemark.sources.streams import read_topic_files
+from tidemark.streaming.pipeline import bootstrap, start_apply, start_journal
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -357,3 +360,58 @@ def q_offset_lookup(spark, sf):
 @query("starting_offsets")
 def q_starting_offsets(spark, sf):
     return control.offsets_json_column(control.offset_lookup(control_history(spark, sf), TOPICS))
+
+
+# ---------------------------------------------------------------- streaming
+STREAM_PARTS = 4   # micro-batches the simulated topic is split into (one file each, in time order)
+
+
+def write_topic(spark: SparkSession, sf: str, kinds: tuple[str, ...], parts: int = STREAM_PARTS) -> str:
+    """Write the simulated topic as ``parts`` files in record-time order, so a
+    file stream with maxFilesPerTrigger=1 replays it as ordered micro-batches."""
+    path = work_dir(spark, "topic")
+    raw = d.raw_stream(spark, sf, kinds=kinds)
+    ts = F.unix_micros(F.col("timestamp"))
+    cuts = raw.select(ts.alias("t")).approxQuantile("t", [i / parts for i in range(1, parts)], 0.001)
+    bounds = [None] + cuts + [None]
+    for lo, hi in zip(bounds[:-1], bounds[1:]):
+        cond = F.lit(True)
+        if lo is not None:
+            cond = cond & (ts > F.lit(lo))
+        if hi is not None:
+            cond = cond & (ts <= F.lit(hi))
+        raw.filter(cond).repartition(1).write.mode("append").parquet(path)
+    return path
+
+
+def _run_stream(spark, sf, kinds, start) -> CdcStore:
+    topic = write_topic(spark, sf, kinds)
+    root = work_dir(spark, "store")
+    store = CdcStore(spark, root, SPECS)
+    q = start(read_topic_files(spark, topic, max_files_per_trigger=1), store, f"{root}/_stream_checkpoint")
+    q.awaitTermination()
+    return store
+
+
+@query("stream_journal")
+def q_stream_journal(spark, sf):
+    store = _run_stream(spark, sf, d.RECORD_KINDS,
+                        lambda s, st, ck: start_journal(s, st, ck, available_now=True, loaded_at_ns=LOADED_AT))
+    return store.journal().select("message_id", "operation", "schema", "table", "ts_ns", "key_id", "event_time")
+
+
+@query("stream_apply")
+def q_stream_apply(spark, sf):
+    store = _run_stream(spark, sf, d.RECORD_KINDS,
+                        lambda s, st, ck: start_apply(s, st, ck, available_now=True, loaded_at_ns=LOADED_AT))
+    return store.current(USER_STATE)
+
+
+@query("stream_bootstrap")
+def q_stream_bootstrap(spark, sf):
+    store = _run_stream(spark, sf, ("snapshot",),
+                        lambda s, st, ck: bootstrap(s, st, ck, loaded_at_ns=LOADED_AT))
+    main, arch = d.source_pair(spark, sf)
+    starting = snapshot_size(main, arch, T_CUTOFF, USER_STATE, closed=True) \
+        .withColumnRenamed("ending_offset", "starting_offset")
+    return control.offset_history_rows(starting, store.journal(), LOADED_AT)
