@@ -115,10 +115,13 @@ def archive_window_rows(main: DataFrame, archive: DataFrame, lo: int, hi: int, s
 
 def suggest_cutoff(mains: list[DataFrame], col: str = "valid_from") -> DataFrame:
     """Second-latest distinct period start across tables (the min of the top
-    two), a safe default cut-off: a bounded top-2, no global sort."""
+    two distinct values; the latest if there is only one), a safe default
+    cut-off.  Two partial aggregates through a scalar subquery: no distinct
+    shuffle, no sort, no cross join."""
     starts = None
     for df in mains:
         s = df.select(F.col(col).alias("v"))
-        starts = s if starts is None else starts.union(s)
-    top2 = starts.distinct().orderBy(F.col("v").desc()).limit(2)
-    return top2.agg(F.min("v").alias("cutoff_ns"))
+        starts = s if starts is None else starts.unionByName(s)
+    return starts.sparkSession.sql(
+        "SELECT coalesce(max(v) FILTER (WHERE v < (SELECT max(v) FROM {s})), max(v)) AS cutoff_ns FROM {s}",
+        s=starts)

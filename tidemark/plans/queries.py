@@ -94,7 +94,7 @@ def apply_backlog(spark: SparkSession, msgs: DataFrame, spec, batch_rows: int) -
     """Apply a backlog in bounded batches (top-n with ties, in event-time
     order), cutting lineage after each batch with a reliable checkpoint."""
     current = None
-    remaining = msgs
+    remaining = msgs.checkpoint(eager=True)   # the backlog is scanned once per batch: materialise it once
     while True:
         bounds = batch_bounds(remaining, batch_rows)
         if bounds is None:
