@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.timeconv import SENTINEL_NS, ts_to_ns
-from tidemark.session import use_utc
+from tidemark.session import checkpoint_root, use_utc
 from tidemark.spec import TableSpec
 
 DAY_NS = 86_400 * 1_000_000_000
@@ -189,6 +189,7 @@ def raw_stream(spark: SparkSession, sf_dir: str, cutoff: int = T_CUTOFF,
     snapshot reads of the rows live at the cut-off, and envelopes on the
     archive topic.  The injections are chosen by event id.
     """
+    checkpoint_root(spark)
     c = changelog(spark, sf_dir)
     img_b = F.when(F.col("before_valid_from").isNotNull(), _image(
         F.col("key_id").alias("user_id"), F.col("before_event_type").alias("event_type"),

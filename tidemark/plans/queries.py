@@ -23,7 +23,7 @@ from tidemark.operators.temporal import (archive_window_rows, rebuild_as_of, sna
 from tidemark.operators.validate import diff_summary, duplicate_keys, multiset_diff
 from tidemark.plans import derive as d
 from tidemark.plans.derive import LAST_ORDER, SPECS, T_CUTOFF, USER_STATE, WINDOW_HI, WINDOW_LO
-from tidemark.session import use_utc, work_dir
+from tidemark.session import checkpoint_root, use_utc, work_dir
 from tidemark.sources.store import CdcStore
 from tidemark.sources.streams import read_topic_files
 from tidemark.streaming.pipeline import bootstrap, start_apply, start_journal
@@ -93,6 +93,7 @@ def q_apply_multi_table(spark, sf):
 def apply_backlog(spark: SparkSession, msgs: DataFrame, spec, batch_rows: int) -> DataFrame:
     """Apply a backlog in bounded batches (top-n with ties, in event-time
     order), cutting lineage after each batch with a reliable checkpoint."""
+    checkpoint_root(spark)
     current = None
     remaining = msgs.checkpoint(eager=True)   # the backlog is scanned once per batch: materialise it once
     while True:
@@ -114,6 +115,7 @@ def q_apply_in_batches(spark, sf):
 def q_late_messages(spark, sf):
     """Late data: every 7th message arrives one batch late and is applied
     after the on-time batch, in event-time order inside its own batch."""
+    checkpoint_root(spark)
     m = d.messages(spark, sf)
     on_time = m.filter(F.col("message_id") % 7 != 0)
     late = m.filter(F.col("message_id") % 7 == 0)
@@ -319,6 +321,7 @@ def q_load_history(spark, sf):
 def control_history(spark, sf) -> DataFrame:
     """History after bootstrap, preload (main validated, archive not yet)
     and one apply batch per day, with batches up to T marked validated."""
+    checkpoint_root(spark)
     initial = _offset_history(spark, sf)
     preload = initial.select(
         "table_name", F.lit(1).cast("long").alias("load_id"), F.lit(0).cast("long").alias("version"),
