@@ -110,9 +110,16 @@ def versions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("next_ts_ns").isNull().alias("is_live"))
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Store a derived input once (reliable checkpoint in spark.checkpoint.dir),
+    as the source and warehouse tables it stands for would be stored."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def source_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(main, archive) of the system-versioned source table ``user_state``."""
-    v = versions(spark, sf_dir)
+    v = materialize(versions(spark, sf_dir))
     cols = USER_STATE.columns
     return v.filter("is_live").select(*cols), v.filter(~F.col("is_live")).select(*cols)
 
@@ -181,7 +188,7 @@ RECORD_KINDS = ("change", "duplicate", "tombstone", "malformed", "archive", "sna
 
 
 def raw_stream(spark: SparkSession, sf_dir: str, cutoff: int = T_CUTOFF,
-               kinds: tuple[str, ...] = RECORD_KINDS, materialize: bool = True) -> DataFrame:
+               kinds: tuple[str, ...] = RECORD_KINDS, keep: bool = True) -> DataFrame:
     """Raw stream records (Kafka column layout) for ``user_state``.
 
     Besides one envelope per change it carries what a real topic does:
@@ -219,7 +226,7 @@ def raw_stream(spark: SparkSession, sf_dir: str, cutoff: int = T_CUTOFF,
     bad = main.filter(F.col("event_id") % 97 == 0).select(
         "topic", (F.col("event_id") + MALFORMED_OFFSET).alias("offset"), "key_id",
         F.lit('{"payload": {"op": "c", "source": ').cast("binary").alias("value"), "_ts")
-    v = versions(spark, sf_dir)
+    v = materialize(versions(spark, sf_dir))
     arch_img = _image("user_id", "event_type", "value", "valid_from", "valid_to")
     arch = v.filter(~F.col("is_live")).select(
         F.lit(USER_STATE.archive_topic).alias("topic"), F.col("event_id").alias("offset"),
@@ -246,4 +253,4 @@ def raw_stream(spark: SparkSession, sf_dir: str, cutoff: int = T_CUTOFF,
                          F.timestamp_micros(F.call_function("div", F.col("_ts"), F.lit(1000))).alias("timestamp"))
     # The simulated topic is a source table: materialise it once (reliable
     # checkpoint in spark.checkpoint.dir) instead of re-deriving per branch.
-    return out.checkpoint(eager=True) if materialize else out
+    return out.checkpoint(eager=True) if keep else out

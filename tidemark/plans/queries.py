@@ -242,7 +242,7 @@ def q_archive_window_rows(spark, sf):
 
 # ---------------------------------------------------------------- validation
 def _warehouse(spark, sf) -> tuple[DataFrame, DataFrame]:
-    msgs = d.messages(spark, sf)
+    msgs = d.materialize(d.messages(spark, sf))
     return apply_changes(None, msgs, USER_STATE), archive_rows(msgs, USER_STATE).drop("deleted")
 
 
