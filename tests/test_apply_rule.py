@@ -106,3 +106,38 @@ def test_archive_rows_update_and_delete(spark):
     out = archive_rows(spark.createDataFrame(rows, MSG_SCHEMA), SPEC).orderBy("valid_from").collect()
     assert [(r.v, r.valid_from, r.valid_to, r.deleted) for r in out] == [("old", 10, 20, False),
                                                                            ("new", 20, 30, True)]
+
+
+def test_late_messages_two_batches(spark):
+    """Second batch holds late messages: 'apply' replays them after the
+    first batch's result, 'ignore' drops those older than the live row."""
+    rng = random.Random(21)
+    first_rows, late_rows, seq = [], [], {}
+    mid = 0
+    for key in range(150):
+        for _ in range(rng.randint(1, 8)):
+            mid += 1
+            op = rng.choice("cuud")
+            t = rng.randint(0, 50)
+            img = None if op == "d" else _img(key, f"m{mid}", t)
+            row = (mid, op, "dbo", "items", t, None, None if img is None else json.dumps(img), key, t)
+            (late_rows if mid % 3 == 0 else first_rows).append(row)
+            seq.setdefault(key, []).append((t, mid, op, img, mid % 3 == 0))
+    exp_apply, exp_ignore = {}, {}
+    for key, msgs in seq.items():
+        s1 = replay(None, [m[:4] for m in msgs if not m[4]])
+        late = [m[:4] for m in msgs if m[4]]
+        a = replay(s1, late)
+        kept = [m for m in late if s1 is None or m[0] >= s1["valid_from"]]
+        b = replay(s1, kept)
+        if a is not None:
+            exp_apply[key] = a
+        if b is not None:
+            exp_ignore[key] = b
+    first = apply_changes(None, spark.createDataFrame(first_rows, MSG_SCHEMA), SPEC)
+    late_df = spark.createDataFrame(late_rows, MSG_SCHEMA)
+    for mode, expected in (("apply", exp_apply), ("ignore", exp_ignore)):
+        out = apply_changes(first, late_df, SPEC, late=mode).collect()
+        got = {r["id"]: {"id": r["id"], "v": r["v"], "valid_from": r["valid_from"], "valid_to": r["valid_to"]}
+               for r in out}
+        assert got == expected, mode

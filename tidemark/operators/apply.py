@@ -134,15 +134,34 @@ def fold_summaries(summaries: DataFrame, spec: TableSpec) -> DataFrame:
     return folded.filter(F.col("_f.e") & F.col("_f.r").isNotNull()).select("_f.r.*")
 
 
+def drop_late(current: DataFrame, msgs: DataFrame, spec: TableSpec) -> DataFrame:
+    """Messages older than the key's live row (event time before its
+    valid_from) are dropped; keys without a live row keep everything."""
+    live = current.select(F.col(spec.key).cast("long").alias("key_id"), F.col("valid_from").alias("_live_from"))
+    return (msgs.join(live, on="key_id", how="left")
+            .filter(F.col("_live_from").isNull() | F.col("event_time").isNull()
+                    | (F.col("event_time") >= F.col("_live_from")))
+            .drop("_live_from"))
+
+
 def apply_changes(current: DataFrame | None, msgs: DataFrame, spec: TableSpec, slices: int | None = None,
-                  bounds: tuple[int | None, int | None] | None = None, slice_ns: int = SLICE_NS) -> DataFrame:
+                  bounds: tuple[int | None, int | None] | None = None, slice_ns: int = SLICE_NS,
+                  late: str = "apply") -> DataFrame:
     """New current table = ``current`` with ``msgs`` applied (columns: spec row fields).
 
     ``msgs`` needs message_id, operation, table, ts_ns, after, key_id,
     event_time (the journal layout).  Only keys in ``current`` that the
     caller passes are touched, so callers pass just the affected
     buckets of a large table.
+
+    ``late="apply"`` (default, the reference's behaviour) applies late
+    messages after what is already applied; ``late="ignore"`` drops those
+    older than the live row.
     """
+    if late == "ignore" and current is not None:
+        msgs = drop_late(current, applicable(msgs, spec), spec)
+    elif late not in ("apply", "ignore"):
+        raise ValueError(f"late must be 'apply' or 'ignore', not {late!r}")
     summ = slice_summaries(msgs, spec, slices, bounds, slice_ns)
     if current is not None:
         summ = summ.unionByName(_current_as_summaries(current, spec))

@@ -111,16 +111,26 @@ def q_apply_in_batches(spark, sf):
     return apply_backlog(spark, d.messages(spark, sf), USER_STATE, BACKLOG_BATCH_ROWS)
 
 
-@query("late_messages")
-def q_late_messages(spark, sf):
-    """Late data: every 7th message arrives one batch late and is applied
-    after the on-time batch, in event-time order inside its own batch."""
+def _late(spark, sf, mode: str) -> DataFrame:
+    """Late data: every 7th message arrives one batch late; it is applied
+    after the on-time batch ("apply") or dropped when older than the live
+    row ("ignore")."""
     checkpoint_root(spark)
     m = d.messages(spark, sf)
     on_time = m.filter(F.col("message_id") % 7 != 0)
     late = m.filter(F.col("message_id") % 7 == 0)
     first = apply_changes(None, on_time, USER_STATE).checkpoint(eager=True)
-    return apply_changes(first, late, USER_STATE)
+    return apply_changes(first, late, USER_STATE, late=mode)
+
+
+@query("late_messages")
+def q_late_messages(spark, sf):
+    return _late(spark, sf, "apply")
+
+
+@query("late_messages_ignore")
+def q_late_messages_ignore(spark, sf):
+    return _late(spark, sf, "ignore")
 
 
 # ---------------------------------------------------------------- envelopes
