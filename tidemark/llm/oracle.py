@@ -4,6 +4,24 @@ from __future__ import annotations
 
 ORACLE: dict[str, str] = {}
 
+ORACLE["op2_suffix_dedup"] = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+s AS (SELECT doc_id, unnest(range(0, length(x) // 2 - 99)) AS i FROM d),
+h AS (SELECT s.doc_id, i, md5(substr(x, 2 * i + 1, 200)) AS k FROM s JOIN d USING (doc_id)),
+r AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS n FROM h) WHERE n > 1),
+g AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS new FROM r),
+p AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM g),
+m AS (SELECT doc_id, span, min(i) AS a, max(i) + 100 AS b FROM p GROUP BY doc_id, span),
+e AS (SELECT d.doc_id, x, coalesce(span, 0) AS span, a, b,
+             coalesce(lag(b) OVER (PARTITION BY d.doc_id ORDER BY a), 0) AS before,
+             row_number() OVER (PARTITION BY d.doc_id ORDER BY a DESC NULLS LAST) AS last
+      FROM d LEFT JOIN m USING (doc_id)),
+k AS (SELECT doc_id, x, a, b, CASE WHEN a IS NULL THEN x ELSE substr(x, 2 * before + 1, 2 * (a - before)) || CASE WHEN last = 1 THEN substr(x, 2 * b + 1) ELSE '' END END AS part FROM e)
+SELECT doc_id, (length(any_value(x)) // 2)::BIGINT AS n_bytes, coalesce(sum(b - a), 0)::BIGINT AS n_removed, count(a)::BIGINT AS n_spans,
+       sha256(unhex(string_agg(part, '' ORDER BY a))) AS kept_sha256
+FROM k GROUP BY doc_id
+"""
+
 ORACLE["op7_substring_dedup"] = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 s AS (SELECT doc_id, unnest(range(1, len(w) - 33)) AS i FROM d),
