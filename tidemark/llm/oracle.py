@@ -22,6 +22,24 @@ SELECT doc_id, (length(any_value(x)) // 2)::BIGINT AS n_bytes, coalesce(sum(b -
 FROM k GROUP BY doc_id
 """
 
+ORACLE["op6_decontaminate"] = r"""
+WITH words AS (SELECT *, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+items AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+iw AS (SELECT item_id, w, least(13, len(w)) AS n, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM items WHERE len(w) > 0),
+ik AS (SELECT DISTINCT item_id, n, md5(array_to_string(list_slice(w, i, i + n - 1), ' ')) AS k FROM iw),
+dw AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM words, (SELECT DISTINCT n FROM ik) WHERE len(w) >= n),
+dk AS (SELECT doc_id, n, i, md5(array_to_string(list_slice(w, i, i + n - 1), ' ')) AS k FROM dw),
+found AS (SELECT doc_id, item_id, n, i FROM dk JOIN ik USING (n, k)),
+per AS (SELECT doc_id, len(list_distinct(flatten(list(range(i, i + n))))) AS n_hit FROM found GROUP BY doc_id),
+its AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+        FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM found) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM words LEFT JOIN per USING (doc_id) LEFT JOIN its USING (doc_id)
+"""
+
 ORACLE["op7_substring_dedup"] = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 s AS (SELECT doc_id, unnest(range(1, len(w) - 33)) AS i FROM d),

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.decontaminate import decontaminate
 from tidemark.llm.suffix_dedup import dedup_suffixes
 from tidemark.llm.substring_dedup import dedup_substrings
 
@@ -21,9 +22,16 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return dedup_substrings(docs).select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_suffix_dedup, op7_substring_dedup)}
+REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_suffix_dedup, op6_decontaminate, op7_substring_dedup)}
