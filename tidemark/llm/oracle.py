@@ -22,6 +22,19 @@ SELECT doc_id, (length(any_value(x)) // 2)::BIGINT AS n_bytes, coalesce(sum(b -
 FROM k GROUP BY doc_id
 """
 
+ORACLE["op5_embedding_near_dedup"] = r"""
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS u, b.vec_id AS w FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+r AS (SELECT vec_id AS u, vec_id AS c FROM embeddings UNION SELECT l.w, r.c FROM r JOIN l ON l.u = r.u),
+c AS (SELECT u, min(c) AS component_id FROM r GROUP BY u),
+n AS (SELECT u, count(*) AS n_links FROM l GROUP BY u)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings e JOIN c ON c.u = e.vec_id LEFT JOIN n ON n.u = e.vec_id
+"""
+
 ORACLE["op6_decontaminate"] = r"""
 WITH words AS (SELECT *, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.decontaminate import decontaminate
+from tidemark.llm.embedding_dedup import embedding_components
+from tidemark.llm.simhash import simhash_components
 from tidemark.llm.suffix_dedup import dedup_suffixes
 from tidemark.llm.substring_dedup import dedup_substrings
 
@@ -22,6 +24,11 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embedding_components(table(spark, sf_dir, "embeddings"))
+    return found.select("row.vec_id", "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate(docs, table(spark, sf_dir, "benchmark"))
@@ -34,4 +41,9 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(docs).select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_suffix_dedup, op6_decontaminate, op7_substring_dedup)}
+def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash_components(docs).select("row.doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_suffix_dedup, op5_embedding_near_dedup, op6_decontaminate, op7_substring_dedup, op10_simhash_near_dedup)}
