@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.decontaminate import decontaminate
 from tidemark.llm.embedding_dedup import embedding_components
+from tidemark.llm.packing import pack_documents
 from tidemark.llm.simhash import simhash_components
 from tidemark.llm.suffix_dedup import dedup_suffixes
 from tidemark.llm.substring_dedup import dedup_substrings
+from tidemark.llm.token_files import read_token_files, write_token_files
+from tidemark.session import work_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +27,13 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = work_dir(spark, "token-files")
+    write_token_files(docs, path)
+    return read_token_files(spark, path)
+
+
 def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = embedding_components(table(spark, sf_dir, "embeddings"))
     return found.select("row.vec_id", "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
@@ -41,9 +51,14 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(docs).select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pack_documents(docs, with_ids=False).select("row.doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash_components(docs).select("row.doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_suffix_dedup, op5_embedding_near_dedup, op6_decontaminate, op7_substring_dedup, op10_simhash_near_dedup)}
+REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_suffix_dedup, op4_token_files, op5_embedding_near_dedup, op6_decontaminate, op7_substring_dedup, op9_pack, op10_simhash_near_dedup)}
