@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import field, packed, quoted, text_bytes, texts
+from tidemark.llm.common import field, packed, quoted, share, text_bytes, texts
 from tidemark.llm.hashing import Spans, Words, chunks, covered, mix, ranges
 
 SIZE = 13
@@ -55,8 +55,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     for part in range(n):
         # at most part_bytes, give or take what chance deals to a part
         mine = items.filter(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == part).collect()
-        index = docs.sparkSession.sparkContext.broadcast(Index([r.id for r in mine], [(r.text or "").encode() for r in mine], size))
-        found = found.mapInArrow(lambda batches, index=index: search(batches, index.value), schema)
+        index = share(docs.sparkSession, Index([r.id for r in mine], [(r.text or "").encode() for r in mine], size))
+        found = found.mapInArrow(lambda batches, index=index: search(batches, index()), schema)
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
     return found.select("doc.row", "doc.text", "n_words", hit.alias("n_hit"), "spans", F.sort_array("items").alias("items")).withColumn(
         "contaminated", F.expr("n_hit > 0 and 20 * n_hit >= n_words"))

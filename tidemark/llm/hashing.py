@@ -13,7 +13,7 @@ import numpy as np
 
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
-CHUNK_BYTES = 1 << 20  # how much text is hashed at once: bounds the working arrays, not the work
+CHUNK_BYTES = 1 << 19  # how much text is hashed at once: bounds the working arrays, not the work
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.decontaminate import decontaminate
 from tidemark.llm.embedding_dedup import embedding_components
+from tidemark.llm.language_id import held_out, identify, learn
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.simhash import simhash_components
 from tidemark.llm.suffix_dedup import dedup_suffixes
@@ -27,6 +28,12 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = identify(docs.select("doc_id", "text"), learn(docs))
+    return found.select("row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = work_dir(spark, "token-files")
@@ -61,4 +68,4 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(docs).select("row.doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_suffix_dedup, op4_token_files, op5_embedding_near_dedup, op6_decontaminate, op7_substring_dedup, op9_pack, op10_simhash_near_dedup)}
+REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_suffix_dedup, op3_language_id, op4_token_files, op5_embedding_near_dedup, op6_decontaminate, op7_substring_dedup, op9_pack, op10_simhash_near_dedup)}

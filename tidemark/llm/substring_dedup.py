@@ -53,7 +53,12 @@ def windows(docs: list[bytes], size: int):
 
 
 def distinct(docs: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
-    every = np.sort(np.concatenate([np.zeros(0, np.uint64), *[h for _, _, _, h in windows(docs, size)]]))
+    return distinct_flags(np.concatenate([np.zeros(0, np.uint64), *[h for _, _, _, h in windows(docs, size)]]))
+
+
+def distinct_flags(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values, sorted, and whether each occurs more than once."""
+    every = np.sort(values)
     new = np.ones(len(every), bool)
     new[1:] = every[1:] != every[:-1]
     first = np.flatnonzero(new)

@@ -11,16 +11,18 @@ bytes.  About one position in forty is an anchor.
    one suffix for each distinct context (all windows of one anchor,
    with the anchor's place in it): the earliest; the others are known
    repeats.
-2. Sampled splitters range-partition the suffixes by leading bytes into
-   buckets; a suffix carries its context.
-3. A bucket sorts its suffixes by a multikey sort (eight bytes a round,
+2. The leads' hashes are counted over all blocks (as in substring_dedup);
+   a suffix whose lead occurs once has no partner and stays at home.
+3. Sampled splitters range-partition the other suffixes by leading bytes
+   into buckets; a suffix carries its context.
+4. A bucket sorts its suffixes by a multikey sort (eight bytes a round,
    only what is still tied goes on), compares neighbours, and looks into
    the windows of those only that share the lead with another suffix:
    which of them starts earlier elsewhere.
-4. Leads so frequent that they fill whole buckets (they fall on several
+5. Leads so frequent that they fill whole buckets (they fall on several
    equal splitters) are spread over buckets by whole windows instead,
    so that these groups are compared across bucket bounds exactly.
-5. One bit for each window comes back to its block, which removes what
+6. One bit for each window comes back to its block, which removes what
    repeated windows cover.
 
 The order of places is (id, offset); rows of equal id count as one after
@@ -40,12 +42,12 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import BLOCK_BYTES, block_count, blocks, field, packed, result, texts
 from tidemark.llm.hashing import Spans, byte_values, chunks, covered, mix, ranges
+from tidemark.llm.substring_dedup import MESSAGES, count, distinct_flags, limits, member, messages, pack
 
 SIZE = 100
 LEAD = 32
 SAMPLES_PER_BUCKET = 100
 MAX_SAMPLES = 1 << 20  # bound of the splitter sample on the driver, as rows of LEAD bytes
-MESSAGES = "block int, bucket int, body binary"
 NULL_ID = -(1 << 63)
 
 
@@ -61,8 +63,11 @@ def dedup_suffixes(docs: DataFrame, key: str = "doc_id", text: str = "text", siz
     cuts, hot = splitters(given, size, n)
     shared = docs.sparkSession.sparkContext.broadcast((cuts, hot))
     dealt = blocks(given, n)
-    sent = dealt.groupBy("block").applyInArrow(lambda t: send(t, size, n, *shared.value), MESSAGES)
-    repeated = sent.groupBy("bucket").applyInArrow(lambda t: resolve(t, size), MESSAGES)
+    leads = dealt.groupBy("block").applyInArrow(lambda t: send_leads(t, size, n), MESSAGES)
+    counted = leads.groupBy("bucket").applyInArrow(count, MESSAGES)
+    sent = dealt.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(
+        lambda t, answers: send(t, answers, size, n, *shared.value), MESSAGES)
+    repeated = sent.groupBy("bucket").applyInArrow(lambda t: resolve(t, size, n), MESSAGES)
     return dealt.groupBy("block").cogroup(repeated.groupBy("block")).applyInArrow(
         lambda t, answers: cut(t, answers, size, n, *shared.value), out)
 
@@ -100,7 +105,7 @@ class Contexts:
         self.data, self.lo, self.anchor, self.size = data, lo, anchor, size
         self.n = hi - lo  # windows start at lo, lo + 1, ... (n of them)
         self.offsets = offsets
-        self.hash = np.zeros(0, np.uint64)
+        self.hash = self.lead = np.zeros(0, np.uint64)  # of the whole context, and of its lead
 
     def leads(self, pick: np.ndarray | slice = slice(None)) -> np.ndarray:
         at = self.anchor[pick, None] + np.arange(LEAD)
@@ -119,7 +124,8 @@ def contexts(docs: list[bytes], size: int):
             yield Contexts(data, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), size, offsets)
             continue
         spans = Spans(values[data])
-        least = mix(spans.fixed(LEAD)) & ~np.uint64(0xFFFFFFFF) | np.arange(len(data) - LEAD + 1, dtype=np.uint64)
+        leads = mix(spans.fixed(LEAD))
+        least = leads & ~np.uint64(0xFFFFFFFF) | np.arange(len(data) - LEAD + 1, dtype=np.uint64)
         width, step = size - LEAD + 1, 1
         while 2 * step <= width:
             least = np.minimum(least[:-step], least[step:])
@@ -133,6 +139,7 @@ def contexts(docs: list[bytes], size: int):
         out = Contexts(data, lo, lo + n, anchor[new], size, offsets)
         place = (out.anchor - lo).astype(np.uint64) << np.uint64(32) | n.astype(np.uint64)
         out.hash = mix(spans.hash(lo, lo + n + size - 1) + place * np.uint64(0x9E3779B97F4A7C15))
+        out.lead = leads[out.anchor] & ~np.uint64(1)
         yield out
 
 
@@ -154,13 +161,19 @@ class Block:
         self.parts = list(contexts(self.docs, size))
         every = np.concatenate([np.zeros(0, np.uint64), *[part.hash for part in self.parts]])
         self.first = firsts(every)
+        self.leads, self.twice = distinct_flags(np.concatenate([np.zeros(0, np.uint64), *[part.lead for part in self.parts]])[self.first])
+        self.sent = self.leads  # those that occur elsewhere
+
+    def cuts(self, n: int) -> np.ndarray:
+        return np.append(np.searchsorted(self.leads, limits(n)), len(self.leads))
 
     def walk(self, n: int, cuts: np.ndarray, hot: np.ndarray):
         """Per chunk: its first document, its contexts, and for the first of each distinct context in
-        the block: its index, bucket, and whether its lead is hot."""
+        the block, if its lead occurs elsewhere: its index, bucket, and whether its lead is hot."""
         base = done = 0
         for part in self.parts:
             pick = np.flatnonzero(self.first[done:done + len(part.hash)])
+            pick = pick[member(part.lead[pick], self.sent)]
             bucket, spread = placed(part.leads(pick), cuts, hot)
             yield base, part, pick, bucket, spread
             base += len(part.offsets) - 1
@@ -205,19 +218,33 @@ def positions(part: Contexts, base: int, pick: np.ndarray, block: Block) -> tupl
     return block.ids[base + doc], part.lo[pick] - part.offsets[doc] + block.shift[base + doc]
 
 
-def messages(block: list[int], bucket: list[int], body: list[bytes]) -> pa.Table:
-    return pa.table({"block": pa.array(block, pa.int32()), "bucket": pa.array(bucket, pa.int32()), "body": pa.array(body, pa.binary())})
-
-
 def spread_bucket(hashes: np.ndarray, n: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
 
 
-def send(table: pa.Table, size: int, n: int, cuts: np.ndarray, hot: np.ndarray) -> pa.Table:
-    """The block's first contexts, and the windows of those with hot leads, by bucket."""
+def send_leads(table: pa.Table, size: int, n: int) -> pa.Table:
+    """Hashes of the leads of the block's first contexts, by hash range."""
+    if not table.num_rows:
+        return messages([], [], [])
+    block = Block(table, size)
+    bounds = block.cuts(n)
+    hashes = block.leads | block.twice.astype(np.uint64)
+    used = np.flatnonzero(np.diff(bounds))
+    return messages([table.column("block")[0].as_py()] * len(used), used.tolist(), [pack(hashes[bounds[b]:bounds[b + 1]]) for b in used])
+
+
+def send(table: pa.Table, answers: pa.Table, size: int, n: int, cuts: np.ndarray, hot: np.ndarray) -> pa.Table:
+    """The block's first contexts whose leads occur elsewhere, and the windows of those with hot leads,
+    by bucket; and for the block itself, the bits of its leads."""
     if not table.num_rows:
         return messages([], [], [])
     block = Block(table, size)
+    bounds = block.cuts(n)
+    many = np.zeros(len(block.leads), bool)
+    for bucket, body in zip(answers.column("bucket").to_pylist(), answers.column("body").to_pylist(), strict=True):
+        lo, hi = bounds[bucket], bounds[bucket + 1]
+        many[lo:hi] = np.unpackbits(np.frombuffer(body, np.uint8), count=hi - lo)
+    block.sent = block.leads[many]
     whole: list[list[tuple]] = [[] for _ in range(n)]
     for base, part, pick, bucket, spread in block.walk(n, cuts, hot):
         ids, offs = positions(part, base, pick, block)
@@ -232,7 +259,8 @@ def send(table: pa.Table, size: int, n: int, cuts: np.ndarray, hot: np.ndarray)
     single = {b: (hashes[r], ids[r], offs[r]) for b, r in grouped(spread_bucket(hashes, n))}
     used = [b for b in range(n) if whole[b] or b in single]
     number = table.column("block")[0].as_py()
-    return messages([number] * len(used), used, [encode(whole[b], single.get(b)) for b in used])
+    body = [encode(whole[b], single.get(b)) for b in used]
+    return messages([number] * (len(used) + 1), [*used, n + number], [*body, np.packbits(many).tobytes()])
 
 
 def grouped(bucket: np.ndarray):
@@ -286,10 +314,10 @@ def multikey(data: np.ndarray, start: np.ndarray, length: int) -> tuple[np.ndarr
     return rows, group
 
 
-def resolve(table: pa.Table, size: int) -> pa.Table:
-    """For each message, a bit per window: an equal window starts earlier."""
-    if not table.num_rows:
-        return messages([], [], [])
+def resolve(table: pa.Table, size: int, n_buckets: int) -> pa.Table:
+    """For each message, a bit per window: an equal window starts earlier.  What a block sends to itself stays as it is."""
+    if not table.num_rows or table.column("bucket")[0].as_py() >= n_buckets:
+        return table.select(["block", "bucket", "body"])
     parts = [decode(b) for b in table.column("body").to_pylist()]
     n, place, ids, offs, data, hashes, wid, woff = (np.concatenate([p[i] for p in parts]) for i in range(8))
     n, place = n.astype(np.int64), place.astype(np.int64)
@@ -354,6 +382,7 @@ def cut(table: pa.Table, answers: pa.Table, size: int, n: int, cuts: np.ndarray,
     block = Block(table, size)
     bits = {b: np.unpackbits(np.frombuffer(x, np.uint8)).astype(bool)
             for b, x in zip(answers.column("bucket").to_pylist(), answers.column("body").to_pylist(), strict=True)}
+    block.sent = block.leads[bits[n + table.column("block")[0].as_py()][:len(block.leads)]]
     hashes, _, _, first = block.spread_windows(n, cuts, hot)
     late, read = np.ones(len(hashes), bool), np.zeros(n, np.int64)  # a window that the block has before is a repeat
     own = np.flatnonzero(first)
@@ -361,8 +390,11 @@ def cut(table: pa.Table, answers: pa.Table, size: int, n: int, cuts: np.ndarray,
         late[own[r]] = bits[b][:len(r)]
         read[b] = len(r)
     rows: list[tuple] = []
+    done = 0
     for _, part, pick, bucket, spread in block.walk(n, cuts, hot):
-        repeated = np.ones(int(part.n.sum()), bool)  # so are all windows of a context that the block has before
+        # so are all windows of a context that the block has before; those whose lead occurs once are not
+        repeated = np.repeat(~block.first[done:done + len(part.n)], part.n)
+        done += len(part.n)
         first_window = np.cumsum(part.n) - part.n
         plain = np.flatnonzero(~spread)
         for b, r in grouped(bucket[plain]):
