@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from tidemark.llm.decontaminate import decontaminate
 from tidemark.llm.embedding_dedup import embedding_components
 from tidemark.llm.language_id import held_out, identify, learn
+from tidemark.llm.lm_scoring import score_documents
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.simhash import simhash_components
 from tidemark.llm.suffix_dedup import dedup_suffixes
 from tidemark.llm.substring_dedup import dedup_substrings
 from tidemark.llm.token_files import read_token_files, write_token_files
+from tidemark.llm.warc import as_responses, derivatives, read_warc, write_warc
 from tidemark.session import work_dir
 
 
@@ -22,6 +24,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    responses = as_responses(table(spark, sf_dir, "pages"))
+    files = write_warc(derivatives(responses), work_dir(spark, "warc"))
+    head = lambda name: F.element_at("headers", name)
+    read = read_warc(spark, files).select(
+        head("WARC-Refers-To").alias("refers_to"), head("WARC-Type").alias("record_type"), head("WARC-Record-ID").alias("record_id"),
+        head("WARC-Concurrent-To").alias("concurrent_to"), head("WARC-Target-URI").alias("target_uri"),
+        head("WARC-Source-Payload-Digest").alias("source_payload_digest"), head("WARC-Block-Digest").alias("block_digest"),
+        F.length("block").cast("long").alias("n_bytes"), F.sha2("block", 256).alias("block_sha256"))
+    return read.join(responses.select("row.page_id", F.col("record_id").alias("refers_to")), "refers_to")
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return dedup_suffixes(docs).select("row.doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
@@ -58,6 +72,12 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(docs).select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    good = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+    return score_documents(docs, good).select("row.doc_id", "n_tokens", "loss_target", "loss_background", "score")
+
+
 def op9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pack_documents(docs, with_ids=False).select("row.doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -68,4 +88,4 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(docs).select("row.doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_suffix_dedup, op3_language_id, op4_token_files, op5_embedding_near_dedup, op6_decontaminate, op7_substring_dedup, op9_pack, op10_simhash_near_dedup)}
+REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc_derivatives, op2_suffix_dedup, op3_language_id, op4_token_files, op5_embedding_near_dedup, op6_decontaminate, op7_substring_dedup, op8_lm_scoring, op9_pack, op10_simhash_near_dedup)}

@@ -52,14 +52,15 @@ NULL_ID = -(1 << 63)
 
 
 def dedup_suffixes(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIZE,
-                   carry: list[str] | None = None, block_bytes: int = BLOCK_BYTES // 2) -> DataFrame:
+                   carry: list[str] | None = None, block_bytes: int = BLOCK_BYTES // 2, as_text: bool = False) -> DataFrame:
     """One row per input row: ``row`` (carried columns), ``n_bytes``, ``n_removed``, ``spans`` (maximal
-    removed byte ranges [start, end)) and ``kept`` (remaining bytes concatenated, binary)."""
+    removed byte ranges [start, end)) and ``kept`` (remaining bytes concatenated, binary; with ``as_text``
+    a string, without what is left of characters that a cut split)."""
     if size < LEAD:
         raise ValueError(f"size must be at least {LEAD}")
     n = block_count(docs, text, block_bytes)
     given = packed(docs, key, text, carry)
-    out = result(given, "n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary")
+    out = result(given, "n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept " + ("string" if as_text else "binary"))
     cuts, hot = splitters(given, size, n)
     shared = docs.sparkSession.sparkContext.broadcast((cuts, hot))
     dealt = blocks(given, n)
@@ -69,7 +70,7 @@ def dedup_suffixes(docs: DataFrame, key: str = "doc_id", text: str = "text", siz
         lambda t, answers: send(t, answers, size, n, *shared.value), MESSAGES)
     repeated = sent.groupBy("bucket").applyInArrow(lambda t: resolve(t, size, n), MESSAGES)
     return dealt.groupBy("block").cogroup(repeated.groupBy("block")).applyInArrow(
-        lambda t, answers: cut(t, answers, size, n, *shared.value), out)
+        lambda t, answers: cut(t, answers, size, n, *shared.value, as_text), out)
 
 
 def splitters(given: DataFrame, size: int, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -377,7 +378,7 @@ def repeats(data: np.ndarray, start: np.ndarray, n: np.ndarray, place: np.ndarra
     return flags
 
 
-def cut(table: pa.Table, answers: pa.Table, size: int, n: int, cuts: np.ndarray, hot: np.ndarray) -> pa.Table:
+def cut(table: pa.Table, answers: pa.Table, size: int, n: int, cuts: np.ndarray, hot: np.ndarray, as_text: bool) -> pa.Table:
     """Remove what repeated windows cover, document by document."""
     block = Block(table, size)
     bits = {b: np.unpackbits(np.frombuffer(x, np.uint8)).astype(bool)
@@ -416,8 +417,10 @@ def cut(table: pa.Table, answers: pa.Table, size: int, n: int, cuts: np.ndarray,
             edge = np.flatnonzero(np.diff(mine, prepend=False, append=False)).tolist() if removed else []
             rows.append((int(b - a), removed, [{"start": s, "end": e} for s, e in zip(edge[0::2], edge[1::2], strict=True)],
                          part.data[a:b][~mine].tobytes()))
+    if as_text:
+        rows = [(*r[:3], r[3].decode(errors="ignore")) for r in rows]
     columns = list(zip(*rows, strict=True)) or [(), (), (), ()]
     return pa.table({"row": field(table, "row").take(pa.array(block.order)), "n_bytes": pa.array(columns[0], pa.int64()),
                      "n_removed": pa.array(columns[1], pa.int64()),
                      "spans": pa.array(columns[2], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                     "kept": pa.array(columns[3], pa.binary())})
+                     "kept": pa.array(columns[3], pa.string() if as_text else pa.binary())})
