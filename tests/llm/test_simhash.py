@@ -1,0 +1,88 @@
+import re
+
+import numpy as np
+import xxhash
+
+from tests.llm import fixtures
+from tidemark.llm import simhash as sh
+
+
+def fingerprint(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    pieces = [" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+    hashes = [xxhash.xxh64_intdigest(p.encode(), 42) for p in pieces]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def components(ids, prints):
+    label = list(range(len(ids)))
+    while True:
+        new = [min(label[j] for j in range(len(ids)) if (prints[i] ^ prints[j]).bit_count() <= 2) for i in range(len(ids))]
+        if new == label:
+            break
+        label = new
+    least = {}
+    for i, c in zip(ids, label, strict=True):
+        if i is not None and (c not in least or least[c] is None or i < least[c]):
+            least[c] = i
+        least.setdefault(c, None)
+    return [least[c] for c in label]
+
+
+def test_matches_brute_force(spark):
+    rows = fixtures.rows() + [(2000 + i, fixtures.prose("near", 400) + f" {i}", "r", 1, 1, "k", 1, 1) for i in range(12)]
+    got = sh.simhash_components(spark.createDataFrame(rows, fixtures.SCHEMA)).collect()
+    prints = [fingerprint(r[1]) for r in rows]
+    want = components([r[0] for r in rows], prints)
+    assert sorted((str(g.row.doc_id), g.bits % 2**64, str(g.component_id)) for g in got) == sorted(
+        (str(r[0]), p, str(c)) for r, p, c in zip(rows, prints, want, strict=True))
+    assert len({str(g.component_id) for g in got if (g.row.doc_id or 0) >= 2000}) == 1
+
+
+def test_one_of_each_stays(spark):
+    rows = fixtures.rows()
+    want = components([r[0] for r in rows], [fingerprint(r[1]) for r in rows])
+    got = sh.keep_one_of_each(fixtures.documents(spark))
+    assert got.columns == fixtures.documents(spark).columns
+    assert sorted(str(g.doc_id) for g in got.collect()) == sorted({str(c) for c in want})
+    assert {tuple(g) for g in got.collect()} <= set(rows)
+
+
+def test_empty_table(spark):
+    assert sh.simhash_components(fixtures.empty(spark)).collect() == []
+    assert sh.keep_one_of_each(fixtures.empty(spark)).collect() == []
+
+
+def test_trie_join_finds_all_pairs():
+    rng = np.random.default_rng(1)
+    values = []
+    for base in rng.integers(0, 2**64, 30, dtype=np.uint64):
+        for _ in range(40):
+            x = int(base)
+            for k in rng.integers(0, 64, rng.integers(0, 5)):
+                x ^= 1 << int(k)
+            values.append(x)
+    v = np.unique(np.array([*values, 0, 1, 3, 7, 2**64 - 1], np.uint64))
+    near = np.bitwise_count(v[:, None] ^ v[None]) <= 2
+    got = [p for i, j in sh.trie_join(v, v, True, 2) for p in zip(i.tolist(), j.tolist(), strict=True)]
+    assert sorted(got) == [tuple(p) for p in np.argwhere(np.triu(near, 1)).tolist()]
+    x, y = v[::2], v[1::2]
+    got = [p for i, j in sh.trie_join(x, y, False, 2) for p in zip(i.tolist(), j.tolist(), strict=True)]
+    assert sorted(got) == [tuple(p) for p in np.argwhere(near[::2, 1::2]).tolist()]
+
+
+def test_cut_nodes_meet_wherever_prints_link():
+    rng = np.random.default_rng(2)
+    v = np.unique(np.concatenate([rng.integers(0, 2**64, 4000, dtype=np.uint64), rng.integers(0, 2**40, 3000, dtype=np.uint64)]))
+    top, count = np.unique((v >> np.uint64(48)).astype(np.int64), return_counts=True)
+    node, partners = sh.cut_trie(top, count, 8, 2)
+    assert len(partners) > 4
+    met = {(i, j) for i, later in enumerate(partners) for j in later} | {(i, i) for i in range(len(partners))}
+    own = node[(v >> np.uint64(48)).astype(np.int64)]
+    for i in range(0, len(v), 97):
+        for bits in ((), (63,), (63, 50), (49, 48), (60, 3)):
+            x = int(v[i])
+            for b in bits:
+                x ^= 1 << b
+            j = node[x >> 48]
+            assert j < 0 or tuple(sorted((int(own[i]), int(j)))) in met

@@ -95,6 +95,9 @@ def ngrams(docs: list[str]) -> tuple[np.ndarray, np.ndarray]:
     stay = is_letter | ends
     stay[1:] |= is_letter[:-1]  # the first of what follows a word
     points, is_letter, ends = points[stay], is_letter[stay], ends[stay]
+    stay = is_letter | ends
+    stay[:-1] |= ~ends[1:]  # the end of a text stands for the space before it
+    points, is_letter, ends = points[stay], is_letter[stay], ends[stay]
     values = np.where(is_letter, points, 32).astype(np.uint64)
     n = max(0, len(values) - GRAM + 1)
     out = np.zeros(n, np.uint64)
