@@ -8,7 +8,9 @@ import pytest
 import __spark_entry__ as contract
 
 SF = "/root/testdata/sf0.001"
-FAST = ["changelog", "apply_current", "apply_archive", "asof_rebuild", "asof_rebuild_reference", "snapshot_size",
+FAST = ["changelog", "apply_mixed", "apply_rejects", "late_messages", "late_messages_ignore", "batch_select_journal", "asof_rebuild_orders",
+        "validate_archive_window", "validate_preload", "validate_preload_archive", "validation_watermarks", "starting_offsets",
+        "apply_current", "apply_archive", "asof_rebuild", "asof_rebuild_reference", "snapshot_size",
         "window_rows", "archive_window_rows", "batch_select", "multiset_diff", "epoch_to_ts", "round_seconds",
         "journal_dedupe", "validate_window", "load_status"]
 

@@ -52,10 +52,10 @@ def _key_field_expr(specs: Iterable[TableSpec], image: str) -> Column:
 
 
 def key_expr(specs: Iterable[TableSpec]) -> Column:
-    """Business key: from ``before`` for deletes, else from ``after``."""
+    """Business key: from ``before`` for deletes, else from ``after``; null if it is not a whole number."""
     specs = list(specs)
     return (F.when(F.col("operation") == "d", _key_field_expr(specs, "before"))
-            .otherwise(_key_field_expr(specs, "after"))).cast("long")
+            .otherwise(_key_field_expr(specs, "after"))).try_cast("long")
 
 
 def add_key(msgs: DataFrame, specs: Iterable[TableSpec]) -> DataFrame:
@@ -66,7 +66,7 @@ def event_time_expr() -> Column:
     """Event time: the image's period start (period end on ``*_archive``
     tables, with SQL LIKE wildcard semantics) for c/u/r, else ``ts_ns``."""
     from_after = (F.when(F.col("table").like("%_archive"), F.get_json_object("after", "$.valid_to"))
-                  .otherwise(F.get_json_object("after", "$.valid_from"))).cast("long")
+                  .otherwise(F.get_json_object("after", "$.valid_from"))).try_cast("long")
     return F.when(F.col("operation").isin("c", "u", "r"), from_after).otherwise(F.col("ts_ns"))
 
 
@@ -75,6 +75,9 @@ def add_event_time(msgs: DataFrame) -> DataFrame:
 
 
 def row_image(msgs: DataFrame, spec: TableSpec, side: str = "after", keep: Iterable[str] = ()) -> DataFrame:
-    """Parse one side's JSON image into the table's typed columns."""
-    parsed = msgs.select(*keep, F.from_json(F.col(side), spec.row_schema).alias("_img"))
-    return parsed.filter(F.col("_img").isNotNull()).select(*keep, "_img.*").selectExpr(*keep, *spec.select_list)
+    """Parse one side's JSON image into the table's typed columns; malformed images and those without a
+    key yield no row."""
+    schema = f"{spec.row_schema}, _corrupt STRING"
+    parsed = msgs.select(*keep, F.from_json(F.col(side), schema, {"columnNameOfCorruptRecord": "_corrupt"}).alias("_img"))
+    sound = F.col("_img._corrupt").isNull() & F.col(f"_img.{spec.key}").isNotNull()
+    return parsed.filter(sound).select(*keep, "_img.*").selectExpr(*keep, *spec.select_list)

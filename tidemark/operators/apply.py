@@ -1,152 +1,120 @@
 """Set-based change apply: creates, updates and deletes in event-time order.
 
-Per key, with messages ordered by (event_time, message_id), the
-sequential rules are:  create inserts only if the key is absent;
-update overwrites only if present; delete removes.  Snapshot reads and
-messages of other tables are not applied.
-
-Instead of a row loop, each key's messages are cut into event-time
-slices.  Inside a slice the effect is summarised with window
-aggregates (no per-row state): the state reached when starting from
-"absent", and the state reached when starting from "present" (gone,
-unchanged, or replaced).  The slice summaries of a key -- at most
-``slices`` small structs -- are then folded in time order with the
-SQL ``aggregate`` higher-order function.  A key holding a third of the
-batch is therefore spread over ``slices`` tasks rather than one.
+Per key, with messages in the order of (event time, message id, topic,
+partition), the sequential rules are:  create inserts only if the key is
+absent; update overwrites only if present; delete removes.  Snapshot
+reads and messages of other tables are not applied.
+
+The result needs three positions per key, all plain aggregates that are
+combined before the shuffle: the last delete; the first create after it
+(or, without a delete, the row that is there already); and the last
+update.  The update wins if it comes after that base, else the base does.
+Only positions travel for this -- the winning row images are fetched
+afterwards by one join on (key, position), which is unique -- so a key
+with a third of all messages is a few rows per task.
+
+A row image that does not parse, or has no key, is rejected rather than
+applied: see ``rejects``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import checkpoint_root
 from tidemark.spec import TableSpec
 
 MIN_LONG = -(2 ** 63)
 APPLIED_OPS = ("c", "u", "d")
-ABSENT, SAME, REPLACED = 0, 1, 2
+CORRUPT = "_corrupt"
 
 
-def order_key() -> Column:
-    """Total order of messages within a key; null event times sort first."""
-    return F.struct(F.coalesce(F.col("event_time"), F.lit(MIN_LONG)).alias("t"),
-                    F.col("message_id").alias("m"))
+def position_columns(msgs: DataFrame) -> list[str]:
+    """What makes a message's place unique besides its event time."""
+    return ["message_id", *[c for c in ("topic", "partition") if c in msgs.columns]]
 
 
-def event_time_bounds(msgs: DataFrame) -> tuple[int | None, int | None]:
-    row = msgs.agg(F.min("event_time").alias("lo"), F.max("event_time").alias("hi")).first()
-    return (row["lo"], row["hi"]) if row else (None, None)
+def order_key(msgs: DataFrame) -> Column:
+    """Total order of messages within a key; null event times sort first."""
+    return F.struct(F.coalesce(F.col("event_time"), F.lit(MIN_LONG)).alias("t"),
+                    *[F.col(c) for c in position_columns(msgs)])
 
 
-SLICE_NS = 3_600_000_000_000  # default slice width: one hour of event time
+def parsed_image(side: str, spec: TableSpec) -> Column:
+    """The image with a column that holds the text if it is not a row of the table."""
+    return F.from_json(F.col(side), f"{spec.row_schema}, {CORRUPT} STRING", {"columnNameOfCorruptRecord": CORRUPT})
 
 
-def fixed_slice_expr(width_ns: int = SLICE_NS) -> Column:
-    """Monotone slice number from a fixed event-time width (no action needed).
-    A key has at most (batch span / width) slices."""
-    t = F.coalesce(F.col("event_time"), F.lit(MIN_LONG))
-    return F.floor(t.cast("double") / F.lit(float(width_ns))).cast("long")
+def image_ok(side: str, spec: TableSpec) -> Column:
+    image = parsed_image(side, spec)
+    return F.coalesce(image[CORRUPT].isNull() & image[spec.key].isNotNull(), F.lit(False))
 
 
-def slice_expr(lo: int | None, hi: int | None, slices: int) -> Column:
-    """Monotone (non-decreasing in event time) slice number in [0, slices)."""
-    if slices <= 1 or lo is None or hi is None or hi <= lo:
-        return F.lit(0).cast("long")
-    width = (float(hi) - float(lo)) / slices
-    t = F.coalesce(F.col("event_time"), F.lit(lo)).cast("double")
-    raw = F.floor((t - F.lit(float(lo))) / F.lit(width))
-    return F.least(F.greatest(raw, F.lit(0)), F.lit(slices - 1)).cast("long")
+def _of_table(spec: TableSpec) -> Column:
+    return F.col("table") == spec.name
 
 
 def applicable(msgs: DataFrame, spec: TableSpec) -> DataFrame:
-    """Messages that can change ``spec``'s current table.
-
-    A create or update without an image and a message without a key do
-    nothing in the sequential rules either, so they are dropped here.
-    """
+    """Messages that can change ``spec``'s current table: with a key, and a sound image if they bring one."""
     op = F.col("operation")
-    return msgs.filter(
-        (F.col("table") == spec.name)
-        & F.col("key_id").isNotNull()
-        & ((op == "d") | (op.isin("c", "u") & F.col("after").isNotNull())))
+    return msgs.filter(_of_table(spec) & F.col("key_id").isNotNull()
+                       & ((op == "d") | (op.isin("c", "u") & image_ok("after", spec))))
 
 
-def slice_summaries(msgs: DataFrame, spec: TableSpec, slices: int | None = None,
-                    bounds: tuple[int | None, int | None] | None = None,
-                    slice_ns: int = SLICE_NS) -> DataFrame:
-    """One row per (key, slice): the slice's effect on absent and present rows.
-
-    Slices are fixed ``slice_ns`` event-time ranges, or -- when the caller
-    knows the batch's event-time ``bounds`` -- ``slices`` equal ranges."""
-    m = applicable(msgs, spec)
-    if slices and bounds is not None:
-        sl = slice_expr(bounds[0], bounds[1], slices)
+def rejects(msgs: DataFrame, spec: TableSpec) -> DataFrame:
+    """Messages of the table that ask for a change but cannot make it, with the reason: a missing or
+    malformed image, or no key.  A delete without a before image is not one: the key was absent."""
+    op = F.col("operation")
+    bad_after = op.isin("c", "u") & ~image_ok("after", spec)
+    bad_before = op.isin("u", "d") & F.col("before").isNotNull() & ~image_ok("before", spec)
+    reason = (F.when(bad_after & F.col("after").isNull(), "no after image").when(bad_after, "malformed after image")
+              .when(bad_before, "malformed before image").when(op.isin("c", "u") & F.col("key_id").isNull(), "no key"))
+    return msgs.filter(_of_table(spec) & op.isin(*APPLIED_OPS)).withColumn("reason", reason).filter("reason IS NOT NULL")
+
+
+def applied_marks(msgs: DataFrame, spec: TableSpec, marks: DataFrame | None = None) -> DataFrame:
+    """(key_id, last_time): the latest event time applied per key, deletes included, on top of ``marks``."""
+    new = applicable(msgs, spec).select("key_id", F.col("event_time").alias("last_time"))
+    both = new if marks is None else new.unionByName(marks)
+    return both.groupBy("key_id").agg(F.max("last_time").alias("last_time"))
+
+
+def drop_late(msgs: DataFrame, marks: DataFrame) -> DataFrame:
+    """Without the messages that are older than what was applied to their key, whether it lives or not."""
+    return (msgs.join(marks, on="key_id", how="left")
+            .filter(F.col("last_time").isNull() | F.col("event_time").isNull() | (F.col("event_time") >= F.col("last_time")))
+            .drop("last_time"))
+
+
+def winners(msgs: DataFrame, existing: DataFrame | None) -> DataFrame:
+    """(key_id, o, live): per key of ``msgs`` the position of the message whose image it ends with, or null;
+    ``live``: the row that is there already stays as it is.  ``existing``: key_id of live rows."""
+    op, o = F.col("operation"), F.col("o")
+    slim = msgs.select("key_id", "operation", order_key(msgs).alias("o"))
+    bounds = slim.groupBy("key_id").agg(
+        F.max(F.when(op == "d", o)).alias("d"), F.max(F.when(op == "u", o)).alias("u"),
+        F.min(F.when(op == "c", o)).alias("c"), F.max(F.when(op == "c", o)).alias("c_last"))
+    # one small row per key; as a table of its own, so that a hot key's side of the next join can be split
+    checkpoint_root(msgs.sparkSession)
+    bounds = bounds.checkpoint()
+    between = bounds.filter((F.col("c") < F.col("d")) & (F.col("d") < F.col("c_last"))).select("key_id", "d")
+    after = (slim.filter(op == "c").join(between, "key_id").filter(o > F.col("d")).select("key_id", "o")
+             .hint("rebalance").groupBy("key_id").agg(F.min("o").alias("c_after")))
+    found = bounds.join(after, "key_id", "left")
+    if existing is None:
+        found = found.withColumn("there", F.lit(False))
     else:
-        sl = fixed_slice_expr(slice_ns)
-    op = F.col("_op")
-    o = F.col("_o")
-    m = m.select(F.col("key_id").alias("_k"), sl.alias("_s"),
-                 F.col("operation").alias("_op"), order_key().alias("_o"), F.col("after").alias("_img"))
-    w = Window.partitionBy("_k", "_s")
-    m = m.withColumn("_d", F.max(F.when(op == "d", o)).over(w))
-    m = m.withColumn("_c", F.min(F.when((op == "c") & (F.col("_d").isNull() | (o > F.col("_d"))), o)).over(w))
-    m = m.withColumn("_ua", F.max(F.when((op == "u") & F.col("_c").isNotNull() & (o > F.col("_c")), o)).over(w))
-    m = m.withColumn("_up", F.max(F.when(op == "u", o)).over(w))
-    abs_pos = F.coalesce(F.col("_ua"), F.col("_c"))
-    summ = m.groupBy("_k", "_s").agg(
-        F.max(F.col("_d").isNotNull()).alias("has_d"),
-        F.max(abs_pos.isNotNull()).alias("abs_exists"),
-        F.max(F.when(o == abs_pos, F.col("_img"))).alias("abs_img"),
-        F.max(F.col("_up").isNotNull()).alias("has_u"),
-        F.max(F.when(o == F.col("_up"), F.col("_img"))).alias("up_img"))
-    row = spec.row_schema
-    return summ.select(
-        "_k", "_s", "abs_exists",
-        F.from_json("abs_img", row).alias("abs_row"),
-        F.when(F.col("has_d"), F.when(F.col("abs_exists"), F.lit(REPLACED)).otherwise(F.lit(ABSENT)))
-         .when(F.col("has_u"), F.lit(REPLACED)).otherwise(F.lit(SAME)).alias("pres_kind"),
-        F.from_json(F.when(F.col("has_d"), F.col("abs_img")).when(F.col("has_u"), F.col("up_img")), row)
-         .alias("pres_row"))
-
-
-def _current_as_summaries(current: DataFrame, spec: TableSpec) -> DataFrame:
-    st = spec.struct
-    row = F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in st.fields])
-    return current.select(
-        F.col(spec.key).cast("long").alias("_k"), F.lit(MIN_LONG).cast("long").alias("_s"), F.lit(True).alias("abs_exists"),
-        row.alias("abs_row"), F.lit(REPLACED).alias("pres_kind"), row.alias("pres_row"))
-
-
-def fold_summaries(summaries: DataFrame, spec: TableSpec) -> DataFrame:
-    """Fold each key's slice summaries in time order; keep live rows."""
-    st = spec.struct
-    none_row = F.lit(None).cast(st)
-    parts = F.array_sort(F.collect_list(F.struct("_s", "abs_exists", "abs_row", "pres_kind", "pres_row")))
-
-    def step(acc, p):
-        return (F.when(~acc["e"], F.struct(p["abs_exists"].alias("e"), p["abs_row"].alias("r")))
-                .when(p["pres_kind"] == ABSENT, F.struct(F.lit(False).alias("e"), none_row.alias("r")))
-                .when(p["pres_kind"] == SAME, acc)
-                .otherwise(F.struct(F.lit(True).alias("e"), p["pres_row"].alias("r"))))
-
-    zero = F.struct(F.lit(False).alias("e"), none_row.alias("r"))
-    folded = summaries.groupBy("_k").agg(F.aggregate(parts, zero, step).alias("_f"))
-    return folded.filter(F.col("_f.e") & F.col("_f.r").isNotNull()).select("_f.r.*")
-
-
-def drop_late(current: DataFrame, msgs: DataFrame, spec: TableSpec) -> DataFrame:
-    """Messages older than the key's live row (event time before its
-    valid_from) are dropped; keys without a live row keep everything."""
-    live = current.select(F.col(spec.key).cast("long").alias("key_id"), F.col("valid_from").alias("_live_from"))
-    return (msgs.join(live, on="key_id", how="left")
-            .filter(F.col("_live_from").isNull() | F.col("event_time").isNull()
-                    | (F.col("event_time") >= F.col("_live_from")))
-            .drop("_live_from"))
-
-
-def apply_changes(current: DataFrame | None, msgs: DataFrame, spec: TableSpec, slices: int | None = None,
-                  bounds: tuple[int | None, int | None] | None = None, slice_ns: int = SLICE_NS,
-                  late: str = "apply") -> DataFrame:
+        here = existing.select("key_id").withColumn("there", F.lit(True))
+        found = found.join(here, "key_id", "left").withColumn("there", F.coalesce("there", F.lit(False)))
+    created = F.when(F.col("d").isNull() | (F.col("c") > F.col("d")), F.col("c")).otherwise(F.col("c_after"))
+    keeps = F.col("there") & F.col("d").isNull()
+    update = F.when(keeps | (F.col("u") > created), F.col("u"))
+    return found.select("key_id", F.coalesce(update, F.when(~keeps, created)).alias("o"), (keeps & F.col("u").isNull()).alias("live"))
+
+
+def apply_changes(current: DataFrame | None, msgs: DataFrame, spec: TableSpec, late: str = "apply",
+                  marks: DataFrame | None = None) -> DataFrame:
     """New current table = ``current`` with ``msgs`` applied (columns: spec row fields).
 
     ``msgs`` needs message_id, operation, table, ts_ns, after, key_id,
@@ -156,16 +124,27 @@ def apply_changes(current: DataFrame | None, msgs: DataFrame, spec: TableSpec, s
 
     ``late="apply"`` (default, the reference's behaviour) applies late
     messages after what is already applied; ``late="ignore"`` drops those
-    older than the live row.
+    older than ``marks`` (see ``applied_marks``).
     """
-    if late == "ignore" and current is not None:
-        msgs = drop_late(current, applicable(msgs, spec), spec)
-    elif late not in ("apply", "ignore"):
+    if late not in ("apply", "ignore"):
         raise ValueError(f"late must be 'apply' or 'ignore', not {late!r}")
-    summ = slice_summaries(msgs, spec, slices, bounds, slice_ns)
-    if current is not None:
-        summ = summ.unionByName(_current_as_summaries(current, spec))
-    return fold_summaries(summ, spec)
+    m = applicable(msgs, spec)
+    if late == "ignore" and marks is not None:
+        m = drop_late(m, marks)
+    elif late == "ignore" and current is not None:
+        raise ValueError("late='ignore' needs the marks of what was applied")
+    fields = [F.col(f.name).cast(f.dataType).alias(f.name) for f in spec.struct.fields]
+    key = F.col(spec.key).cast("long")
+    won = winners(m, None if current is None else current.select(key.alias("key_id")))
+    images = m.select("key_id", order_key(m).alias("o"), "after").join(won.filter("o IS NOT NULL").select("key_id", "o"), ["key_id", "o"])
+    # equal positions are copies of one message
+    rows = images.groupBy("key_id", "o").agg(F.max("after").alias("after")).select(parsed_image("after", spec).alias("i")).select(
+        *[F.col(f"i.{c}").alias(c) for c in spec.columns])
+    if current is None:
+        return rows
+    changed = won.filter(~F.col("live")).select("key_id")
+    kept = current.withColumn("key_id", key).join(changed, "key_id", "left_anti").select(*fields)
+    return kept.unionByName(rows)
 
 
 def archive_rows(msgs: DataFrame, spec: TableSpec, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -173,19 +152,23 @@ def archive_rows(msgs: DataFrame, spec: TableSpec, keep: tuple[str, ...] = ()) -
 
     update: the ``before`` image closed at the new image's start, deleted 0;
     delete: the ``before`` image closed at the envelope time, deleted 1.
-    A null ``before`` yields nothing.  Written whether or not a live row
+    A null or malformed ``before`` yields nothing, and so does an update
+    whose new image is malformed.  Written whether or not a live row
     matched, as the sequential rules do.
     """
     op = F.col("operation")
-    m = msgs.filter((F.col("table") == spec.name) & op.isin("u", "d") & F.col("before").isNotNull())
-    closed_at = (F.when(op == "u", F.get_json_object("after", "$.valid_from").cast("long"))
-                 .otherwise(F.col("ts_ns")))
-    img = m.select(*keep, F.from_json("before", spec.row_schema).alias("_img"), closed_at.alias("_to"),
-                   (op == "d").alias("deleted")).filter(F.col("_img").isNotNull())
+    sound = image_ok("before", spec) & ((op == "d") | ((op == "u") & image_ok("after", spec)))
+    m = msgs.filter(_of_table(spec) & op.isin("u", "d") & sound)
+    closed_at = F.when(op == "u", parsed_image("after", spec)["valid_from"]).otherwise(F.col("ts_ns"))
+    img = m.select(*keep, parsed_image("before", spec).alias("_img"), closed_at.alias("_to"), (op == "d").alias("deleted"))
     cols = [F.col("_to").alias(c) if c == "valid_to" else F.col(f"_img.{c}").alias(c) for c in spec.columns]
     return img.select(*keep, *cols, "deleted")
 
 
-def project(df: DataFrame, spec: TableSpec, extra: tuple[str, ...] = ()) -> DataFrame:
-    """Apply the table's select list (e.g. wire dates to DATE)."""
-    return df.selectExpr(*spec.select_list, *extra)
+def project(df: DataFrame, spec: TableSpec, archive: bool = False) -> DataFrame:
+    """Apply the table's select list (e.g. wire dates to DATE); on an archive table its own, with the
+    deleted flag if the table has one."""
+    if not archive:
+        return df.selectExpr(*spec.select_list)
+    flag = ["deleted"] if spec.has_deleted and "deleted" in df.columns else []
+    return df.selectExpr(*spec.archive_select_list, *flag)

@@ -119,23 +119,45 @@ def mark_validated(history: DataFrame, lo: int | None, hi: int, version: int) ->
             .select(*HISTORY_COLUMNS))
 
 
-def offset_lookup(history: DataFrame, topics: dict[str, str]) -> DataFrame:
-    """Start offset per table: the latest preloaded row by load date, then
-    load id (made definite where the source took any row)."""
+def mark_preloaded(history: DataFrame, tables: list[str], loaded_at_ns: int) -> DataFrame:
+    """'Initial' -> 'Successful' for the tables that were loaded: new versions of their rows."""
+    h = effective(history).filter((F.col("status") == INITIAL) & F.col("is_preloaded") & F.col("table_name").isin(tables))
+    return h.withColumns({"status": F.lit(SUCCESSFUL), "load_date": F.lit(loaded_at_ns).cast("long"),
+                          "version": F.col("version") + 1}).select(*HISTORY_COLUMNS)
+
+
+def mark_preload_validated(history: DataFrame, tables: list[str], cutoff_ns: int) -> DataFrame:
+    """The preloaded rows of the tables, validated as of the cut-off: from there the watermarks start."""
+    h = effective(history).filter((F.col("status") == SUCCESSFUL) & F.col("is_preloaded") & F.col("table_name").isin(tables)
+                                  & ~F.coalesce(F.col("is_validated"), F.lit(False)))
+    return h.withColumns({"is_validated": F.lit(True), "validated_date": F.lit(cutoff_ns).cast("long"),
+                          "version": F.col("version") + 1}).select(*HISTORY_COLUMNS)
+
+
+def partition_offsets(journal: DataFrame) -> DataFrame:
+    """(topic, partition, offset): the next offset after what is journaled, for every partition seen."""
+    return journal.filter("topic IS NOT NULL").groupBy("topic", "partition").agg((F.max("message_id") + 1).alias("offset"))
+
+
+def offset_lookup(history: DataFrame, topics: dict[str, str], positions: DataFrame) -> DataFrame:
+    """Start offset of every partition of the topics of preloaded tables: where the journal stands
+    (``positions``), or 0 in partition 0 if nothing of the topic was journaled."""
     h = effective(history).filter(F.col("status").isin(INITIAL, SUCCESSFUL) & F.col("is_preloaded"))
     topic_map = F.create_map(*[x for kv in topics.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
-    latest = h.filter(F.col("table_name").isin(list(topics))).groupBy("table_name").agg(
-        F.max_by("ending_offset", F.struct("load_date", "load_id", "version")).alias("offset"))
-    return latest.select("table_name", topic_map[F.col("table_name")].alias("topic"),
-                         F.lit(0).alias("partition"), F.col("offset").cast("long").alias("offset"))
+    ready = h.filter(F.col("table_name").isin(list(topics))).select("table_name").distinct().select(
+        "table_name", topic_map[F.col("table_name")].alias("topic"))
+    return ready.join(positions, "topic", "left").select(
+        "table_name", "topic", F.coalesce("partition", F.lit(0)).alias("partition"),
+        F.coalesce("offset", F.lit(0)).cast("long").alias("offset"))
 
 
 def offsets_json_column(offsets: DataFrame) -> DataFrame:
-    """{"topic": {"partition": offset}, ...} as one string, topics sorted."""
-    entry = F.concat(F.lit('"'), F.col("topic"), F.lit('":{"'), F.col("partition").cast("string"),
-                     F.lit('":'), F.col("offset").cast("string"), F.lit("}"))
-    return offsets.agg(F.concat(F.lit("{"), F.array_join(F.array_sort(F.collect_list(entry)), ","),
-                                F.lit("}")).alias("starting_offsets"))
+    """{"topic": {"partition": offset, ...}, ...} as one string, topics and partitions sorted."""
+    entry = F.concat(F.lit('"'), F.col("partition").cast("string"), F.lit('":'), F.col("offset").cast("string"))
+    inner = F.transform(F.array_sort(F.collect_list(F.struct("partition", entry.alias("e")))), lambda x: x["e"])
+    topics = offsets.groupBy("topic").agg(F.array_join(inner, ",").alias("p"))  # as many as the topic has partitions
+    whole = F.concat(F.lit('"'), F.col("topic"), F.lit('":{'), F.col("p"), F.lit("}"))
+    return topics.agg(F.concat(F.lit("{"), F.array_join(F.array_sort(F.collect_list(whole)), ","), F.lit("}")).alias("starting_offsets"))
 
 
 def starting_offsets(offsets: DataFrame, required: list[str]) -> str:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
@@ -12,44 +13,63 @@ from tidemark.operators.apply import MIN_LONG
 from tidemark.spec import TableSpec
 
 MESSAGE_COLUMNS = ["operation", "schema", "table", "ts_ns", "before", "after", "key_id"]
+SOURCE_COLUMNS = ["message_id", "topic", "partition"]  # together a message's own place in the stream
 DEDUPE_KEY = ["key_id", "operation", "table", "ts_ns"]
+DAY_NS = 86_400 * 1_000_000_000
+
+
+def day_of(col: str = "ts_ns"):
+    """Whole days since the epoch: the journal's partitions."""
+    return F.coalesce(F.floor(F.col(col) / F.lit(float(DAY_NS))), F.lit(-1)).cast("int")
 
 
 def to_messages(parsed: DataFrame, specs: Iterable[TableSpec], id_col: str = "offset") -> DataFrame:
     """Parsed envelopes -> journal rows (key and event time computed once)."""
     specs = list(specs)
+    source = [F.col(c) if c in parsed.columns else F.lit(None).cast(t).alias(c) for c, t in (("topic", "string"), ("partition", "int"))]
     return parsed.select(
-        F.col(id_col).cast("long").alias("message_id"), *MESSAGE_COLUMNS[:-1],
+        F.col(id_col).cast("long").alias("message_id"), *source, *MESSAGE_COLUMNS[:-1],
         key_expr(specs).alias("key_id")).withColumn("event_time", event_time_expr())
 
 
-def dedupe(batch: DataFrame, journal: DataFrame | None = None, preloaded: bool = False,
-           ts_range: tuple[int, int] | None = None) -> DataFrame:
+def dedupe(batch: DataFrame, journal: DataFrame | None = None, preloaded: bool = False) -> DataFrame:
     """New journal rows from one incoming batch.
 
     * duplicates inside the batch (all message columns equal) collapse to
-      one row; the lowest source position becomes its message_id;
+      one row, the one with the lowest source position;
     * unless preloading, snapshot reads (op 'r') and null ops are dropped,
       and messages already journaled -- equal on (key_id, operation, table,
-      ts_ns), nulls never equal -- are removed by an anti-join.  The journal
-      side is pruned to the batch's ts_ns range first, so the join never
-      scans all history.
+      ts_ns), nulls never equal -- are removed by an anti-join.  If the
+      journal is partitioned by ``day``, so is the join, and days that the
+      batch does not touch are not read.
     """
+    source = [c for c in SOURCE_COLUMNS if c in batch.columns]
     b = batch
     if not preloaded:
         b = b.filter(F.col("operation") != "r")
     b = (b.groupBy(*MESSAGE_COLUMNS)
-         .agg(F.min("message_id").alias("message_id"))
+         .agg(F.min(F.struct(*source)).alias("_s"))
+         .select(*[F.col(f"_s.{c}").alias(c) for c in source], *MESSAGE_COLUMNS)
          .withColumn("event_time", event_time_expr()))
+    columns = b.columns
     if journal is not None and not preloaded:
-        if ts_range is None:
-            row = b.agg(F.min("ts_ns").alias("lo"), F.max("ts_ns").alias("hi")).first()
-            ts_range = (row["lo"], row["hi"])
-        lo, hi = ts_range
-        if lo is not None:
-            seen = journal.filter(F.col("ts_ns").between(lo, hi)).select(*DEDUPE_KEY)
-            b = b.join(seen, on=DEDUPE_KEY, how="left_anti")
-    return b.select("message_id", *MESSAGE_COLUMNS, "event_time")
+        keys = DEDUPE_KEY
+        if "day" in journal.columns:
+            b, keys = b.withColumn("day", day_of()), [*DEDUPE_KEY, "day"]
+        b = b.join(journal.select(*keys), on=keys, how="left_anti")
+    return b.select(*columns)
+
+
+def unprocessed(journal: DataFrame, applied: DataFrame | None = None) -> DataFrame:
+    """Journaled messages to apply: no snapshot reads, none of ``applied`` (by source position)."""
+    j = journal.filter(F.coalesce(F.col("operation") != "r", F.lit(False)))
+    if applied is None:
+        return j
+    on = [j[c].eqNullSafe(applied[c]) for c in SOURCE_COLUMNS if c in j.columns and c in applied.columns]
+    match = on[0]
+    for c in on[1:]:
+        match = match & c
+    return j.join(applied, match, "left_anti")
 
 
 def batch_bounds(msgs: DataFrame, n: int) -> dict | None:
@@ -78,10 +98,33 @@ def batch_condition(bounds: dict):
     return cond
 
 
-def select_batch(msgs: DataFrame, n: int, bounds: dict | None = None) -> DataFrame:
+def select_batch(msgs: DataFrame, n: int, applied: DataFrame | None = None) -> DataFrame:
     """First n unprocessed messages plus every other one whose event time
-    falls inside their [min, max] (ties are never split across batches)."""
-    bounds = bounds if bounds is not None else batch_bounds(msgs, n)
+    falls inside their [min, max] (ties are never split across batches).
+    Where messages have an operation, snapshot reads are never among them."""
+    if "operation" in msgs.columns:
+        msgs = unprocessed(msgs, applied)
+    bounds = batch_bounds(msgs, n)
     if bounds is None:
         return msgs.limit(0)
     return msgs.filter(batch_condition(bounds))
+
+
+def batch_ranges(msgs: DataFrame, n: int) -> list[tuple[int | None, int | None]]:
+    """Event-time ranges [lo, hi) that cut a backlog into batches of about n messages, in order: the
+    whole backlog is looked at once.  Equal times are never split; null times belong to the first."""
+    total = msgs.count()
+    parts = math.ceil(total / n)
+    if parts <= 1:
+        return [(None, None)] if total else []
+    found = msgs.approxQuantile("event_time", [i / parts for i in range(1, parts)], 0.1 / parts)
+    # as doubles, ns times are exact to some hundred ns only; whole seconds are far coarser than that
+    cuts = sorted({int(c) // 1_000_000_000 * 1_000_000_000 for c in found})
+    return list(zip([None, *cuts], [*cuts, None], strict=True))
+
+
+def in_range(bounds: tuple[int | None, int | None]):
+    lo, hi = bounds
+    t = F.col("event_time")
+    inside = F.lit(True) if lo is None else F.coalesce(t >= F.lit(lo), F.lit(False))
+    return inside if hi is None else inside & F.coalesce(t < F.lit(hi), F.lit(True))

@@ -9,9 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.timeconv import SENTINEL_NS, round_seconds_ns
+from tidemark.functions.timeconv import NS_PER_S, SENTINEL_NS, round_seconds_ns
 from tidemark.spec import TableSpec
 
+HALF_SECOND = NS_PER_S // 2  # what rounding to whole seconds moves a time by, at most
+
 
 def _ends_after(vt: Column, t: Column, closed: bool) -> Column:
     open_end = vt == F.lit(SENTINEL_NS)
@@ -40,7 +42,8 @@ def snapshot_size(main: DataFrame, archive: DataFrame, t: int, spec: TableSpec,
     hist = _archive_at(main, archive, t, spec, closed).select(F.lit(1).alias("one"))
     main_n = live.unionByName(hist).agg(F.count("*").alias("ending_offset")) \
         .select(F.lit(spec.name).alias("table_name"), "ending_offset")
-    arch_n = archive.filter(F.col("valid_to") <= F.lit(t)).agg(F.count("*").alias("ending_offset")) \
+    closed_by = (F.col("valid_to") <= F.lit(t)) & (F.col("valid_to") != F.lit(SENTINEL_NS))
+    arch_n = archive.filter(closed_by).agg(F.count("*").alias("ending_offset")) \
         .select(F.lit(spec.archive_name).alias("table_name"), "ending_offset")
     return main_n.unionByName(arch_n)
 
@@ -81,7 +84,10 @@ def window_rows(main: DataFrame, archive: DataFrame, lo: int, hi: int, spec: Tab
     cols = spec.columns
     part_a = main.filter((F.col("valid_from") > F.lit(lo)) & (F.col("valid_from") <= F.lit(hi))).select(*cols)
     live = main.select(F.col(key), F.col("valid_from").alias("_m_from"), F.lit(True).alias("_live"))
-    a = archive.select(*cols).join(live, on=key, how="left")
+    # a superset that the scan can skip by: the period ends half a second before hi or later, or is open
+    near = ((F.col("valid_from") > F.lit(lo)) & (F.col("valid_from") <= F.lit(hi + HALF_SECOND))
+            & ((F.col("valid_to") >= F.lit(hi - HALF_SECOND)) | (F.col("valid_to") == F.lit(SENTINEL_NS))))
+    a = archive.select(*cols).filter(near).join(live, on=key, how="left")
     gone = F.col("_live").isNull()
 
     def p(c: Column) -> Column:
@@ -106,7 +112,8 @@ def archive_window_rows(main: DataFrame, archive: DataFrame, lo: int, hi: int, s
     key = spec.key
     cols = spec.columns
     live = main.select(F.col(key), F.lit(True).alias("_live"))
-    a = archive.select(*cols).join(live, on=key, how="left")
+    near = (F.col("valid_to") > F.lit(lo - HALF_SECOND)) & (F.col("valid_to") <= F.lit(hi + HALF_SECOND))
+    a = archive.select(*cols).filter(near).join(live, on=key, how="left")
     gone = F.col("_live").isNull()
     vt = F.when(gone, round_seconds_ns(F.col("valid_to"))).otherwise(F.col("valid_to"))
     hi_p = F.when(gone, round_seconds_ns(F.lit(hi))).otherwise(F.lit(hi))

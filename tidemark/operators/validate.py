@@ -1,4 +1,9 @@
-"""Two-way multiset difference and data-quality checks."""
+"""Two-way multiset difference and data-quality checks.
+
+Both sides are read once: their rows are counted per distinct row in one
+aggregate over the union, source rows as +1 and target rows as -1.
+Copies are combined before the shuffle.
+"""
 
 from __future__ import annotations
 
@@ -6,36 +11,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _counted(source: DataFrame, target: DataFrame) -> DataFrame:
+    """Distinct rows with the number of copies on each side (``_s``, ``_t``)."""
+    cols = source.columns
+    both = (source.withColumns({"_s": F.lit(1), "_t": F.lit(0)})
+            .unionByName(target.select(*cols).withColumns({"_s": F.lit(0), "_t": F.lit(1)})))
+    return both.groupBy(*cols).agg(F.sum("_s").alias("_s"), F.sum("_t").alias("_t"))
+
+
 def multiset_diff(source: DataFrame, target: DataFrame) -> DataFrame:
     """Rows in source but not target (side='source') and the reverse
     (side='target'), each with multiplicity: EXCEPT ALL both ways."""
     cols = source.columns
-    target = target.select(*cols)
-    missing = source.exceptAll(target).withColumn("side", F.lit("source"))
-    extra = target.exceptAll(source).withColumn("side", F.lit("target"))
-    return missing.unionByName(extra)
+    surplus = F.col("_s") - F.col("_t")
+    return (_counted(source, target).filter(surplus != 0)
+            .withColumn("_n", F.explode(F.sequence(F.lit(1).cast("long"), F.abs(surplus))))
+            .select(*cols, F.when(surplus > 0, "source").otherwise("target").alias("side")))
 
 
 def diff_summary(name: str, source: DataFrame, target: DataFrame) -> DataFrame:
-    """One row: table, source rows, target rows, rows only in each, equal.
-
-    Row counts come from a union of tagged rows counted in one pass, and
-    the difference counts from the EXCEPT ALL plans."""
-    cols = source.columns
-    target = target.select(*cols)
-    counts = (source.select(F.lit(1).alias("s"), F.lit(0).alias("t"))
-              .unionByName(target.select(F.lit(0).alias("s"), F.lit(1).alias("t")))
-              .agg(F.sum("s").alias("source_rows"), F.sum("t").alias("target_rows")))
-    diff = (multiset_diff(source, target)
-            .agg(F.sum(F.when(F.col("side") == "source", 1).otherwise(0)).alias("only_in_source"),
-                 F.sum(F.when(F.col("side") == "target", 1).otherwise(0)).alias("only_in_target")))
-    out = counts.unionByName(diff, allowMissingColumns=True).agg(
-        F.coalesce(F.max("source_rows"), F.lit(0)).cast("long").alias("source_rows"),
-        F.coalesce(F.max("target_rows"), F.lit(0)).cast("long").alias("target_rows"),
-        F.coalesce(F.max("only_in_source"), F.lit(0)).cast("long").alias("only_in_source"),
-        F.coalesce(F.max("only_in_target"), F.lit(0)).cast("long").alias("only_in_target"))
-    return out.select(F.lit(name).alias("table_name"), "*",
-                      ((F.col("only_in_source") == 0) & (F.col("only_in_target") == 0)).alias("is_equal"))
+    """One row: table, source rows, target rows, rows only in each, equal."""
+    s, t = F.col("_s"), F.col("_t")
+    totals = _counted(source, target).agg(*[
+        F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(n) for c, n in (
+            (s, "source_rows"), (t, "target_rows"), (F.greatest(s - t, F.lit(0)), "only_in_source"),
+            (F.greatest(t - s, F.lit(0)), "only_in_target"))])
+    return totals.select(F.lit(name).alias("table_name"), "*",
+                         ((F.col("only_in_source") == 0) & (F.col("only_in_target") == 0)).alias("is_equal"))
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:

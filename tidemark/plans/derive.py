@@ -10,6 +10,8 @@ work that grows with the inputs.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -43,6 +45,7 @@ DUP_OFFSET = 1_000_000_000_000
 TOMBSTONE_OFFSET = 2_000_000_000_000
 MALFORMED_OFFSET = 3_000_000_000_000
 SNAPSHOT_OFFSET = 4_000_000_000_000
+PARTITIONS = 3  # of each simulated topic
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -117,9 +120,20 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_KEPT: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A derived input, stored once per application and folder: queries time their own work, not this."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _KEPT:
+        _KEPT[key] = materialize(build())
+    return _KEPT[key]
+
+
 def source_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(main, archive) of the system-versioned source table ``user_state``."""
-    v = materialize(versions(spark, sf_dir))
+    v = once(spark, sf_dir, "versions", lambda: versions(spark, sf_dir))
     cols = USER_STATE.columns
     return v.filter("is_live").select(*cols), v.filter(~F.col("is_live")).select(*cols)
 
@@ -129,6 +143,10 @@ def _image(*fields: Column) -> Column:
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return once(spark, sf_dir, "messages", lambda: _messages(spark, sf_dir))
+
+
+def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``user_state`` change log in journal layout (JSON row images)."""
     c = changelog(spark, sf_dir)
     before = F.when(F.col("before_valid_from").isNotNull(), F.to_json(_image(
@@ -148,14 +166,18 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(main, archive) of the source table ``customer_last_order``."""
+    v = once(spark, sf_dir, "order versions", lambda: _order_versions(spark, sf_dir))
+    cols = LAST_ORDER.columns
+    return v.filter("is_live").select(*cols), v.filter(~F.col("is_live")).select(*cols)
+
+
+def _order_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     use_utc(spark)
     o = _order_rows(spark, sf_dir)
     n = neighbours(o, "o_custkey", "ts_ns", "o_orderkey", ["ts_ns"], width=365 * DAY_NS)
-    v = n.select("o_custkey", "o_orderkey", "o_totalprice", "order_date", F.col("ts_ns").alias("valid_from"),
-                 F.coalesce(F.col("next_ts_ns"), F.lit(SENTINEL_NS)).alias("valid_to"),
-                 F.col("next_ts_ns").isNull().alias("is_live"))
-    cols = LAST_ORDER.columns
-    return v.filter("is_live").select(*cols), v.filter(~F.col("is_live")).select(*cols)
+    return n.select("o_custkey", "o_orderkey", "o_totalprice", "order_date", F.col("ts_ns").alias("valid_from"),
+                    F.coalesce(F.col("next_ts_ns"), F.lit(SENTINEL_NS)).alias("valid_to"),
+                    F.col("next_ts_ns").isNull().alias("is_live"))
 
 
 def _order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -187,16 +209,19 @@ def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 RECORD_KINDS = ("change", "duplicate", "tombstone", "malformed", "archive", "snapshot")
 
 
-def raw_stream(spark: SparkSession, sf_dir: str, cutoff: int = T_CUTOFF,
-               kinds: tuple[str, ...] = RECORD_KINDS, keep: bool = True) -> DataFrame:
-    """Raw stream records (Kafka column layout) for ``user_state``.
+def raw_stream(spark: SparkSession, sf_dir: str, kinds: tuple[str, ...] = RECORD_KINDS) -> DataFrame:
+    records = once(spark, sf_dir, "records", lambda: _records(spark, sf_dir, T_CUTOFF))
+    return records.filter(F.col("kind").isin(*kinds)).drop("kind")
+
+
+def _records(spark: SparkSession, sf_dir: str, cutoff: int) -> DataFrame:
+    """Raw stream records (Kafka column layout) for ``user_state``, in three partitions by user.
 
     Besides one envelope per change it carries what a real topic does:
     a tombstone after each delete, redelivered copies, malformed values,
     snapshot reads of the rows live at the cut-off, and envelopes on the
     archive topic.  The injections are chosen by event id.
     """
-    checkpoint_root(spark)
     c = changelog(spark, sf_dir)
     img_b = F.when(F.col("before_valid_from").isNotNull(), _image(
         F.col("key_id").alias("user_id"), F.col("before_event_type").alias("event_type"),
@@ -226,7 +251,7 @@ def raw_stream(spark: SparkSession, sf_dir: str, cutoff: int = T_CUTOFF,
     bad = main.filter(F.col("event_id") % 97 == 0).select(
         "topic", (F.col("event_id") + MALFORMED_OFFSET).alias("offset"), "key_id",
         F.lit('{"payload": {"op": "c", "source": ').cast("binary").alias("value"), "_ts")
-    v = materialize(versions(spark, sf_dir))
+    v = once(spark, sf_dir, "versions", lambda: versions(spark, sf_dir))
     arch_img = _image("user_id", "event_type", "value", "valid_from", "valid_to")
     arch = v.filter(~F.col("is_live")).select(
         F.lit(USER_STATE.archive_topic).alias("topic"), F.col("event_id").alias("offset"),
@@ -246,11 +271,9 @@ def raw_stream(spark: SparkSession, sf_dir: str, cutoff: int = T_CUTOFF,
     parts = {"change": base, "duplicate": dups, "tombstone": tombs, "malformed": bad, "archive": arch,
              "snapshot": snap}
     allrec = None
-    for kind in kinds:
-        allrec = parts[kind] if allrec is None else allrec.unionByName(parts[kind])
-    out = allrec.select("topic", F.lit(0).alias("partition"), F.col("offset").cast("long").alias("offset"),
+    for kind, part in parts.items():
+        part = part.withColumn("kind", F.lit(kind))
+        allrec = part if allrec is None else allrec.unionByName(part)
+    return allrec.select("kind", "topic", F.pmod("key_id", F.lit(PARTITIONS)).cast("int").alias("partition"), F.col("offset").cast("long").alias("offset"),
                          F.col("key_id").cast("string").cast("binary").alias("key"), "value",
                          F.timestamp_micros(F.call_function("div", F.col("_ts"), F.lit(1000))).alias("timestamp"))
-    # The simulated topic is a source table: materialise it once (reliable
-    # checkpoint in spark.checkpoint.dir) instead of re-deriving per branch.
-    return out.checkpoint(eager=True) if keep else out

@@ -13,29 +13,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.envelope import add_key, parse_envelope, row_image
-from tidemark.functions.timeconv import epoch_to_ts, ms_to_ts, ns_div, ns_to_ts, round_seconds_ns, ts_to_ns, \
+from tidemark.functions.timeconv import SENTINEL_NS, epoch_to_ts, ms_to_ts, ns_div, ns_to_ts, round_seconds_ns, ts_to_ns, \
     day_to_date
-from tidemark.operators import control
-from tidemark.operators.apply import apply_changes, archive_rows
-from tidemark.operators.journal import batch_bounds, batch_condition, dedupe, select_batch, to_messages
+from tidemark.operators import control, preload
+from tidemark.operators.apply import applied_marks, apply_changes, archive_rows, project, rejects
+from tidemark.operators.journal import SOURCE_COLUMNS, dedupe, select_batch, to_messages
 from tidemark.operators.temporal import (archive_window_rows, rebuild_as_of, snapshot_size, suggest_cutoff,
                                          window_rows)
 from tidemark.operators.validate import diff_summary, duplicate_keys, multiset_diff
 from tidemark.plans import derive as d
 from tidemark.plans.derive import LAST_ORDER, SPECS, T_CUTOFF, USER_STATE, WINDOW_HI, WINDOW_LO
-from tidemark.session import checkpoint_root, use_utc, work_dir
-from tidemark.sources.store import CdcStore
+from tidemark.session import use_utc, work_dir
+from tidemark.sources.store import CdcStore, buckets_for
 from tidemark.sources.streams import read_topic_files
+from tidemark.operators.cycle import validate_cycle
 from tidemark.streaming.pipeline import bootstrap, start_apply, start_journal
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+T_ORDERS = 820454400 * 1_000_000_000  # a cut-off inside the orders' dates: 1996-01-01T00:00:00Z
 BATCH_ROWS = 500            # messages per apply batch (the reference's configured batch)
-BACKLOG_BATCH_ROWS = 2500   # batch size for the bounded-backlog replay
 LOADED_AT = T_CUTOFF        # load time stamped on history rows, passed in so runs repeat
 TOPICS = {USER_STATE.name: USER_STATE.topic, USER_STATE.archive_name: USER_STATE.archive_topic}
+MESSAGE_VIEW = ["message_id", "operation", "schema", "table", "ts_ns", "key_id", "event_time"]
 
 
 def query(name: str):
@@ -72,7 +74,7 @@ def q_apply_archive(spark, sf):
 
 def _archive_topic_messages(spark, sf) -> DataFrame:
     msgs = to_messages(parse_envelope(d.raw_stream(spark, sf, kinds=("archive",))), SPECS)
-    return msgs.filter(F.col("table") == USER_STATE.archive_name)
+    return msgs.filter(F.col("table") == USER_STATE.archive_name).drop("topic", "partition")
 
 
 @query("apply_multi_table")
@@ -90,37 +92,51 @@ def q_apply_multi_table(spark, sf):
     return out
 
 
-def apply_backlog(spark: SparkSession, msgs: DataFrame, spec, batch_rows: int) -> DataFrame:
-    """Apply a backlog in bounded batches (top-n with ties, in event-time
-    order), cutting lineage after each batch with a reliable checkpoint."""
-    checkpoint_root(spark)
-    current = None
-    remaining = msgs.checkpoint(eager=True)   # the backlog is scanned once per batch: materialise it once
-    while True:
-        bounds = batch_bounds(remaining, batch_rows)
-        if bounds is None:
-            break
-        cond = batch_condition(bounds)
-        current = apply_changes(current, remaining.filter(cond), spec).checkpoint(eager=True)
-        remaining = remaining.filter(~cond)
-    return current if current is not None else apply_changes(None, msgs.limit(0), spec)
+HOT_USER = 999_999  # the mixed log's key with a third of all messages, within an hour
 
 
-@query("apply_in_batches")
-def q_apply_in_batches(spark, sf):
-    return apply_backlog(spark, d.messages(spark, sf), USER_STATE, BACKLOG_BATCH_ROWS)
+def mixed_log(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """A log with what real ones bring, on a table with rows: (existing rows, messages).  Every 11th update
+    is a create, every 13th create an update; event times are whole hours, so that most tie; a third of the
+    messages belong to one key and one hour; every 17th new image is cut off."""
+    m = d.messages(spark, sf)
+    op, i = F.col("operation"), F.col("message_id")
+    hot = i % 3 == 0
+    hour = F.lit(3_600_000_000_000)
+    time = F.when(hot, F.lit(T_CUTOFF)).otherwise(F.col("event_time") - F.pmod("event_time", hour))
+    after = F.when(hot, F.regexp_replace("after", '"user_id":[0-9]+', f'"user_id":{HOT_USER}')).otherwise(F.col("after"))
+    m = m.withColumns({
+        "operation": F.when((op == "u") & (i % 11 == 0), "c").when((op == "c") & (i % 13 == 0), "u").otherwise(op),
+        "event_time": time, "key_id": F.when(hot & F.col("key_id").isNotNull(), HOT_USER).otherwise(F.col("key_id")),
+        "after": F.when(i % 17 == 0, after.substr(1, 20)).otherwise(after)})
+    users = d.table(spark, sf, "events").select("user_id").distinct().filter("user_id % 2 = 0")
+    existing = users.select("user_id", F.lit("seed").alias("event_type"), F.lit(0.0).alias("value"), F.lit(0).cast("long").alias("valid_from"),
+                            F.lit(SENTINEL_NS).alias("valid_to"))
+    return existing, m
+
+
+@query("apply_mixed")
+def q_apply_mixed(spark, sf):
+    existing, msgs = mixed_log(spark, sf)
+    return apply_changes(existing, msgs, USER_STATE)
+
+
+@query("apply_rejects")
+def q_apply_rejects(spark, sf):
+    """What the mixed log asks for and cannot have, by reason."""
+    _, msgs = mixed_log(spark, sf)
+    return rejects(msgs, USER_STATE).groupBy("operation", "reason").agg(F.count("*").alias("n"))
 
 
 def _late(spark, sf, mode: str) -> DataFrame:
     """Late data: every 7th message arrives one batch late; it is applied
-    after the on-time batch ("apply") or dropped when older than the live
-    row ("ignore")."""
-    checkpoint_root(spark)
+    after the on-time batch ("apply") or dropped when older than what was
+    applied to its key ("ignore")."""
     m = d.messages(spark, sf)
     on_time = m.filter(F.col("message_id") % 7 != 0)
     late = m.filter(F.col("message_id") % 7 == 0)
-    first = apply_changes(None, on_time, USER_STATE).checkpoint(eager=True)
-    return apply_changes(first, late, USER_STATE, late=mode)
+    first = d.materialize(apply_changes(None, on_time, USER_STATE))
+    return apply_changes(first, late, USER_STATE, late=mode, marks=applied_marks(on_time, USER_STATE))
 
 
 @query("late_messages")
@@ -165,8 +181,7 @@ def _journal_so_far(spark, sf) -> DataFrame:
 def q_journal_dedupe(spark, sf):
     """Whole topic set redelivered (e.g. after losing a checkpoint) against
     a journal holding everything up to the cut-off."""
-    new = dedupe(_journal_rows(spark, sf), _journal_so_far(spark, sf))
-    return new.drop("before", "after")
+    return dedupe(_journal_rows(spark, sf), _journal_so_far(spark, sf)).select(*MESSAGE_VIEW)
 
 
 @query("duplicate_keys")
@@ -185,6 +200,14 @@ def q_batch_select(spark, sf):
     return select_batch(_order_stream(spark, sf), BATCH_ROWS)
 
 
+@query("batch_select_journal")
+def q_batch_select_journal(spark, sf):
+    """The next batch of a journal that holds snapshot reads and has been applied up to the window's start."""
+    journal = _journal_rows(spark, sf)
+    applied = journal.filter(F.col("event_time") <= F.lit(WINDOW_LO)).select(*SOURCE_COLUMNS)
+    return select_batch(journal, BATCH_ROWS, applied).select("topic", "partition", "message_id", "operation", "event_time")
+
+
 # ---------------------------------------------------------------- time functions
 @query("epoch_to_ts")
 def q_epoch_to_ts(spark, sf):
@@ -219,6 +242,14 @@ def q_asof_rebuild(spark, sf):
     return rebuild_as_of(main, arch, T_CUTOFF, USER_STATE)
 
 
+@query("asof_rebuild_orders")
+def q_asof_rebuild_orders(spark, sf):
+    """Another table through its select list: the wire day becomes a date."""
+    main, arch = d.order_pair(spark, sf)
+    rows = project(rebuild_as_of(main, arch, T_ORDERS, LAST_ORDER), LAST_ORDER)
+    return rows.withColumn("order_date", F.date_format("order_date", "yyyy-MM-dd"))
+
+
 @query("asof_rebuild_reference")
 def q_asof_rebuild_reference(spark, sf):
     main, arch = d.source_pair(spark, sf)
@@ -251,9 +282,21 @@ def q_archive_window_rows(spark, sf):
 
 
 # ---------------------------------------------------------------- validation
+DELETE_DELAY_NS = 300_000_000  # how much later than the source's period end a delete's envelope is
+
+
+def faulty(main: DataFrame, archive: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Changed rows in a current table, doubled rows in an archive."""
+    changed = F.when(F.col("user_id") % 13 == 5, F.col("value") + 1.0).otherwise(F.col("value"))
+    return main.withColumn("value", changed), archive.unionByName(archive.filter(F.col("user_id") % 11 == 7))
+
+
 def _warehouse(spark, sf) -> tuple[DataFrame, DataFrame]:
-    msgs = d.materialize(d.messages(spark, sf))
-    return apply_changes(None, msgs, USER_STATE), archive_rows(msgs, USER_STATE).drop("deleted")
+    """A warehouse with faults: lost messages, late delete times, changed and doubled rows."""
+    late = F.when(F.col("operation") == "d", DELETE_DELAY_NS).otherwise(0)
+    m = d.messages(spark, sf).filter(F.col("message_id") % 53 != 7).withColumns(
+        {"ts_ns": F.col("ts_ns") + late, "event_time": F.col("event_time") + late})
+    return faulty(apply_changes(None, m, USER_STATE), archive_rows(m, USER_STATE).drop("deleted"))
 
 
 @query("validate_window")
@@ -272,15 +315,22 @@ def q_validate_archive_window(spark, sf):
                         archive_window_rows(wmain, warch, WINDOW_LO, WINDOW_HI, USER_STATE))
 
 
+def _preload_check(spark, sf) -> DataFrame:
+    """Source as of T against tables made another way, and with faults: every message up to T applied."""
+    main, arch = d.source_pair(spark, sf)
+    m = _journal_so_far(spark, sf)
+    loaded, archived = faulty(apply_changes(None, m, USER_STATE), archive_rows(m, USER_STATE))
+    return preload.validate_preload(main, arch, loaded, archived, T_CUTOFF, USER_STATE)
+
+
 @query("validate_preload")
 def q_validate_preload(spark, sf):
-    """Source rebuilt as of T (rows as they stood then: open) against the
-    warehouse after applying every message up to T."""
-    from tidemark.functions.timeconv import SENTINEL_NS
-    main, arch = d.source_pair(spark, sf)
-    src = rebuild_as_of(main, arch, T_CUTOFF, USER_STATE).withColumn("valid_to", F.lit(SENTINEL_NS))
-    tgt = apply_changes(None, _journal_so_far(spark, sf), USER_STATE)
-    return diff_summary(USER_STATE.name, src, tgt)
+    return _preload_check(spark, sf).filter(F.col("table_name") == USER_STATE.name)
+
+
+@query("validate_preload_archive")
+def q_validate_preload_archive(spark, sf):
+    return _preload_check(spark, sf).filter(F.col("table_name") == USER_STATE.archive_name)
 
 
 def _injected(spark, sf) -> tuple[DataFrame, DataFrame]:
@@ -301,8 +351,7 @@ def q_multiset_diff(spark, sf):
 # ---------------------------------------------------------------- control
 @query("preload_cutoff")
 def q_preload_cutoff(spark, sf):
-    reads = _journal_rows(spark, sf).filter(F.col("operation") == "r")
-    return reads.agg(F.coalesce(F.max("event_time"), F.lit(T_CUTOFF)).alias("cutoff_ns"))
+    return preload.cutoff(_journal_rows(spark, sf), T_CUTOFF)
 
 
 def _offset_history(spark, sf) -> DataFrame:
@@ -329,18 +378,12 @@ def q_load_history(spark, sf):
 
 
 def control_history(spark, sf) -> DataFrame:
-    """History after bootstrap, preload (main validated, archive not yet)
-    and one apply batch per day, with batches up to T marked validated."""
-    checkpoint_root(spark)
-    initial = _offset_history(spark, sf)
-    preload = initial.select(
-        "table_name", F.lit(1).cast("long").alias("load_id"), F.lit(0).cast("long").alias("version"),
-        "load_date", "last_message_id", F.lit(control.SUCCESSFUL).alias("status"), "is_preloaded",
-        "ending_offset", (F.col("table_name") == USER_STATE.name).alias("is_validated"),
-        F.lit(None).cast("long").alias("validated_date"))
-    batches = _batch_history(spark, sf)
-    base = initial.unionByName(preload).unionByName(batches).checkpoint(eager=True)
-    return base.unionByName(control.mark_validated(base, None, T_CUTOFF, version=1))
+    """History after bootstrap, preload (both tables loaded, main validated, archive not yet) and one apply
+    batch per day from the cut-off on."""
+    initial = d.materialize(_offset_history(spark, sf))
+    loaded = initial.unionByName(control.mark_preloaded(initial, list(TOPICS), LOADED_AT))
+    checked = loaded.unionByName(control.mark_preload_validated(loaded, [USER_STATE.name], T_CUTOFF))
+    return checked.unionByName(_batch_history(spark, sf).filter(F.col("validated_date") > F.lit(T_CUTOFF)))
 
 
 @query("mark_validated")
@@ -367,25 +410,36 @@ def q_validation_watermarks(spark, sf):
 
 @query("offset_lookup")
 def q_offset_lookup(spark, sf):
-    return control.offset_lookup(control_history(spark, sf), TOPICS)
+    return _offsets(spark, sf)
+
+
+def _offsets(spark, sf) -> DataFrame:
+    """Start offsets of all partitions, with everything up to the cut-off journaled."""
+    journal = _journal_rows(spark, sf).filter(F.col("ts_ns") <= F.lit(T_CUTOFF))
+    return control.offset_lookup(control_history(spark, sf), TOPICS, control.partition_offsets(journal))
 
 
 @query("starting_offsets")
 def q_starting_offsets(spark, sf):
-    return control.offsets_json_column(control.offset_lookup(control_history(spark, sf), TOPICS))
+    return control.offsets_json_column(_offsets(spark, sf))
 
 
 # ---------------------------------------------------------------- streaming
-STREAM_PARTS = 4   # micro-batches the simulated topic is split into (one file each, in time order)
+MICRO_BATCH_ROWS = 250_000  # records of the simulated topic in a micro-batch; at least two are made
 
 
-def write_topic(spark: SparkSession, sf: str, kinds: tuple[str, ...], parts: int = STREAM_PARTS) -> str:
-    """Write the simulated topic as ``parts`` files in record-time order, so a
-    file stream with maxFilesPerTrigger=1 replays it as ordered micro-batches."""
+def write_topic(spark: SparkSession, sf: str, kinds: tuple[str, ...], after_ns: int | None = None) -> tuple[str, int]:
+    """Write the simulated topic, range after range in record-time order, each as the same number of files;
+    returns the folder and that number, which a file stream takes per trigger."""
     path = work_dir(spark, "topic")
-    raw = d.raw_stream(spark, sf, kinds=kinds)
     ts = F.unix_micros(F.col("timestamp"))
-    cuts = raw.select(ts.alias("t")).approxQuantile("t", [i / parts for i in range(1, parts)], 0.001)
+    raw = d.raw_stream(spark, sf, kinds=kinds)
+    if after_ns is not None:
+        raw = raw.filter(ts > F.lit(after_ns // 1000))
+    rows = raw.count()
+    parts = max(2, -(-rows // MICRO_BATCH_ROWS))
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cuts = raw.select(ts.alias("t")).approxQuantile("t", [i / parts for i in range(1, parts)], 0.1 / parts)
     bounds = [None] + cuts + [None]
     for lo, hi in zip(bounds[:-1], bounds[1:]):
         cond = F.lit(True)
@@ -393,38 +447,107 @@ def write_topic(spark: SparkSession, sf: str, kinds: tuple[str, ...], parts: int
             cond = cond & (ts > F.lit(lo))
         if hi is not None:
             cond = cond & (ts <= F.lit(hi))
-        raw.filter(cond).repartition(1).write.mode("append").parquet(path)
-    return path
+        raw.filter(cond).repartition(files).write.mode("append").parquet(path)
+    return path, files
 
 
-def _run_stream(spark, sf, kinds, start) -> CdcStore:
-    topic = write_topic(spark, sf, kinds)
-    root = work_dir(spark, "store")
-    store = CdcStore(spark, root, SPECS)
-    q = start(read_topic_files(spark, topic, max_files_per_trigger=1), store, f"{root}/_stream_checkpoint")
-    q.awaitTermination()
-    return store
+def _store(spark, sf) -> CdcStore:
+    return CdcStore(spark, work_dir(spark, "store"), SPECS, buckets_for(d.table(spark, sf, "events").count(), 10_000))
+
+
+def _run(spark, sf, store: CdcStore, start, kinds, after_ns: int | None = None, **how) -> None:
+    """One stream over the simulated topic to its end, with a checkpoint of its own."""
+    topic, files = write_topic(spark, sf, kinds, after_ns)
+    start(read_topic_files(spark, topic, max_files_per_trigger=files), store, work_dir(spark, "stream"),
+          lambda: LOADED_AT, **how).awaitTermination()
+
+
+CHANGES = tuple(k for k in d.RECORD_KINDS if k != "snapshot")
 
 
 @query("stream_journal")
 def q_stream_journal(spark, sf):
-    store = _run_stream(spark, sf, d.RECORD_KINDS,
-                        lambda s, st, ck: start_journal(s, st, ck, available_now=True, loaded_at_ns=LOADED_AT))
-    return store.journal().select("message_id", "operation", "schema", "table", "ts_ns", "key_id", "event_time")
+    store = _store(spark, sf)
+    _run(spark, sf, store, start_journal, d.RECORD_KINDS, available_now=True)
+    return store.journal().select(*MESSAGE_VIEW)
 
 
 @query("stream_apply")
 def q_stream_apply(spark, sf):
-    store = _run_stream(spark, sf, d.RECORD_KINDS,
-                        lambda s, st, ck: start_apply(s, st, ck, available_now=True, loaded_at_ns=LOADED_AT))
+    store = _store(spark, sf)
+    _run(spark, sf, store, start_apply, d.RECORD_KINDS, available_now=True)
     return store.current(USER_STATE)
 
 
 @query("stream_bootstrap")
 def q_stream_bootstrap(spark, sf):
-    store = _run_stream(spark, sf, ("snapshot",),
-                        lambda s, st, ck: bootstrap(s, st, ck, loaded_at_ns=LOADED_AT))
+    store = _store(spark, sf)
+    _run(spark, sf, store, bootstrap, ("snapshot",))
+    return _initial_rows(spark, sf, store)
+
+
+def _initial_rows(spark, sf, store: CdcStore) -> DataFrame:
     main, arch = d.source_pair(spark, sf)
     starting = snapshot_size(main, arch, T_CUTOFF, USER_STATE, closed=True) \
         .withColumnRenamed("ending_offset", "starting_offset")
     return control.offset_history_rows(starting, store.journal(), LOADED_AT)
+
+
+def _preloaded(spark, sf) -> CdcStore:
+    """Bootstrap, preload, and the marks that go with them."""
+    store = _store(spark, sf)
+    _run(spark, sf, store, bootstrap, ("snapshot",))
+    store.record(lambda _: _initial_rows(spark, sf, store))
+    store.preload({USER_STATE.name: d.source_pair(spark, sf)}, T_CUTOFF, LOADED_AT)
+    return store
+
+
+@query("preload_load")
+def q_preload_load(spark, sf):
+    return _preloaded(spark, sf).current(USER_STATE)
+
+
+@query("preload_archive")
+def q_preload_archive(spark, sf):
+    return _preloaded(spark, sf).archive_view(USER_STATE)
+
+
+@query("stream_bootstrap_then_apply")
+def q_stream_bootstrap_then_apply(spark, sf):
+    """Two streams with two checkpoints on one store: the snapshot, then everything after the cut-off."""
+    store = _preloaded(spark, sf)
+    _run(spark, sf, store, start_apply, CHANGES, T_CUTOFF, available_now=True)
+    return store.current(USER_STATE)
+
+
+@query("apply_in_batches")
+def q_apply_in_batches(spark, sf):
+    """The whole journal as a backlog, applied in bounded batches."""
+    store = _store(spark, sf)
+    _run(spark, sf, store, start_journal, CHANGES, available_now=True)
+    store.process_journal(batch_rows=-(-store.journal().count() // 4), loaded_at_ns=LOADED_AT)
+    return store.current(USER_STATE)
+
+
+@query("process_journal")
+def q_process_journal(spark, sf):
+    """Journal and apply in turns: what one stream has journaled, then what another adds; redelivered
+    messages are known by then."""
+    store = _store(spark, sf)
+    for after in (T_CUTOFF, None):  # the second delivers everything, the first's records again
+        _run(spark, sf, store, start_journal, CHANGES, after, available_now=True)
+    store.process_journal(batch_rows=-(-store.journal().count() // 3), loaded_at_ns=LOADED_AT)
+    store.process_journal(batch_rows=BATCH_ROWS, loaded_at_ns=LOADED_AT)  # nothing is left
+    return store.current(USER_STATE)
+
+
+@query("validation_cycle")
+def q_validation_cycle(spark, sf):
+    """Preload, check, mark; apply the rest; check the next window of both tables; mark it if it holds."""
+    store = _preloaded(spark, sf)
+    source = d.source_pair(spark, sf)
+    validate_cycle(store, source, USER_STATE, T_CUTOFF)
+    _run(spark, sf, store, start_journal, CHANGES, T_CUTOFF, available_now=True)
+    store.process_journal(batch_rows=1 << 40, loaded_at_ns=LOADED_AT)
+    validate_cycle(store, source, USER_STATE, T_CUTOFF)
+    return control.watermarks(store.history())

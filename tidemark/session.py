@@ -43,11 +43,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment and points at shared
-    storage; we only fall back to a local temp folder when nothing is
-    configured (tests, a laptop).
+    storage; without it we fall back to a local temp folder on a local
+    master only (tests, a laptop), and refuse anywhere else: other machines
+    would not see that folder.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not root and not (sc.master == "local" or sc.master.startswith("local[")):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)

@@ -19,7 +19,11 @@ class TableSpec:
     schema_name   ``payload.source.schema``
     topic         stream topic for the main table (archive topic derived)
     projection    select list turning the parsed image into table columns
+    archive_projection  the same for the archive table (default: the main one's)
     date_key      column used for the as-of cut-off on the main table
+    has_deleted   whether the archive table has the ``deleted`` flag
+
+    Keys are whole numbers: the journal has one key column for all tables.
     """
 
     name: str
@@ -30,7 +34,17 @@ class TableSpec:
     topic: str | None = None
     archive_topic: str | None = None
     projection: tuple[str, ...] = field(default_factory=tuple)
+    archive_projection: tuple[str, ...] = field(default_factory=tuple)
     date_key: str = "valid_from"
+    has_deleted: bool = True
+
+    def __post_init__(self):
+        kinds = {f.split()[0]: f.split()[1].upper() for f in self.row_schema.split(", ")}
+        if kinds.get(self.key) not in ("BIGINT", "LONG", "INT", "INTEGER", "SMALLINT", "TINYINT"):
+            raise ValueError(f"{self.name}: the key {self.key} must be a whole number, not {kinds.get(self.key)}")
+        missing = [c for c in ("valid_from", "valid_to", self.date_key) if c not in kinds]
+        if missing:
+            raise ValueError(f"{self.name}: the row image has no {', '.join(missing)}")
 
     @property
     def archive_name(self) -> str:
@@ -49,13 +63,14 @@ class TableSpec:
         return list(self.projection) or self.columns
 
     @property
-    def value_columns(self) -> list[str]:
-        return [c for c in self.columns if c not in (self.key, "valid_from", "valid_to")]
+    def archive_select_list(self) -> list[str]:
+        return list(self.archive_projection) or self.select_list
 
     @staticmethod
     def from_json(text: str) -> "TableSpec":
         raw = json.loads(text)
-        raw["projection"] = tuple(raw.get("projection", ()))
+        for name in ("projection", "archive_projection"):
+            raw[name] = tuple(raw.get(name, ()))
         return TableSpec(**raw)
 
     @staticmethod

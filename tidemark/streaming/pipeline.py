@@ -1,25 +1,45 @@
 """Streaming ingest and apply with ``foreachBatch``.
 
 Each micro-batch is handed to ``CdcStore.process_batch`` on the
-executors' data -- no collect of messages to the driver.  The stream's
-checkpoint records which batches ran; the store's commit markers make a
-replayed batch a no-op, so the pipeline is exactly-once end to end.
+executors' data -- no collect of messages to the driver.  A stream's
+identity lies in its checkpoint folder: after a restart from the same
+checkpoint, a batch that the store has is skipped; a lost or new
+checkpoint is another stream, whose redelivered messages the journal
+recognises.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.operators import control
 from tidemark.sources.store import CdcStore
 
 
-def start_apply(stream: DataFrame, store: CdcStore, checkpoint: str, available_now: bool = False,
-                processing_time: str | None = None, loaded_at_ns: int = 0) -> StreamingQuery:
-    """Journal, apply, archive and record history per micro-batch."""
-    writer = (stream.writeStream
-              .foreachBatch(lambda df, epoch: store.process_batch(df, epoch, loaded_at_ns=loaded_at_ns))
-              .option("checkpointLocation", checkpoint))
+def stream_id(store: CdcStore, checkpoint: str) -> str:
+    """The id kept in the checkpoint folder, made on its first use."""
+    path = f"{checkpoint.rstrip('/')}/_stream_id"
+    if not store.files.exists(path):
+        store.files.create(path, uuid.uuid4().hex)
+    return store.files.read(path)
+
+
+def _start(stream: DataFrame, store: CdcStore, checkpoint: str, available_now: bool, processing_time: str | None,
+           loaded_at_ns: Callable[[], int], **how) -> StreamingQuery:
+    ident = stream_id(store, checkpoint)
+
+    def step(batch: DataFrame, epoch: int) -> None:
+        batch.persist()  # parsed once; the journal anti-join and the write read it
+        try:
+            store.process_batch(batch, ident, epoch, loaded_at_ns=loaded_at_ns(), **how)
+        finally:
+            batch.unpersist()
+
+    writer = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:
@@ -27,22 +47,29 @@ def start_apply(stream: DataFrame, store: CdcStore, checkpoint: str, available_n
     return writer.start()
 
 
-def start_journal(stream: DataFrame, store: CdcStore, checkpoint: str, available_now: bool = False,
-                  loaded_at_ns: int = 0) -> StreamingQuery:
-    """Journal only (dedupe across batches against the stored journal)."""
-    writer = (stream.writeStream
-              .foreachBatch(lambda df, epoch: store.process_batch(df, epoch, loaded_at_ns=loaded_at_ns,
-                                                                  journal_only=True))
-              .option("checkpointLocation", checkpoint))
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    return writer.start()
+def start_apply(stream: DataFrame, store: CdcStore, checkpoint: str, loaded_at_ns: Callable[[], int], available_now: bool = False,
+                processing_time: str | None = None) -> StreamingQuery:
+    """Journal, apply, archive and record history per micro-batch.  ``loaded_at_ns`` is asked once a batch."""
+    return _start(stream, store, checkpoint, available_now, processing_time, loaded_at_ns)
+
 
+def start_journal(stream: DataFrame, store: CdcStore, checkpoint: str, loaded_at_ns: Callable[[], int], available_now: bool = False,
+                  processing_time: str | None = None) -> StreamingQuery:
+    """Journal only (dedupe across batches against the stored journal); ``store.process_journal`` applies."""
+    return _start(stream, store, checkpoint, available_now, processing_time, loaded_at_ns, journal_only=True)
 
-def bootstrap(stream: DataFrame, store: CdcStore, checkpoint: str, loaded_at_ns: int = 0) -> StreamingQuery:
+
+def bootstrap(stream: DataFrame, store: CdcStore, checkpoint: str, loaded_at_ns: Callable[[], int]) -> StreamingQuery:
     """One-shot snapshot load: everything available now, journaled as
     preloaded (snapshot reads kept, no dedupe against history), then stop."""
-    return (stream.writeStream
-            .foreachBatch(lambda df, epoch: store.process_batch(df, epoch, preloaded=True,
-                                                                loaded_at_ns=loaded_at_ns))
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    return _start(stream, store, checkpoint, True, None, loaded_at_ns, preloaded=True)
+
+
+def open_from_history(store: CdcStore, topics: dict[str, str], reader: Callable[[str], DataFrame]) -> DataFrame:
+    """The stream after what the store has journaled: ``reader`` gets the start offsets of every partition
+    as JSON.  Refuses if a table (key of ``topics``) is not preloaded."""
+    history, journal = store.history(), store.journal()
+    if history is None or journal is None:
+        raise RuntimeError(f"tables not preloaded: {', '.join(sorted(topics))}")
+    offsets = control.offset_lookup(history, topics, control.partition_offsets(journal))
+    return reader(control.starting_offsets(offsets, list(topics)))
