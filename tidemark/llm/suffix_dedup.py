@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import BLOCK_BYTES, block_count, blocks, field, packed, result, texts
-from tidemark.llm.hashing import Spans, byte_values, chunks, covered, mix, ranges
+from tidemark.llm.hashing import CHUNK_BYTES, Spans, byte_values, chunks, covered, mix, ranges
 from tidemark.llm.substring_dedup import MESSAGES, count, distinct_flags, limits, member, messages, pack
 
 SIZE = 100
@@ -294,7 +294,10 @@ def decode(body: bytes) -> list[np.ndarray]:
 
 def word_at(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Eight bytes from each place as a big-endian number, so that numbers sort as strings."""
-    return np.ascontiguousarray(data[at[:, None] + np.arange(8)]).view(">u8").ravel().astype(np.uint64)
+    if not len(at):
+        return np.zeros(0, np.uint64)
+    words = np.ndarray((len(data) - 7,), ">u8", np.ascontiguousarray(data), 0, (1,))  # one word from each byte on
+    return words[at].astype(np.uint64)
 
 
 def multikey(data: np.ndarray, start: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -340,6 +343,18 @@ def later(hashes: np.ndarray, ids: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return late
 
 
+def hashed(data: np.ndarray, start: np.ndarray, length: np.ndarray, rows: np.ndarray):
+    """Some of the contexts at a time: which, where each begins in their joined bytes, and those bytes' hashes."""
+    values = byte_values()
+    ends = np.cumsum(length[rows])
+    lo = 0
+    while lo < len(rows):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + CHUNK_BYTES, side="right")))
+        part = rows[lo:hi]
+        yield part, np.cumsum(length[part]) - length[part], Spans(values[gathered(data, start[part], length[part])])
+        lo = hi
+
+
 def repeats(data: np.ndarray, start: np.ndarray, n: np.ndarray, place: np.ndarray, ids: np.ndarray, offs: np.ndarray, size: int) -> np.ndarray:
     """A flag per window of the contexts: it starts earlier in another."""
     windows = int(n.sum())
@@ -349,10 +364,9 @@ def repeats(data: np.ndarray, start: np.ndarray, n: np.ndarray, place: np.ndarra
         return flags
     first_window = np.cumsum(n) - n
     # whole contexts that are equal: all but the earliest are repeats throughout
-    spans = Spans(byte_values()[gathered(data, start[rows], n[rows] + size - 1)])
-    length = n[rows] + size - 1
-    own = np.cumsum(length) - length
-    full = mix(spans.hash(own, own + length) + (place[rows].astype(np.uint64) << np.uint64(32) | n[rows].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15))
+    length = n + size - 1
+    full = np.concatenate([spans.hash(own, own + length[part]) + (place[part].astype(np.uint64) << np.uint64(32) | n[part].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+                           for part, own, spans in hashed(data, start, length, rows)])
     order = np.lexsort((offs[rows], ids[rows], full))
     again = np.zeros(len(rows), bool)
     again[order[1:]] = full[order[1:]] == full[order[:-1]]
@@ -362,8 +376,8 @@ def repeats(data: np.ndarray, start: np.ndarray, n: np.ndarray, place: np.ndarra
     left = np.flatnonzero(~again)
     left = left[np.lexsort((offs[rows[left]] + place[rows[left]], ids[rows[left]]))]
     keep = rows[left]
-    inner = ranges(own[left], n[keep])
-    hashes = spans.hash(inner, inner + size)
+    hashes = np.concatenate([np.zeros(0, np.uint64), *[spans.hash(inner, inner + size) for part, own, spans in hashed(data, start, length, keep)
+                                                       for inner in (ranges(own, n[part]),)]])
     which = ranges(first_window[keep], n[keep])
     at = ranges(start[keep], n[keep])
     order = np.argsort(hashes, kind="stable")
