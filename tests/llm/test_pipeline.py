@@ -65,7 +65,7 @@ def test_stages_and_run(spark, folder):
         assert p.length & (p.length - 1) == 0 and p.length <= 1024 and p.offset == 0
         found.setdefault(str(p.doc_id), []).extend(p.ids)
     assert found == {str(i): ids for i, ids in want[4]}
-    assert sorted(p.sequence_id for p in pieces) == list(range(len(pieces)))
+    assert len({p.sequence_id for p in pieces}) == len(pieces)
 
 
 def test_empty_table(spark, folder):

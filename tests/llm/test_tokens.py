@@ -13,7 +13,7 @@ from tidemark.llm import bpe, packing, token_files
 from tidemark.session import work_dir
 
 ODD = ["", " ", "  a  b", "a\n\nb \n c\t\td", "x y  z <|endoftext|> k<|endoftext|>", "don't  you've\n 's ", "\0 a b", "Ünï 一二三 ²³ ½ q r",
-       "a \n b", "..  ..   x\r\ny", "\x1c \x1f a", " lead", "trail ", "   three   spaces", "a" * 500]
+       "a \n b", "..  ..   x\r\ny", "\x1c \x1f a", " lead", "trail ", "a\n\n\ta\ta", "a\n\tb", "   three   spaces", "a" * 500]
 
 
 @pytest.fixture(scope="module")
@@ -44,7 +44,7 @@ def test_pieces_give_the_same_ids(tokenizer, coder):
             assert ids[a:b].tolist() == ids_of(tokenizer, t)
 
 
-@settings(max_examples=300, deadline=None)
+@settings(max_examples=1500, deadline=None)
 @given(st.lists(st.sampled_from([*"aB'1 é\n\t.<|>\u00a0\u3000字", "end", "  ", "'s", " \n"]), max_size=30).map("".join))
 def test_any_text_gives_the_same_ids(tokenizer, coder, text):
     assert coder.encode([text])[0].tolist() == ids_of(tokenizer, text)
@@ -62,13 +62,13 @@ def test_forgetting_changes_nothing(tokenizer, monkeypatch):
 def test_pieces_partition_documents(spark, tokenizer, longest):
     rows = fixtures.rows()
     got = packing.pack_documents(fixtures.documents(spark), longest=longest).collect()
-    assert sorted(g.sequence_id for g in got) == list(range(len(got)))  # one piece per sequence: none crosses documents
+    assert len({g.sequence_id for g in got}) == len(got)  # one piece per sequence: none crosses documents
     by_length = {}
     for g in got:
         assert g.length <= longest and g.length & (g.length - 1) == 0 and g.offset == 0 and crc(g.ids) == g.ids_crc32 and len(g.ids) == g.length
         by_length.setdefault(g.length, []).append(g.sequence_id)
-    for ids in by_length.values():  # equal lengths are numbered side by side
-        assert max(ids) - min(ids) + 1 == len(ids)
+    for n, ids in by_length.items():  # equal lengths are numbered side by side, longest first
+        assert all(max(ids) < min(by_length[m]) for m in by_length if m < n)
     docs = {}
     for g in got:
         docs.setdefault((str(g.row.doc_id), str(g.row.id), str(g.row.n_chars)), []).append(g)

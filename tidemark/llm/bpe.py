@@ -54,15 +54,29 @@ class Encoder:
 
     def forget(self) -> None:
         self.code: dict[str, int] = {}
-        self.start, self.length = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
+        self.start, self.length, self.uses = (np.zeros(1 << 12, np.int64) for _ in range(3))
         self.ids, self.used = np.zeros(1 << 14, np.uint32), 0
 
+    def shrink(self) -> None:
+        """Keep the half that was used most."""
+        n = len(self.code)
+        keep = np.zeros(n, bool)
+        keep[np.argsort(-self.uses[:n], kind="stable")[:n // 2]] = True
+        number = np.cumsum(keep) - 1
+        self.code = {p: int(number[c]) for p, c in self.code.items() if keep[c]}
+        length = self.length[:n][keep]
+        self.ids = self.ids[ranges(self.start[:n][keep], length)]
+        self.start, self.length, self.uses, self.used = np.cumsum(length) - length, length, self.uses[:n][keep] // 2, len(self.ids)
+
     def pieces(self, text: str) -> list[str]:
         if not text:
             return []
         if not self.cuts:
             return [text]
-        if "\0" not in text and len(text.split()) == text.count(" ") + text.count("\n") + 1:  # single spaces and newlines only
+        words = text.split()
+        between = len(words) - 1
+        # one white character between words, each a space or a newline
+        if "\0" not in text and len(text) - len("".join(words)) == between == text.count(" ") + text.count("\n"):
             return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
         return re.split(r"(?<=\S)(?= \S)", text)
 
@@ -71,7 +85,8 @@ class Encoder:
         new = [e.ids for e in encoded]
         n, size = len(self.code), np.array([len(x) for x in new], np.int64)
         self.code.update(zip(pieces, range(n, n + len(pieces)), strict=True))
-        self.start, self.length = room(self.start, n, len(new)), room(self.length, n, len(new))
+        self.start, self.length, self.uses = (room(x, n, len(new)) for x in (self.start, self.length, self.uses))
+        self.uses[n:n + len(new)] = 0
         self.length[n:n + len(new)] = size
         self.start[n:n + len(new)] = self.used + np.cumsum(size) - size
         total = int(size.sum())
@@ -87,13 +102,16 @@ class Encoder:
             mine = self.pieces(text or "")
             every += mine
             many[i] = len(mine)
-        if len(self.code) > REMEMBERED or self.used > 8 * REMEMBERED:
+        if len(self.code) > REMEMBERED:
+            self.shrink()
+        if self.used > 8 * REMEMBERED:  # long pieces
             self.forget()
         code = np.fromiter(map(self.code.get, every, repeat(-1)), np.int64, len(every))
         missing = np.flatnonzero(code < 0)
         if len(missing):
             self.remember(list(dict.fromkeys(every[i] for i in missing.tolist())))
             code[missing] = np.fromiter((self.code[every[i]] for i in missing.tolist()), np.int64, len(missing))
+        self.uses[:len(self.code)] += np.bincount(code, minlength=len(self.code))
         length = self.length[code]
         flat = self.ids[ranges(self.start[code], length)]
         ends = np.concatenate([[0], np.cumsum(length)])[np.cumsum(many)] if len(texts) else np.zeros(0, np.int64)

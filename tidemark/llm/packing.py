@@ -4,12 +4,13 @@ A document's ids (an end id after them) are cut from left to right into
 pieces of ``longest`` ids and then into pieces of falling powers of two,
 one for each bit of the remainder.  Each piece is a sequence of its own:
 no sequence crosses documents, and none is padded.  Pieces of equal
-length form a bucket, so that a batch has one shape; sequences are
-numbered bucket by bucket, longest first, without gaps.
+length form a bucket, so that a batch has one shape.
 
-The numbering needs no sort and no single task: a task numbers its own
-pieces of each length, and what other tasks hold of that length is added
-from a table of (task, length) counts.
+A sequence's number is made of its bucket, its task and its place among
+the task's pieces of that length: in the order of the numbers, buckets
+follow each other, longest first.  So packing is one pass over the texts
+without a shuffle; numbers are unique, with gaps between tasks.  Write
+the result with ``partitionBy("length")`` to have a folder per bucket.
 
 Null texts are empty: one piece, the end id.  Repeated rows are documents
 of their own.  An empty table gives an empty result.  Other input columns
@@ -25,11 +26,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
-from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import encoded, shared_tokenizer
-from tidemark.llm.common import field, materialize, packed, result
+from tidemark.llm.common import field, packed, result
 
 LONGEST = 1024
 
@@ -42,20 +41,13 @@ def pack_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", lon
         raise ValueError("longest must be a power of two")
     given = packed(docs, key, text, carry)
     shared = shared_tokenizer(docs.sparkSession, tokenizer)
-    columns = "start long, length long, ids_crc32 long, doc_tokens long, task int, number long" + ", ids array<int>" * with_ids
-    pieces = materialize(given.mapInArrow(lambda batches: cut(batches, shared.value, longest, with_ids), result(given, columns)), "pieces")
-    counts = pieces.groupBy("task", "length").agg(F.max("number").alias("n"))  # longest has log2 + 1 lengths
-    before = W.partitionBy("length").orderBy("task").rowsBetween(W.unboundedPreceding, -1)
-    counts = counts.withColumn("before", F.coalesce(F.sum(F.col("n") + 1).over(before), F.lit(0)))
-    totals = counts.groupBy("length").agg(F.sum(F.col("n") + 1).alias("n")).collect()
-    base, reached = {}, 0
-    for row in sorted(totals, key=lambda r: -r.length):
-        base[row.length] = reached
-        reached += row.n
-    first = F.create_map(*[F.lit(x) for pair in base.items() for x in pair]) if base else F.create_map().cast("map<bigint,bigint>")
-    numbered = pieces.join(counts.select("task", "length", (F.col("before") + F.element_at(first, F.col("length"))).alias("before")), ["task", "length"])
-    return numbered.select("row", "start", "length", "ids_crc32", "doc_tokens", (F.col("before") + F.col("number")).alias("sequence_id"),
-                           F.lit(0).cast("long").alias("offset"), *["ids"] * with_ids)
+    columns = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids array<int>" * with_ids
+    return given.mapInArrow(lambda batches: cut(batches, shared.value, longest, with_ids), result(given, columns))
+
+
+def first_number(length: int, longest: int, task: int) -> int:
+    """The number of a task's first piece of that length: four bits or more of bucket, 24 of task, 32 of place."""
+    return (longest.bit_length() - length.bit_length()) << 56 | task << 32
 
 
 def lengths(tokens: int, longest: int) -> list[int]:
@@ -77,11 +69,11 @@ def cut(batches, description: str, longest: int, with_ids: bool):
         number = np.zeros(len(length), np.int64)
         for n in np.unique(length).tolist():
             mine = length == n
-            number[mine] = numbers[n] + np.arange(mine.sum())
+            number[mine] = first_number(n, longest, task) + numbers[n] + np.arange(mine.sum())
             numbers[n] += int(mine.sum())
         columns = [field(batch, "row").take(pa.array(first + doc)), pa.array(at - (np.cumsum(many) - many)[doc]), pa.array(length),
-                   pa.array(crc, pa.int64()), pa.array(many[doc]), pa.array(np.full(len(doc), task, np.int32)), pa.array(number)]
-        names = ["row", "start", "length", "ids_crc32", "doc_tokens", "task", "number"]
+                   pa.array(crc, pa.int64()), pa.array(many[doc]), pa.array(number), pa.array(np.zeros(len(doc), np.int64))]
+        names = ["row", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
         if with_ids:
             offsets = pa.array(np.append(at, len(ids)).astype(np.int32))
             columns.append(pa.ListArray.from_arrays(offsets, pa.array(ids.astype(np.int32))))
