@@ -47,7 +47,8 @@ from tidemark.llm.substring_dedup import MESSAGES, count, distinct_flags, limits
 SIZE = 100
 LEAD = 32
 SAMPLES_PER_BUCKET = 100
-MAX_SAMPLES = 1 << 20  # bound of the splitter sample on the driver, as rows of LEAD bytes
+MAX_SAMPLES = 1 << 16  # bound of the splitter sample on the driver, as rows of LEAD bytes, times OVERSAMPLE
+OVERSAMPLE = 16
 NULL_ID = -(1 << 63)
 
 
@@ -74,29 +75,38 @@ def dedup_suffixes(docs: DataFrame, key: str = "doc_id", text: str = "text", siz
 
 
 def splitters(given: DataFrame, size: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """n - 1 quantiles of the leads in a sample of documents, and the leads that fill more than a bucket."""
-    wanted = min(MAX_SAMPLES, SAMPLES_PER_BUCKET * n)
+    """n - 1 leads that cut what will be sent into about equal parts, and those that fill more than a part.
+
+    From a sample of documents: half of the cuts are quantiles of its leads, which pairs and small groups
+    follow; half are quantiles of the leads that have several contexts in the sample already, each as often
+    as it has, which large groups follow.  For balance only: whatever it holds, the result is the same."""
+    wanted = min(MAX_SAMPLES, SAMPLES_PER_BUCKET * n) * OVERSAMPLE
     length = F.greatest(F.octet_length("doc.text") - size + 1, F.lit(0))
     total = given.agg(F.sum(length)).first()[0] or 0
     density = (size - LEAD + 2) / 2  # positions per anchor
-    share = min(1.0, 16 * wanted * density / max(1, total))  # more documents than needed, as their sizes differ
-    # a sample for balance only: whatever it holds, the result is the same
+    share = min(1.0, wanted * density / max(1, total))
     picked = given.filter(F.pmod(F.xxhash64("doc.id", F.lit("splitters")), F.lit(1 << 20)) <= int(share * (1 << 20)))
-    keep = max(1, round(share * total / density / wanted)) if total else 1
 
     def leads(batches):
         for batch in batches:
             for part in contexts(texts(batch), size):
-                lead = part.leads()[::keep]
-                yield pa.RecordBatch.from_arrays([pa.array([bytes(x).ljust(LEAD, b"\0") for x in lead], pa.binary())], ["lead"])
+                yield pa.RecordBatch.from_arrays([pa.array([bytes(x).ljust(LEAD, b"\0") for x in part.leads()], pa.binary()),
+                                                  pa.array(part.hash.view(np.int64))], ["lead", "context"])
 
-    rows = picked.mapInArrow(leads, "lead binary").toArrow().column("lead").to_pylist()
-    if not rows:
+    rows = picked.mapInArrow(leads, "lead binary, context long").groupBy("lead").agg(F.countDistinct("context").alias("n")).toArrow()
+    if not rows.num_rows:
         return np.zeros(0, f"S{LEAD}"), np.zeros(0, f"S{LEAD}")
-    order = np.sort(np.array(rows, f"S{LEAD}"))
-    cuts = order[(np.arange(1, n) * len(order)) // n]
-    hot = np.unique(cuts[1:][cuts[1:] == cuts[:-1]])
-    return cuts, hot
+    every, many = np.array(rows.column("lead").to_pylist(), f"S{LEAD}"), rows.column("n").to_numpy()
+    order = np.argsort(every)
+    every, many = every[order], many[order]
+    half = n // 2
+    cuts = [every[(np.arange(1, n - half) * len(every)) // (n - half)]]
+    groups = np.flatnonzero(many > 1)
+    if len(groups):
+        ends = np.cumsum(many[groups])
+        cuts.append(every[groups[np.searchsorted(ends, (np.arange(half) * ends[-1]) // max(1, half), side="right")]])
+    cuts = np.sort(np.concatenate(cuts))
+    return cuts, np.unique(cuts[1:][cuts[1:] == cuts[:-1]])
 
 
 class Contexts:
