@@ -78,36 +78,58 @@ def word_counts(batches):
         yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n)], ["word", "n"])
 
 
-def events(docs: list[bytes], words: np.ndarray):
-    """Per chunk of documents: its first document, number of tokens per document, and the bigram and
-    unigram events of all tokens.  Word numbers: the vocabulary, then unknown, end and start."""
-    unknown, end, start = len(words), len(words) + 1, len(words) + 2
-    width = np.uint64(len(words) + 3)
-    for a, b in chunks(docs):
-        found = Words([d.lower() for d in docs[a:b]], ~white_space())
+class Chunk:
+    """Some documents as word numbers (the vocabulary, then unknown, end and start), and their distinct bigrams."""
+
+    def __init__(self, first: int, docs: list[bytes], words: np.ndarray):
+        unknown, end, start = len(words), len(words) + 1, len(words) + 2
+        found = Words([d.lower() for d in docs], ~white_space())
         hashes = found.hashes()
         at = np.minimum(np.searchsorted(words, hashes), max(0, len(words) - 1))
         number = np.where(words[at] == hashes, at, unknown) if len(words) else np.full(len(hashes), unknown)
-        many = np.diff(found.first)
-        token = np.full(len(hashes) + b - a, end, np.int64)
-        token[np.arange(len(hashes)) + np.repeat(np.arange(b - a), many)] = number
-        before = np.concatenate([[start], token[:-1]])
-        before[before == end] = start  # of the next document
-        token, before = token.astype(np.uint64), before.astype(np.uint64)
-        yield a, many + 1, mix(before * width + token), mix(width * width + token), mix(width * width + before)
-
-
-def total_event(words: np.ndarray) -> np.ndarray:
+        own = np.diff(found.first)
+        self.first_doc = first
+        self.many = own + 1  # tokens per document, with its end
+        self.starts = np.cumsum(self.many) - self.many
+        self.doc = np.repeat(np.arange(len(docs)), self.many)
+        self.token = np.full(len(hashes) + len(docs), end, np.int64)
+        self.token[np.arange(len(hashes)) + np.repeat(np.arange(len(docs)), own)] = number
+        before = np.concatenate([[start], self.token[:-1]])
+        before[self.starts] = start
+        self.pairs, self.pair = np.unique(mix((before * (len(words) + 3) + self.token).astype(np.uint64)), return_inverse=True)
+
+    def previous(self, values: np.ndarray, at_start) -> np.ndarray:
+        """The value of each token's predecessor; at a document's start, ``at_start``."""
+        out = np.concatenate([values[:1], values[:-1]])
+        out[self.starts] = at_start
+        return out
+
+    def in_document(self, event: np.ndarray, events: int) -> np.ndarray:
+        """How often a token's event occurs in its document."""
+        _, at, many = np.unique(self.doc * events + event, return_inverse=True, return_counts=True)
+        return many[at]
+
+
+def read(docs: list[bytes], words: np.ndarray) -> list[Chunk]:
+    return [Chunk(a, docs[a:b], words) for a, b in chunks(docs)]
+
+
+def unigram_events(words: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """Events of word numbers; that of the start stands for all tokens together."""
     width = len(words) + 3
-    return mix(np.array([width * width + width], np.uint64))
+    return mix((width * width + numbers).astype(np.uint64))
 
 
-def distinct(docs: list[bytes], words: np.ndarray) -> np.ndarray:
-    # contexts other than the start are tokens too; the start's count is the end's
-    every = [total_event(words), mix(np.array([(len(words) + 3) ** 2 + len(words) + 1], np.uint64))]
-    for _, _, two, one, _ in events(docs, words):
-        every += [np.unique(two), np.unique(one)]
-    return np.unique(np.concatenate(every))
+def events(found: list[Chunk], words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct events of some documents, sorted; and of those, places and numbers of the unigrams."""
+    seen = np.zeros(len(words) + 3, bool)
+    seen[-1] = True
+    for c in found:
+        seen[c.token] = True
+    numbers = np.flatnonzero(seen)
+    single = unigram_events(words, numbers)
+    known = np.unique(np.concatenate([single, *[c.pairs for c in found]]))
+    return known, np.searchsorted(known, single), numbers
 
 
 def planes(values: np.ndarray) -> bytes:
@@ -125,17 +147,17 @@ def send(table: pa.Table, ids: pa.Table, words: np.ndarray, n: int) -> pa.Table:
     docs = texts(table)
     own = field(table, "id").fill_null(0).to_numpy(zero_copy_only=False)
     wanted = np.isin(own, ids.column("id").to_numpy()) & field(table, "id").is_valid().to_numpy(zero_copy_only=False)
-    known = distinct(docs, words)
-    counts = np.zeros((2, len(known)), np.int64)
-    everything = int(np.searchsorted(known, total_event(words))[0])
-    for a, many, two, one, _ in events(docs, words):
-        mine = np.repeat(wanted[a:a + len(many)], many)
-        for event in (two, one):
-            at = np.searchsorted(known, event)
-            counts[0] += np.bincount(at[mine], minlength=len(known))
-            counts[1] += np.bincount(at, minlength=len(known))
-        counts[0, everything] += int(mine.sum())
-        counts[1, everything] += len(mine)
+    found = read(docs, words)
+    known, single, numbers = events(found, words)
+    counts, ones = np.zeros((2, len(known)), np.int64), np.zeros((2, len(words) + 3), np.int64)
+    for c in found:
+        mine = wanted[c.first_doc:c.first_doc + len(c.many)][c.doc]
+        at = np.searchsorted(known, c.pairs)
+        for k, rows in enumerate((mine, slice(None))):
+            counts[k, at] += np.bincount(c.pair[rows], minlength=len(c.pairs))
+            ones[k] += np.bincount(c.token[rows], minlength=len(words) + 3)
+    ones[:, -1] = ones.sum(axis=1)
+    counts[:, single] = ones[:, numbers]
     cuts = np.append(np.searchsorted(known, limits(n)), len(known))
     used = np.flatnonzero(np.diff(cuts))
     body = [pack(known[cuts[b]:cuts[b + 1]]) + planes(counts[0, cuts[b]:cuts[b + 1]].astype(np.uint32)) +
@@ -164,7 +186,8 @@ def add(table: pa.Table, n: int) -> pa.Table:
 
 def score(table: pa.Table, answers: pa.Table, words: np.ndarray, n: int) -> pa.Table:
     docs = texts(table)
-    known = distinct(docs, words)
+    found = read(docs, words)
+    known, single, numbers = events(found, words)
     cuts = np.append(np.searchsorted(known, limits(n)), len(known))
     counts = np.zeros((2, len(known)))
     targets = np.zeros(0, np.int64)
@@ -174,31 +197,26 @@ def score(table: pa.Table, answers: pa.Table, words: np.ndarray, n: int) -> pa.T
             continue
         for k, half in enumerate((body[:len(body) // 2], body[len(body) // 2:])):
             counts[k, cuts[bucket]:cuts[bucket + 1]] = from_planes(half, np.uint64)
-    everything = counts[:, np.searchsorted(known, total_event(words))[0]]
-    width = len(words) + 3
-    start, end = mix(np.array([width * width + width - 1, width * width + width - 2], np.uint64))
+    ones = np.zeros((2, len(words) + 3))
+    ones[:, numbers] = counts[:, single]
     ids = field(table, "id")
     member = np.isin(ids.fill_null(0).to_numpy(zero_copy_only=False), targets) & ids.is_valid().to_numpy(zero_copy_only=False)
     n_tokens, losses = [], [[], []]
-    for a, many, two, one, before in events(docs, words):
-        before[before == start] = end  # as many documents start as end
-        doc = np.repeat(np.arange(len(many)), many)
-        at = [np.searchsorted(known, e) for e in (two, one, before)]
-        own = [in_document(doc, x, len(known)) for x in at]
-        first = np.cumsum(many) - many
-        for k, inside in enumerate((member[a:a + len(many)], np.ones(len(many), bool))):
-            mine = inside[doc]
-            pair, word, context = (counts[k][x] - mine * o for x, o in zip(at, own, strict=True))
-            unigram = (word + 1) / (everything[k] - mine * many[doc] + width - 1)
+    width, end = len(words) + 3, len(words) + 1
+    for c in found:
+        at = np.searchsorted(known, c.pairs)
+        own_pair, own_word = c.in_document(c.pair, len(c.pairs)), c.in_document(c.token, width)
+        own_context = c.previous(own_word, 1)  # a token is a context once; the start is, once a document, like the end
+        for k, inside in enumerate((member[c.first_doc:c.first_doc + len(c.many)], np.ones(len(c.many), bool))):
+            mine = inside[c.doc]
+            word = ones[k][c.token] - mine * own_word
+            pair = counts[k][at][c.pair] - mine * own_pair
+            context = c.previous(ones[k][c.token], ones[k][end]) - mine * own_context
+            unigram = (word + 1) / (ones[k][-1] - mine * c.many[c.doc] + width - 1)
             loss = -np.log((pair + MU * unigram) / (context + MU))
-            losses[k].append(np.add.reduceat(loss, first) / many)
-        n_tokens.append(many)
+            losses[k].append(np.add.reduceat(loss, c.starts) / c.many)
+        n_tokens.append(c.many)
     target, background = (np.concatenate([np.zeros(0), *x]) for x in losses)
     return pa.table({"row": field(table, "row"), "n_tokens": pa.array(np.concatenate([np.zeros(0, np.int64), *n_tokens])),
                      "loss_target": target, "loss_background": background, "score": target - background})
 
-
-def in_document(doc: np.ndarray, event: np.ndarray, events: int) -> np.ndarray:
-    """For each event of a document, how often that document has it."""
-    _, at, many = np.unique(doc * events + event, return_inverse=True, return_counts=True)
-    return many[at]
