@@ -39,9 +39,8 @@ def dedupe(batch: DataFrame, journal: DataFrame | None = None, preloaded: bool =
       one row, the one with the lowest source position;
     * unless preloading, snapshot reads (op 'r') and null ops are dropped,
       and messages already journaled -- equal on (key_id, operation, table,
-      ts_ns), nulls never equal -- are removed by an anti-join.  If the
-      journal is partitioned by ``day``, so is the join, and days that the
-      batch does not touch are not read.
+      ts_ns), nulls never equal -- are removed by an anti-join, on the day
+      too if the journal has one.
     """
     source = [c for c in SOURCE_COLUMNS if c in batch.columns]
     b = batch
