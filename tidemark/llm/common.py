@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import math
 from collections.abc import Callable
 
@@ -13,6 +15,7 @@ from pyspark.sql import types as T
 
 from tidemark.session import checkpoint_root, work_dir
 
+BATCH_BYTES = 4 << 20  # of an Arrow batch between the JVM and a Python worker
 BLOCK_BYTES = 24 << 20  # text bytes that one task holds at a time
 
 
@@ -44,6 +47,32 @@ def text_bytes(docs: DataFrame, text: str) -> int:
     return docs.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes: ten thousand long texts at once are too much for either side."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name) == "67108864b":  # Spark's default; another value is the user's choice
+        spark.conf.set(name, BATCH_BYTES)
+
+
+def trim() -> None:
+    """Give back to the system what a block has used: workers live on from task to task."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only where the C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def trimmed(step: Callable) -> Callable:
+    """A block's or bucket's step that leaves no freed memory behind."""
+
+    def done(out: pa.Table) -> pa.Table:
+        trim()
+        return out
+
+    if step.__code__.co_argcount == 1:  # Spark looks at the number of arguments
+        return lambda table: done(step(table))
+    return lambda table, other: done(step(table, other))
+
+
 def block_count(docs: DataFrame, text: str, block_bytes: int = BLOCK_BYTES) -> int:
     """How many blocks of documents hold at most about ``block_bytes`` of text each."""
     return max(partitions(docs.sparkSession), math.ceil(text_bytes(docs, text) / block_bytes))
@@ -56,6 +85,7 @@ def quoted(name: str) -> str:
 def packed(docs: DataFrame, key: str, text: str, carry: list[str] | None = None) -> DataFrame:
     """One struct column ``doc`` with fields ``id``, ``text`` and ``row`` (the carried columns), so
     that no other column name can clash."""
+    small_batches(docs.sparkSession)
     carry = [c for c in docs.columns if c != text] if carry is None else carry
     row = F.struct(*[F.col(quoted(c)) for c in carry]) if carry else F.lit(None).cast("struct<none:int>")
     return docs.select(F.struct(F.col(quoted(key)).cast("long").alias("id"), F.col(quoted(text)).cast("string").alias("text"),

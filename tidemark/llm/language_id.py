@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import field, packed, quoted, result, share, texts
+from tidemark.llm.common import field, packed, quoted, result, share, texts, trim
 from tidemark.llm.hashing import chunks, mix
 
 GRAM = 4
@@ -182,6 +182,7 @@ def predict(batches, filters: Filters):
             scores += [s if some else 0.0 for s, some in zip(share.tolist(), has_letter, strict=True)]
         yield pa.RecordBatch.from_arrays([field(batch, "row"), field(batch, "text"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                                          ["row", "text", "lang_pred", "score"])
+    trim()
 
 
 def letter_flags(docs: list[str]) -> list[bool]:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import BLOCK_BYTES, block_count, blocks, checkpointed, field, packed, result, share, texts
+from tidemark.llm.common import BLOCK_BYTES, block_count, blocks, checkpointed, field, packed, result, share, texts, trimmed
 from tidemark.llm.hashing import Words, chunks, mix, white_space
 from tidemark.llm.substring_dedup import MESSAGES, limits, messages, pack, unpack
 
@@ -50,10 +50,10 @@ def score_documents(docs: DataFrame, target_ids: DataFrame, key: str = "doc_id",
     dealt = blocks(given, n)
     target = target_ids.select(F.col(target_ids.columns[0]).cast("long").alias("id")).filter("id IS NOT NULL").distinct()
     target = target.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int"))
-    sent = dealt.groupBy("block").cogroup(target.groupBy("block")).applyInArrow(lambda t, ids: send(t, ids, words(), n), MESSAGES)
-    summed = sent.groupBy("bucket").applyInArrow(lambda t: add(t, n), MESSAGES)
+    sent = dealt.groupBy("block").cogroup(target.groupBy("block")).applyInArrow(trimmed(lambda t, ids: send(t, ids, words(), n)), MESSAGES)
+    summed = sent.groupBy("bucket").applyInArrow(trimmed(lambda t: add(t, n)), MESSAGES)
     out = result(given, "n_tokens long, loss_target double, loss_background double, score double")
-    return dealt.groupBy("block").cogroup(summed.groupBy("block")).applyInArrow(lambda t, answers: score(t, answers, words(), n), out)
+    return dealt.groupBy("block").cogroup(summed.groupBy("block")).applyInArrow(trimmed(lambda t, answers: score(t, answers, words(), n)), out)
 
 
 def common_words(given: DataFrame, vocabulary: int) -> np.ndarray:

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import checkpointed, components, field, materialize, packed, partitions, result, texts
+from tidemark.llm.common import checkpointed, components, field, materialize, packed, partitions, result, texts, trim
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -101,6 +101,7 @@ def fingerprints(batches, shingle: int):
     for batch in batches:
         bits = np.array([fingerprint(t, shingle) for t in texts(batch)], np.uint64).view(np.int64)
         yield pa.RecordBatch.from_arrays([field(batch, "row"), field(batch, "id"), pa.array(bits)], ["row", "id", "bits"])
+    trim()
 
 
 def links(distinct: DataFrame, max_bits: int) -> DataFrame:

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import BLOCK_BYTES, block_count, blocks, field, packed, result, texts
+from tidemark.llm.common import BLOCK_BYTES, block_count, blocks, field, packed, result, texts, trimmed
 from tidemark.llm.hashing import Spans, Words, chunks, covered, mix, white_space
 
 SIZE = 35
@@ -36,10 +36,10 @@ def dedup_substrings(docs: DataFrame, key: str = "doc_id", text: str = "text", s
     given = packed(docs, key, text, carry)
     out = result(given, "n_words long, n_removed long, spans array<struct<start:long,end:long>>, kept string")
     dealt = blocks(given, n)
-    sent = dealt.groupBy("block").applyInArrow(lambda t: send(t, size, n), MESSAGES)
-    repeated = sent.groupBy("bucket").applyInArrow(count, MESSAGES)
+    sent = dealt.groupBy("block").applyInArrow(trimmed(lambda t: send(t, size, n)), MESSAGES)
+    repeated = sent.groupBy("bucket").applyInArrow(trimmed(lambda t: count(t)), MESSAGES)
     return dealt.groupBy("block").cogroup(repeated.groupBy("block")).applyInArrow(
-        lambda t, answers: cut(t, answers, size, n), out)
+        trimmed(lambda t, answers: cut(t, answers, size, n)), out)
 
 
 def windows(docs: list[bytes], size: int):

@@ -40,15 +40,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import BLOCK_BYTES, block_count, blocks, field, packed, result, texts
+from tidemark.llm.common import BLOCK_BYTES, block_count, blocks, field, packed, result, texts, trimmed
 from tidemark.llm.hashing import CHUNK_BYTES, Spans, byte_values, chunks, covered, mix, ranges
 from tidemark.llm.substring_dedup import MESSAGES, count, distinct_flags, limits, member, messages, pack
 
 SIZE = 100
 LEAD = 32
-SAMPLES_PER_BUCKET = 100
+SAMPLES_PER_BUCKET = 64
 MAX_SAMPLES = 1 << 16  # bound of the splitter sample on the driver, as rows of LEAD bytes, times OVERSAMPLE
-OVERSAMPLE = 16
+OVERSAMPLE = 8
 NULL_ID = -(1 << 63)
 
 
@@ -65,13 +65,13 @@ def dedup_suffixes(docs: DataFrame, key: str = "doc_id", text: str = "text", siz
     cuts, hot = splitters(given, size, n)
     shared = docs.sparkSession.sparkContext.broadcast((cuts, hot))
     dealt = blocks(given, n)
-    leads = dealt.groupBy("block").applyInArrow(lambda t: send_leads(t, size, n), MESSAGES)
-    counted = leads.groupBy("bucket").applyInArrow(count, MESSAGES)
+    leads = dealt.groupBy("block").applyInArrow(trimmed(lambda t: send_leads(t, size, n)), MESSAGES)
+    counted = leads.groupBy("bucket").applyInArrow(trimmed(lambda t: count(t)), MESSAGES)
     sent = dealt.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(
-        lambda t, answers: send(t, answers, size, n, *shared.value), MESSAGES)
-    repeated = sent.groupBy("bucket").applyInArrow(lambda t: resolve(t, size, n), MESSAGES)
+        trimmed(lambda t, answers: send(t, answers, size, n, *shared.value)), MESSAGES)
+    repeated = sent.groupBy("bucket").applyInArrow(trimmed(lambda t: resolve(t, size, n)), MESSAGES)
     return dealt.groupBy("block").cogroup(repeated.groupBy("block")).applyInArrow(
-        lambda t, answers: cut(t, answers, size, n, *shared.value, as_text), out)
+        trimmed(lambda t, answers: cut(t, answers, size, n, *shared.value, as_text)), out)
 
 
 def splitters(given: DataFrame, size: int, n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import quoted
+from tidemark.llm.common import quoted, small_batches
 
 SPACE = uuid.UUID("7f1c3f0e-5a7e-5f1a-9d55-0c6a3f6f2b10")  # names record ids
 RECORDS = ("record_type string, record_id string, refers_to string, concurrent_to string, target_uri string, date string, "
@@ -65,6 +65,7 @@ def as_responses(pages: DataFrame, key: str = "page_id", uri: str = "url", html:
 
 def derivatives(responses: DataFrame) -> DataFrame:
     """Two rows per response: ``row`` and the columns of a record (see RECORDS)."""
+    small_batches(responses.sparkSession)
     schema = T.StructType([responses.schema["row"], *T.StructType.fromDDL(RECORDS).fields])
     return responses.mapInArrow(derive, schema)
 
