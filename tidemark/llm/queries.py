@@ -33,7 +33,8 @@ def op1_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
         head("WARC-Concurrent-To").alias("concurrent_to"), head("WARC-Target-URI").alias("target_uri"),
         head("WARC-Source-Payload-Digest").alias("source_payload_digest"), head("WARC-Block-Digest").alias("block_digest"),
         F.length("block").cast("long").alias("n_bytes"), F.sha2("block", 256).alias("block_sha256"))
-    return read.join(responses.select("row.page_id", F.col("record_id").alias("refers_to")).distinct(), "refers_to")
+    keys = responses.select("row.page_id", F.col("record_id").alias("refers_to")).distinct()
+    return read.join(keys.hint("merge"), "refers_to")  # the planner cannot know how much the files hold
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

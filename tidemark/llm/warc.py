@@ -82,7 +82,7 @@ class Page(HTMLParser):
         self.in_title = False
 
     def handle_starttag(self, tag, attrs):
-        values = {k: v or "" for k, v in attrs}
+        values = {k: v or "" for k, v in attrs} if attrs else {}
         if tag == "html":
             self.lang = self.lang or values.get("lang", "")
         elif tag == "meta":
@@ -122,6 +122,9 @@ class Page(HTMLParser):
         elif not self.skipped:
             self.parts.append(data)
 
+    def updatepos(self, i, j):  # nobody asks for line numbers
+        return j
+
     def text(self) -> str:
         lines = (" ".join(line.split()) for line in "".join(self.parts).split("\n"))
         return "\n".join(line for line in lines if line)
@@ -143,6 +146,8 @@ def digest(data: bytes) -> str:
 
 
 def line(value: str | None) -> str:
+    if value is None or value.isprintable():  # neither control characters nor line ends
+        return (value or "").strip()
     return re.sub(r"[\x00-\x1f\x7f\x85\u2028\u2029]+", " ", value or "").strip()
 
 
@@ -214,7 +219,7 @@ def write_file(batches, path: str):
         for head, block in zip(batch.column("headers").to_pylist(), batch.column("block").to_pylist(), strict=True):
             if out is None:
                 out = store.open_output_stream(f"{root}/.{name}", compression=None)
-            out.write(gzip.compress(head.encode() + block + b"\r\n\r\n", 6, mtime=0))
+            out.write(gzip.compress(head.encode() + block + b"\r\n\r\n", 2, mtime=0))
     if out is not None:
         out.close()
         store.move(f"{root}/.{name}", f"{root}/{name}.warc.gz")
