@@ -19,10 +19,10 @@ from itertools import repeat
 import numpy as np
 from pyspark.sql import SparkSession
 
-from tidemark.llm.common import texts
+from tidemark.llm.common import texts, trim
 from tidemark.llm.hashing import chunks, ranges
 
-REMEMBERED = 1_000_000
+REMEMBERED = 600_000
 END = 0
 
 
@@ -144,3 +144,4 @@ def encoded(batches, description: str):
         docs = texts(batch)
         for a, b in chunks(docs):
             yield batch, a, *coder.encode([d.decode() for d in docs[a:b]])
+    trim()
