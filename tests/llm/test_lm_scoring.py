@@ -45,6 +45,18 @@ def test_matches_brute_force(spark, vocabulary):
     assert all(abs(g.score - (g.loss_target - g.loss_background)) < 1e-12 for g in got)
 
 
+def test_rare_words_count(spark):
+    """Of 70,000 words that occur three times at most, each is told from the others."""
+    docs = [(i, " ".join(f"w{(i * 6000 + k) % 70_000}" for k in range(9000))) for i in range(12)]
+    ids = spark.createDataFrame([(0,), (1,), (5,)], "doc_id long")
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = sorted(lm.score_documents(frame, ids, block_bytes=100_000).collect(), key=lambda g: g.row.doc_id)
+    want = list(brute_force(docs, {0, 1, 5}, float("inf")))
+    assert [g.n_tokens for g in got] == [w[0] for w in want]
+    assert np.allclose([(g.loss_target, g.loss_background) for g in got], [w[1:] for w in want], atol=1e-9)
+    assert np.ptp([g.score for g in got]) > 0.5
+
+
 def test_without_targets_or_rows(spark):
     none = spark.createDataFrame([], "doc_id long")
     assert lm.score_documents(fixtures.empty(spark), none).collect() == []

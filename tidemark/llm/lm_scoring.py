@@ -1,8 +1,8 @@
 """Cross-entropy difference: score documents by two matched bigram models.
 
 The target model counts the documents whose label says so, the background
-model counts all documents.  Both have the same vocabulary (the words of
-all documents that occur most, at most ``VOCABULARY`` of them), order and
+model counts all documents.  Both have the same vocabulary (every word of
+all documents, however rare, unless a caller bounds it), order and
 smoothing: a bigram's probability is its relative frequency with ``MU``
 pseudo-counts of the unigram distribution, which has one pseudo-count for
 each word.  Unknown words and the ends of documents are words of the
@@ -15,8 +15,11 @@ Documents are dealt into blocks.  A block sends the distinct events
 (bigrams and unigrams) of its documents with their counts in both models
 to hash-range buckets, which add them up over all blocks and send the
 sums back: each block gets exactly the part of the models that its
-documents need, and no table of all n-grams is ever broadcast or joined.
-The vocabulary has a fixed bound and is broadcast.
+documents need, and no table of all words or n-grams is ever broadcast or
+joined.  Words are known by 64-bit hashes and numbered inside a block.
+Every bucket also counts the distinct words that it has, and tells every
+block: the sum is the size of the vocabulary, which smoothing needs.
+Only a vocabulary that a caller bounds is broadcast.
 
 Null texts are empty: one token, the end.  Labels of other documents, null
 ids, and repeated labels change nothing.  Repeated documents count as
@@ -27,33 +30,37 @@ columns come back inside ``row``.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import BLOCK_BYTES, block_count, blocks, checkpointed, field, packed, result, share, texts, trimmed
-from tidemark.llm.hashing import Words, chunks, mix, white_space
+from tidemark.llm.hashing import BASE, Words, chunks, mix, white_space
 from tidemark.llm.substring_dedup import MESSAGES, limits, messages, pack, unpack
 
-VOCABULARY = 1 << 16
+VOCABULARY = math.inf  # no bound
 MU = 8.0
+SPECIAL = mix(np.arange(1, 4, dtype=np.uint64))  # stand for unknown words, ends and starts beside the words' hashes
 
 
 def score_documents(docs: DataFrame, target_ids: DataFrame, key: str = "doc_id", text: str = "text", carry: list[str] | None = None,
-                    vocabulary: int = VOCABULARY, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                    vocabulary: float = VOCABULARY, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per input row: ``row`` (carried columns), ``n_tokens`` (its words and the end), ``loss_target``,
-    ``loss_background`` (nats per token) and ``score``.  ``target_ids`` has the target documents' ids in its first column."""
+    ``loss_background`` (nats per token) and ``score``.  ``target_ids`` has the target documents' ids in its first column.
+    With a finite ``vocabulary``, only so many of the most frequent words are told apart."""
     n = block_count(docs, text, block_bytes)
     given = packed(docs, key, text, carry)
-    words = share(docs.sparkSession, common_words(given, vocabulary))
+    kept = share(docs.sparkSession, None if vocabulary == math.inf else common_words(given, vocabulary))
     dealt = blocks(given, n)
     target = target_ids.select(F.col(target_ids.columns[0]).cast("long").alias("id")).filter("id IS NOT NULL").distinct()
     target = target.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int"))
-    sent = dealt.groupBy("block").cogroup(target.groupBy("block")).applyInArrow(trimmed(lambda t, ids: send(t, ids, words(), n)), MESSAGES)
+    sent = dealt.groupBy("block").cogroup(target.groupBy("block")).applyInArrow(trimmed(lambda t, ids: send(t, ids, kept(), n)), MESSAGES)
     summed = sent.groupBy("bucket").applyInArrow(trimmed(lambda t: add(t, n)), MESSAGES)
     out = result(given, "n_tokens long, loss_target double, loss_background double, score double")
-    return dealt.groupBy("block").cogroup(summed.groupBy("block")).applyInArrow(trimmed(lambda t, answers: score(t, answers, words(), n)), out)
+    return dealt.groupBy("block").cogroup(summed.groupBy("block")).applyInArrow(trimmed(lambda t, answers: score(t, answers, kept(), n)), out)
 
 
 def common_words(given: DataFrame, vocabulary: int) -> np.ndarray:
@@ -79,24 +86,22 @@ def word_counts(batches):
 
 
 class Chunk:
-    """Some documents as word numbers (the vocabulary, then unknown, end and start), and their distinct bigrams."""
+    """Some documents as word numbers (the block's words, then unknown, end and start), and their distinct bigrams."""
 
-    def __init__(self, first: int, docs: list[bytes], words: np.ndarray):
+    def __init__(self, first: int, own: np.ndarray, distinct: np.ndarray, word: np.ndarray, words: np.ndarray):
         unknown, end, start = len(words), len(words) + 1, len(words) + 2
-        found = Words([d.lower() for d in docs], ~white_space())
-        hashes = found.hashes()
-        at = np.minimum(np.searchsorted(words, hashes), max(0, len(words) - 1))
-        number = np.where(words[at] == hashes, at, unknown) if len(words) else np.full(len(hashes), unknown)
-        own = np.diff(found.first)
+        at = np.minimum(np.searchsorted(words, distinct), max(0, len(words) - 1))
+        number = np.where(words[at] == distinct, at, unknown) if len(words) else np.full(len(distinct), unknown)
         self.first_doc = first
         self.many = own + 1  # tokens per document, with its end
         self.starts = np.cumsum(self.many) - self.many
-        self.doc = np.repeat(np.arange(len(docs)), self.many)
-        self.token = np.full(len(hashes) + len(docs), end, np.int64)
-        self.token[np.arange(len(hashes)) + np.repeat(np.arange(len(docs)), own)] = number
+        self.doc = np.repeat(np.arange(len(own)), self.many)
+        self.token = np.full(len(word) + len(own), end, np.int64)
+        self.token[np.arange(len(word)) + np.repeat(np.arange(len(own)), own)] = number[word]
         before = np.concatenate([[start], self.token[:-1]])
         before[self.starts] = start
-        self.pairs, self.pair = np.unique(mix((before * (len(words) + 3) + self.token).astype(np.uint64)), return_inverse=True)
+        value = np.concatenate([words, SPECIAL])
+        self.pairs, self.pair = np.unique(mix(value[before] * np.uint64(BASE) + value[self.token]) & ~np.uint64(1), return_inverse=True)
 
     def previous(self, values: np.ndarray, at_start) -> np.ndarray:
         """The value of each token's predecessor; at a document's start, ``at_start``."""
@@ -110,14 +115,22 @@ class Chunk:
         return many[at]
 
 
-def read(docs: list[bytes], words: np.ndarray) -> list[Chunk]:
-    return [Chunk(a, docs[a:b], words) for a, b in chunks(docs)]
+def read(docs: list[bytes], kept: np.ndarray | None) -> tuple[list[Chunk], np.ndarray]:
+    """Documents in chunks, and the sorted hashes of their distinct words (of those in ``kept``, if given)."""
+    found = []
+    for a, b in chunks(docs):
+        split = Words([d.lower() for d in docs[a:b]], ~white_space())
+        found.append((a, np.diff(split.first), *np.unique(split.hashes(), return_inverse=True)))
+    words = np.unique(np.concatenate([np.zeros(0, np.uint64), *[distinct for _, _, distinct, _ in found]]))
+    if kept is not None:
+        words = words[np.isin(words, kept)]
+    return [Chunk(*part, words) for part in found], words
 
 
 def unigram_events(words: np.ndarray, numbers: np.ndarray) -> np.ndarray:
-    """Events of word numbers; that of the start stands for all tokens together."""
-    width = len(words) + 3
-    return mix((width * width + numbers).astype(np.uint64))
+    """Events of word numbers; that of the start stands for all tokens together.  Those of words, and no others, are odd."""
+    found = mix(np.concatenate([words, SPECIAL])[numbers] + np.uint64(1))
+    return np.where(numbers < len(words), found | np.uint64(1), found & ~np.uint64(1))
 
 
 def events(found: list[Chunk], words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -133,21 +146,22 @@ def events(found: list[Chunk], words: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def planes(values: np.ndarray) -> bytes:
-    return np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T.tobytes()
+    return np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
 
 
 def from_planes(body: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(body, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
 
-def send(table: pa.Table, ids: pa.Table, words: np.ndarray, n: int) -> pa.Table:
-    """The distinct events of a block with their counts in the target and in all documents."""
+def send(table: pa.Table, ids: pa.Table, kept: np.ndarray | None, n: int) -> pa.Table:
+    """The distinct events of a block with their counts in the target and in all documents.  Every bucket gets a
+    message, if only an empty one, so that it answers with its number of words."""
     if not table.num_rows:
         return messages([], [], [])
     docs = texts(table)
     own = field(table, "id").fill_null(0).to_numpy(zero_copy_only=False)
     wanted = np.isin(own, ids.column("id").to_numpy()) & field(table, "id").is_valid().to_numpy(zero_copy_only=False)
-    found = read(docs, words)
+    found, words = read(docs, kept)
     known, single, numbers = events(found, words)
     counts, ones = np.zeros((2, len(known)), np.int64), np.zeros((2, len(words) + 3), np.int64)
     for c in found:
@@ -159,15 +173,15 @@ def send(table: pa.Table, ids: pa.Table, words: np.ndarray, n: int) -> pa.Table:
     ones[:, -1] = ones.sum(axis=1)
     counts[:, single] = ones[:, numbers]
     cuts = np.append(np.searchsorted(known, limits(n)), len(known))
-    used = np.flatnonzero(np.diff(cuts))
     body = [pack(known[cuts[b]:cuts[b + 1]]) + planes(counts[0, cuts[b]:cuts[b + 1]].astype(np.uint32)) +
-            planes(counts[1, cuts[b]:cuts[b + 1]].astype(np.uint32)) for b in used]
+            planes(counts[1, cuts[b]:cuts[b + 1]].astype(np.uint32)) for b in range(n)]
     number = table.column("block")[0].as_py()  # to itself, the block sends which of its documents are targets
-    return messages([number] * (len(used) + 1), [*used.tolist(), n + number], [*body, np.unique(own[wanted]).astype(np.int64).tobytes()])
+    return messages([number] * (n + 1), [*range(n), n + number], [*body, np.unique(own[wanted]).astype(np.int64).tobytes()])
 
 
 def add(table: pa.Table, n: int) -> pa.Table:
-    """The sums over all blocks, sent back to each block for its events.  What a block sends to itself stays as it is."""
+    """The bucket's number of distinct words, and the sums over all blocks, sent back to each block for its events.
+    What a block sends to itself stays as it is."""
     if not table.num_rows or table.column("bucket")[0].as_py() >= n:
         return table.select(["block", "bucket", "body"])
     bodies = table.column("body").to_pylist()
@@ -180,22 +194,25 @@ def add(table: pa.Table, n: int) -> pa.Table:
         np.add.at(total, at, part.astype(np.uint64))
         sums.append(total[at])
     ends = np.cumsum(sizes)[:-1]
-    body = [planes(t) + planes(b) for t, b in zip(np.split(sums[0], ends), np.split(sums[1], ends), strict=True)]
+    many = np.int64(np.count_nonzero(known & np.uint64(1))).tobytes()
+    body = [many + planes(t) + planes(b) for t, b in zip(np.split(sums[0], ends), np.split(sums[1], ends), strict=True)]
     return messages(table.column("block").to_pylist(), table.column("bucket").to_pylist(), body)
 
 
-def score(table: pa.Table, answers: pa.Table, words: np.ndarray, n: int) -> pa.Table:
+def score(table: pa.Table, answers: pa.Table, kept: np.ndarray | None, n: int) -> pa.Table:
     docs = texts(table)
-    found = read(docs, words)
+    found, words = read(docs, kept)
     known, single, numbers = events(found, words)
     cuts = np.append(np.searchsorted(known, limits(n)), len(known))
     counts = np.zeros((2, len(known)))
     targets = np.zeros(0, np.int64)
+    vocabulary = 2  # unknown and end, and every bucket's words
     for bucket, body in zip(answers.column("bucket").to_pylist(), answers.column("body").to_pylist(), strict=True):
         if bucket >= n:
             targets = np.frombuffer(body, np.int64)
             continue
-        for k, half in enumerate((body[:len(body) // 2], body[len(body) // 2:])):
+        vocabulary += int(np.frombuffer(body, np.int64, 1)[0])
+        for k, half in enumerate((body[8:4 + len(body) // 2], body[4 + len(body) // 2:])):
             counts[k, cuts[bucket]:cuts[bucket + 1]] = from_planes(half, np.uint64)
     ones = np.zeros((2, len(words) + 3))
     ones[:, numbers] = counts[:, single]
@@ -212,7 +229,7 @@ def score(table: pa.Table, answers: pa.Table, words: np.ndarray, n: int) -> pa.T
             word = ones[k][c.token] - mine * own_word
             pair = counts[k][at][c.pair] - mine * own_pair
             context = c.previous(ones[k][c.token], ones[k][end]) - mine * own_context
-            unigram = (word + 1) / (ones[k][-1] - mine * c.many[c.doc] + width - 1)
+            unigram = (word + 1) / (ones[k][-1] - mine * c.many[c.doc] + vocabulary)
             loss = -np.log((pair + MU * unigram) / (context + MU))
             losses[k].append(np.add.reduceat(loss, c.starts) / c.many)
         n_tokens.append(c.many)
