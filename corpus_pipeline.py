@@ -1,6 +1,6 @@
 """The corpus pipeline over ``documents``.
 
-Language ID drops texts without a language; SimHash near-dedup keeps one
+Language ID drops texts without a letter; SimHash near-dedup keeps one
 document of each group; suffix-array dedup removes repeated byte
 strings; decontamination drops documents with benchmark passages; packing
 turns what is left into sequences.  Each stage reads its predecessor's
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialize, quoted
 from tidemark.llm.decontaminate import decontaminate
-from tidemark.llm.language_id import UNKNOWN, identify, learn
+from tidemark.llm.language_id import NO_LETTER, identify, learn
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.simhash import keep_one_of_each
 from tidemark.llm.suffix_dedup import dedup_suffixes
@@ -30,8 +30,9 @@ def as_documents(docs: DataFrame, found: DataFrame, text) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language: those with a letter.  The label may be missing or wrong; it stays as it is."""
-    found = identify(docs, learn(docs)).filter(F.col("lang_pred") != UNKNOWN)
+    """Documents with a language: those with a letter, also when no label was there to learn from.  The label may be
+    missing or wrong; it stays as it is."""
+    found = identify(docs, learn(docs)).filter(F.col("outcome") != NO_LETTER)
     return found.select(*[(F.col("text") if c == "text" else F.col(f"row.{quoted(c)}")).alias(c) for c in docs.columns])
 
 

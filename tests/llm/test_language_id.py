@@ -67,3 +67,23 @@ def test_without_labels_or_rows(spark):
     assert {g.lang_pred for g in li.identify(docs, none).collect()} == {"und"}
     assert li.identify(fixtures.empty(spark), none).collect() == []
     assert li.learn(fixtures.empty(spark).selectExpr("*", "'en' AS lang")).languages == []
+
+
+def test_one_document_is_enough_to_learn(spark):
+    rows = [(1, "the quick brown fox jumps over the lazy dog", "en"), (4, "der schnelle braune Fuchs springt", "de"),
+            (2, "quick brown dog", None), (3, "braune schnelle", None)]
+    assert not any(zlib.crc32(str(r[0]).encode()) % 5 == 0 for r in rows[:2])  # neither is held out
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    filters = li.learn(docs)
+    assert filters.languages == ["de", "en"]
+    got = {g.row.doc_id: (g.lang_pred, g.outcome) for g in li.identify(docs, filters).collect()}
+    assert got[2] == ("en", "predicted") and got[3] == ("de", "predicted")
+
+
+def test_outcomes(spark):
+    docs = spark.createDataFrame([(1, "some words"), (2, "12 !"), (3, None)], "doc_id long, text string")
+    unlearned = li.learn(docs.selectExpr("*", "CAST(NULL AS STRING) AS lang"))
+    learned = li.learn(docs.selectExpr("*", "'en' AS lang"))
+    for filters, first in ((unlearned, "unlearned"), (learned, "predicted")):
+        got = {g.row.doc_id: g.outcome for g in li.identify(docs, filters).collect()}
+        assert got == {1: first, 2: "no letter", 3: "no letter"}

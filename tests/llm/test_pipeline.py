@@ -75,6 +75,13 @@ def test_empty_table(spark, folder):
     assert corpus_pipeline.run(spark, path).collect() == []
 
 
+def test_unlabelled_documents_stay(spark, folder):
+    """Without any label nothing is learned; the stage keeps what it keeps with labels."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet").selectExpr("* EXCEPT (lang)", "CAST(NULL AS STRING) AS lang")
+    got = corpus_pipeline.language_id(spark, docs, folder).collect()
+    assert sorted(str(g.doc_id) for g in got) == sorted(str(r[0]) for r in next(brute_force()))
+
+
 def test_stages_are_the_dealt_ones():
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "language ID", "SimHash near-dedup", "suffix-array dedup", "benchmark decontamination", "packing"]

@@ -3,7 +3,8 @@
 Learning: in a bounded sample of labelled texts (about
 ``SAMPLE_PER_LANGUAGE`` documents of each language, chosen by a hash of
 their id), the n-grams that at least ``MIN_SHARE`` of a language's
-documents hold are put into that language's Bloom filter.  All filters
+documents hold are put into that language's Bloom filter; of fewer than
+``1 / MIN_SHARE`` documents, one is enough.  All filters
 share their size and hash functions and lie bit-sliced side by side: slot
 i holds one bit per language, so the conjunction of an n-gram's slots is
 the mask of all languages that contain it.
@@ -18,7 +19,8 @@ is that count's share of all n-grams.
 The model has a fixed size (``SLOTS`` words of 64 languages), whatever
 the input, and is broadcast.  Null texts and texts without a letter are
 ``und`` with score 0, and so is everything when no language was learned.
-Null labels and null ids are not learned from.  Repeated rows are
+The outcome tells the two apart: ``no letter``, ``unlearned``, or else
+``predicted``.  Null labels and null ids are not learned from.  Repeated rows are
 predicted each on its own.  An empty table gives an empty result.  Other
 input columns come back inside ``row``.
 """
@@ -42,6 +44,7 @@ HASHES = 3
 MIN_SHARE = 0.02
 SAMPLE_PER_LANGUAGE = 3000
 UNKNOWN = "und"
+PREDICTED, UNLEARNED, NO_LETTER = "predicted", "unlearned", "no letter"  # outcomes
 
 
 class Filters:
@@ -127,7 +130,7 @@ def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str =
     sample = labelled.filter(chance < F.element_at(rate, F.col("lang"))).select("lang", F.struct("text").alias("doc"))
     held = sample.mapInArrow(document_counts, "lang string, gram long, docs long").groupBy("lang", "gram").agg(F.sum("docs").alias("docs"))
     sizes = {r.lang: r["count"] for r in sample.groupBy("lang").count().collect()}
-    least = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, max(2.0, min_share * n))])
+    least = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min_share * n)])
     # at most (n-grams of a document) / min_share rows for each language
     found = held.filter(F.col("docs") >= F.element_at(least, F.col("lang"))).select("lang", "gram").toArrow()
     languages = sorted(set(found.column("lang").to_pylist()))
@@ -158,18 +161,19 @@ def document_counts(batches):
 
 
 def identify(docs: DataFrame, filters: Filters, key: str = "doc_id", text: str = "text", carry: list[str] | None = None) -> DataFrame:
-    """One row per input row: ``row`` (carried columns), ``text``, ``lang_pred`` and ``score`` (0 to 1)."""
+    """One row per input row: ``row`` (carried columns), ``text``, ``lang_pred``, ``score`` (0 to 1) and ``outcome``."""
     shared = share(docs.sparkSession, filters)
     given = packed(docs, key, text, carry)
-    return given.mapInArrow(lambda batches: predict(batches, shared()), result(given, "text string, lang_pred string, score double"))
+    return given.mapInArrow(lambda batches: predict(batches, shared()), result(given, "text string, lang_pred string, score double, outcome string"))
 
 
 def predict(batches, filters: Filters):
     for batch in batches:
         docs = [t.decode() for t in texts(batch)]
-        langs, scores = [], []
+        langs, scores, outcomes = [], [], []
         for a, b in chunks(docs):
             has_letter = letter_flags(docs[a:b])
+            outcomes += [(PREDICTED if filters.languages else UNLEARNED) if some else NO_LETTER for some in has_letter]
             if not filters.languages:
                 langs += [UNKNOWN] * (b - a)
                 scores += [0.0] * (b - a)
@@ -180,8 +184,8 @@ def predict(batches, filters: Filters):
             share = np.clip(counts.max(axis=1) / np.maximum(1, np.diff(first)), 0, 1)
             langs += [filters.languages[k] if some else UNKNOWN for k, some in zip(best.tolist(), has_letter, strict=True)]
             scores += [s if some else 0.0 for s, some in zip(share.tolist(), has_letter, strict=True)]
-        yield pa.RecordBatch.from_arrays([field(batch, "row"), field(batch, "text"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                                         ["row", "text", "lang_pred", "score"])
+        yield pa.RecordBatch.from_arrays([field(batch, "row"), field(batch, "text"), pa.array(langs, pa.string()), pa.array(scores, pa.float64()),
+                                          pa.array(outcomes, pa.string())], ["row", "text", "lang_pred", "score", "outcome"])
     trim()
 
 
