@@ -47,6 +47,19 @@ def test_records(pages):
     assert len(bytes(by[6, "conversion"].block)) == 20000 * 10 - 1
 
 
+@pytest.mark.parametrize("html, text", [
+    ("<html><head><title>T</title><p>Hello</p></html>", "Hello"),
+    ("<head><title>T</title>\n plain <b>words</b>", "plain words"),
+    ("<head><meta charset=utf-8><link href=x><style>p{}</style><noscript><img src=y>no</noscript><template><p>no</p></template><div>yes", "yes"),
+    ("<head><script>var x = '<p>no</p>';</script><svg><text>no</text></svg><p>yes", "yes"),
+    ("<head><head><title>T</title></head>after", "after"),
+    ("<head><title>T</title><body>b", "b"),
+])
+def test_head_that_is_not_closed(html, text):
+    page = warc.parsed(html.encode())
+    assert page.text() == text and page.title in ("T", "")
+
+
 def test_files_round_trip(spark, pages):
     records = warc.derivatives(warc.as_responses(pages))
     files = warc.write_warc(records, work_dir(spark, "test-warc"))

@@ -46,6 +46,7 @@ RECORDS = ("record_type string, record_id string, refers_to string, concurrent_t
            "content_type string, source_payload_digest string, payload_digest string, block_digest string, headers string, block binary")
 NAMES = [column.split()[0] for column in RECORDS.split(", ")]
 SKIPPED = frozenset(("script", "style", "noscript", "template", "svg", "iframe", "object", "head"))
+IN_HEAD = frozenset(("html", "head", "title", "meta", "link", "base", "basefont", "bgsound", "style", "script", "noscript", "noframes", "template"))
 BLOCKS = frozenset(("address", "article", "aside", "blockquote", "body", "br", "dd", "div", "dl", "dt", "fieldset", "figcaption", "figure",
                     "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "li", "main", "nav", "ol", "p", "pre",
                     "section", "table", "td", "th", "title", "tr", "ul"))
@@ -97,6 +98,8 @@ class Page(HTMLParser):
             self.links.append(values["src"])
         if tag == "body" and "head" in self.skipped:  # a head that was never closed
             self.skipped.remove("head")
+        if self.skipped and tag not in IN_HEAD:
+            self.end_head()
         if tag in SKIPPED:
             self.skipped.append(tag)
         elif tag in BLOCKS:
@@ -119,8 +122,16 @@ class Page(HTMLParser):
     def handle_data(self, data):
         if self.in_title:
             self.title += data
-        elif not self.skipped:
-            self.parts.append(data)
+        else:
+            if self.skipped and not data.isspace():
+                self.end_head()
+            if not self.skipped:
+                self.parts.append(data)
+
+    def end_head(self):
+        """HTML lets the end of a head and the start of a body be left out: what cannot stand in a head ends it."""
+        while self.skipped and self.skipped[-1] == "head":
+            self.skipped.pop()
 
     def updatepos(self, i, j):  # nobody asks for line numbers
         return j
