@@ -4,6 +4,7 @@ import pytest
 
 from tests.llm import fixtures
 from tidemark.llm import suffix_dedup as sd
+from tidemark.llm.common import packed
 
 
 def brute_force(rows, size=100):
@@ -93,3 +94,17 @@ def test_multikey_groups_equal_strings():
         same.setdefault(s, []).append(i)
     want = sorted(sorted(v) for v in same.values() if len(v) > 1)
     assert sorted(sorted(got[group == g].tolist()) for g in np.unique(group)) == want
+
+
+@pytest.mark.parametrize("ids", [[1, 2, 3], [None] * 900])
+def test_splitters_follow_bytes(spark, ids):
+    """Few long documents, or many without an id, give as good splitters as any others."""
+    rng = np.random.default_rng(0)
+    size = 5_400_000 // len(ids)
+    docs = [bytes(rng.integers(97, 123, size, dtype=np.uint8)).decode() for _ in ids]
+    given = packed(spark.createDataFrame(list(zip(ids, docs, strict=True)), "doc_id long, text string"), "doc_id", "text")
+    cuts, hot = sd.splitters(given, 100, 16)
+    assert len(cuts) == 7 and not len(hot)  # no groups: half of the cuts
+    bucket = np.concatenate([sd.placed(c.leads(), cuts, hot)[0] for c in sd.contexts([d.encode() for d in docs], 100)])
+    many = np.bincount(bucket, minlength=16)
+    assert many.max() < 4 * many.sum() / 16

@@ -49,6 +49,7 @@ LEAD = 32
 SAMPLES_PER_BUCKET = 64
 MAX_SAMPLES = 1 << 16  # bound of the splitter sample on the driver, as rows of LEAD bytes, times OVERSAMPLE
 OVERSAMPLE = 8
+PIECE = 1 << 13  # bytes of text that the splitter sample takes or leaves as one
 NULL_ID = -(1 << 63)
 
 
@@ -77,7 +78,8 @@ def dedup_suffixes(docs: DataFrame, key: str = "doc_id", text: str = "text", siz
 def splitters(given: DataFrame, size: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """n - 1 leads that cut what will be sent into about equal parts, and those that fill more than a part.
 
-    From a sample of documents: half of the cuts are quantiles of its leads, which pairs and small groups
+    From a sample of pieces of texts, so that its size follows the bytes of all texts, whatever their lengths and
+    ids; a piece is taken by its id, place and bytes, and copies collapse into their distinct leads.  Half of the cuts are quantiles of its leads, which pairs and small groups
     follow; half are quantiles of the leads that have several contexts in the sample already, each as often
     as it has, which large groups follow.  For balance only: whatever it holds, the result is the same."""
     wanted = min(MAX_SAMPLES, SAMPLES_PER_BUCKET * n) * OVERSAMPLE
@@ -85,7 +87,11 @@ def splitters(given: DataFrame, size: int, n: int) -> tuple[np.ndarray, np.ndarr
     total = given.agg(F.sum(length)).first()[0] or 0
     density = (size - LEAD + 2) / 2  # positions per anchor
     share = min(1.0, wanted * density / max(1, total))
-    picked = given.filter(F.pmod(F.xxhash64("doc.id", F.lit("splitters")), F.lit(1 << 20)) <= int(share * (1 << 20)))
+    most = int(share * (1 << 30))
+    piece = lambda i: F.substring(F.col("doc.text").cast("binary"), i * PIECE + 1, F.lit(PIECE))
+    places = F.sequence(F.lit(0), F.floor(F.octet_length("doc.text") / PIECE).cast("int"))
+    taken = F.filter(places, lambda i: F.pmod(F.xxhash64("doc.id", i, piece(i)), F.lit(1 << 30)) <= most)
+    picked = given.filter("doc.text IS NOT NULL").select(F.explode(F.transform(taken, piece)).alias("text")).select(F.struct("text").alias("doc"))
 
     def leads(batches):
         for batch in batches:
