@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.bpe_automaton import decode_documents, encode_documents
 from tidemark.llm.decontaminate import decontaminate
 from tidemark.llm.embedding_dedup import embedding_components
 from tidemark.llm.language_id import held_out, identify, learn
@@ -89,4 +90,11 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(docs).select("row.doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc_derivatives, op2_suffix_dedup, op3_language_id, op4_token_files, op5_embedding_near_dedup, op6_decontaminate, op7_substring_dedup, op8_lm_scoring, op9_pack, op10_simhash_near_dedup)}
+def op11_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decode_documents(encode_documents(docs)).select(
+        "row.doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc_derivatives, op2_suffix_dedup, op3_language_id, op4_token_files, op5_embedding_near_dedup, op6_decontaminate, op7_substring_dedup, op8_lm_scoring, op9_pack, op10_simhash_near_dedup,
+    op11_bpe_automaton)}
