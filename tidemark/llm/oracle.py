@@ -64,3 +64,26 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_
               ELSE list_transform(list_filter(range(1, len(w) + 1), lambda x: NOT list_contains(gone, x)), lambda x: w[x]) END, ' ')) AS kept_sha256
 FROM d LEFT JOIN c USING (doc_id)
 """
+
+ORACLE["op12_conversation_trie"] = r"""
+WITH t AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS pos,
+       md5(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, '')) AS k,
+       len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT c, count(*) AS n, c - c % 20 AS base, xor(4294967295, list_reduce(
+        list_concat([4294967295::BIGINT], list_transform(string_split(c::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
+        lambda crc, b: list_reduce(list_concat([xor(crc, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda a, z: xor(a >> 1, 3988292384 * (a & 1)))))  % 4 AS h FROM t GROUP BY c),
+s AS (SELECT c.c, n, base, h, least(h, (SELECT count(*) FROM t WHERE t.c = c.base)) AS taken FROM c),
+r AS (SELECT s.c, t.pos, k, words FROM s JOIN t ON t.c = s.base AND t.pos < s.h
+      UNION ALL SELECT s.c, t.pos - h + taken, k, words FROM s JOIN t ON t.c = s.c AND t.pos >= s.h),
+m AS (SELECT c, pos + 1 AS d, words, md5(string_agg(k, ',') OVER (PARTITION BY c ORDER BY pos)) AS name FROM r
+      UNION ALL SELECT c, 0, 0, 'root' FROM s),
+p AS (SELECT *, lag(name) OVER (PARTITION BY c ORDER BY d) AS parent, max(d) OVER (PARTITION BY c) AS length FROM m),
+n AS (SELECT name, min(c) AS conv_id, min(d) AS depth, min(parent) AS parent, count(*) AS n_convs, (count(*) - 1) * min(words) AS saved,
+             coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE d = length), '') AS ends FROM p GROUP BY name),
+ch AS (SELECT parent AS name, count(*) AS n_children FROM n WHERE parent IS NOT NULL GROUP BY parent),
+u AS (SELECT p.name, sum(n.saved) AS saved_tokens, count(*) FILTER (WHERE n.name NOT IN (SELECT name FROM ch)) AS n_leaves
+      FROM n JOIN p ON p.c = n.conv_id AND p.d <= n.depth GROUP BY p.name)
+SELECT n.conv_id, n.depth::BIGINT AS depth, up.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves,
+       saved_tokens::BIGINT AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM n JOIN u USING (name) LEFT JOIN ch USING (name) LEFT JOIN n up ON up.name = n.parent
+"""

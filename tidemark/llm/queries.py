@@ -13,6 +13,7 @@ from tidemark.llm.embedding_dedup import embedding_components
 from tidemark.llm.language_id import held_out, identify, learn
 from tidemark.llm.lm_scoring import score_documents
 from tidemark.llm.packing import pack_documents
+from tidemark.llm.prefix_trie import conversation_trie
 from tidemark.llm.simhash import simhash_components
 from tidemark.llm.suffix_dedup import dedup_suffixes
 from tidemark.llm.substring_dedup import dedup_substrings
@@ -96,5 +97,10 @@ def op11_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations")).select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc_derivatives, op2_suffix_dedup, op3_language_id, op4_token_files, op5_embedding_near_dedup, op6_decontaminate, op7_substring_dedup, op8_lm_scoring, op9_pack, op10_simhash_near_dedup,
-    op11_bpe_automaton)}
+    op11_bpe_automaton, op12_conversation_trie)}
