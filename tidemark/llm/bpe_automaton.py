@@ -317,7 +317,7 @@ class AutomatonEncoder(Encoder):
         self.compiled, self.cuts = compiled, compiled.cuts
         self.vocabulary = len(compiled.automaton.labels)
         self.word = regex.compile(WORDS)
-        self.newer = regex.compile(f"[{''.join(map(regex.escape, compiled.newer))}]") if compiled.newer else None
+        self.newer = frozenset(compiled.newer)
         names = sorted(compiled.special, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
         self.forget()
@@ -330,9 +330,9 @@ class AutomatonEncoder(Encoder):
         return self.plain_words(piece)
 
     def plain_words(self, piece: str) -> list[str]:
-        if piece.isascii() or not self.newer or not self.newer.search(piece):
+        if piece.isascii() or self.newer.isdisjoint(piece):
             return self.word.findall(piece)
-        like = self.newer.sub("͸", piece)  # a code point that no table knows
+        like = "".join("\u0378" if c in self.newer else c for c in piece)  # a code point that no table knows
         return [piece[m.start():m.end()] for m in self.word.finditer(like)]
 
     def remember(self, pieces: list[str]) -> None:
