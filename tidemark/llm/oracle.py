@@ -87,3 +87,25 @@ SELECT n.conv_id, n.depth::BIGINT AS depth, up.conv_id AS parent_conv_id, n.n_co
        saved_tokens::BIGINT AS saved_tokens, sha256(n.ends) AS ends_sha256
 FROM n JOIN u USING (name) LEFT JOIN ch USING (name) LEFT JOIN n up ON up.name = n.parent
 """
+
+ORACLE["op13_collocations"] = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(list_slice(w, i, i + k - 1), ' '))) AS phrase
+      FROM w, (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k),
+f AS (SELECT lang, k, phrase, count(*)::HUGEINT AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(f)::HUGEINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 100),
+cuts AS (SELECT c.lang, c.phrase, c.a, i, lf.f AS l, rf.f AS r, n.n, (1000 * c.a * n.n) // (lf.f * rf.f) AS score
+         FROM (SELECT *, unnest(range(1, k)) AS i FROM c) c JOIN n USING (lang)
+         JOIN f lf ON lf.lang = c.lang AND lf.phrase = array_to_string(list_slice(w, 1, i), ' ')
+         JOIN f rf ON rf.lang = c.lang AND rf.phrase = array_to_string(list_slice(w, i + 1, c.k), ' ')),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) = 1),
+inner_ AS (SELECT lang, a, array_to_string(list_slice(w, i, i + m - 1), ' ') AS phrase
+           FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM c))),
+gone AS (SELECT DISTINCT c.lang, c.phrase FROM c JOIN inner_ i ON i.lang = c.lang AND i.phrase = c.phrase WHERE 100 * i.a >= 100 * c.a),
+ranked AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank
+           FROM best b ANTI JOIN gone USING (lang, phrase))
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score FROM ranked WHERE rank <= 2000
+"""

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe_automaton import decode_documents, encode_documents
+from tidemark.llm.collocations import collocations
 from tidemark.llm.decontaminate import decontaminate
 from tidemark.llm.embedding_dedup import embedding_components
 from tidemark.llm.language_id import held_out, identify, learn
@@ -102,5 +103,9 @@ def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc_derivatives, op2_suffix_dedup, op3_language_id, op4_token_files, op5_embedding_near_dedup, op6_decontaminate, op7_substring_dedup, op8_lm_scoring, op9_pack, op10_simhash_near_dedup,
-    op11_bpe_automaton, op12_conversation_trie)}
+    op11_bpe_automaton, op12_conversation_trie, op13_collocations)}
