@@ -2,8 +2,9 @@
 
 1. Tasks read the texts once: pieces, words, and for each chunk of texts
    its distinct words with their counts; the word numbers of the chunk
-   are kept in a table.  Words are counted in Spark, and those that reach
-   the least count get a number that holds for all chunks.
+   are kept in a table.  Words are dealt to buckets and added up there;
+   those that reach the least count get a number that holds for all
+   chunks.
 2. A chunk gets the numbers of its own words back.  A suffix is the
    phrase of up to ``longest`` words that starts at a place; it ends
    before a rare word, of which no frequent phrase can be made.  Suffixes
@@ -29,6 +30,7 @@ Extra columns are not looked at.
 from __future__ import annotations
 
 import math
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -38,14 +40,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialize, quoted, small_batches, trim, trimmed
+from tidemark.llm.common import block_count, materialize, quoted, small_batches, trim, trimmed
 from tidemark.llm.hashing import BASE, mix, ranges
 
 LEAST = 100
 LONGEST = 5
-HOT = 1 << 20  # occurrences beyond which a word alone routes no suffix
+HOT = 1 << 19  # occurrences beyond which a word alone routes no suffix
 CHUNK_TEXT = 16 << 20  # bytes of text that are numbered together
-BUCKET = 3 << 20  # suffixes of a bucket, about
+BUCKET = 1 << 20  # suffixes of a bucket, about
 # What ends a piece, and what lies between words.
 BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
 BLANKS = b" \t"
@@ -58,48 +60,97 @@ def byte_table(values: bytes) -> np.ndarray:
 
 
 # ---------------------------------------------------------------- words
-def numbered_words(batches):
-    """For each chunk: a row per distinct word of a language with its count and its number there, and a row with the
-    numbers of all words in their order, -1 where a piece ends."""
+def numbered_words(batches, buckets: int):
+    """For each chunk: its distinct words by bucket, with their counts and their numbers there; and the numbers of all
+    words in their order, -1 where a piece ends."""
     held, size, n = [], 0, 0
     for batch in batches:
         held.append(batch)
         size += batch.nbytes
         if size >= CHUNK_TEXT:
-            yield number(pa.Table.from_batches(held), n)
+            yield number(pa.Table.from_batches(held), n, buckets)
             held, size, n = [], 0, n + 1
     if held:
-        yield number(pa.Table.from_batches(held), n)
+        yield number(pa.Table.from_batches(held), n, buckets)
     trim()
 
 
-CHUNK_SCHEMA = "chunk long, lang string, word string, code int, n long, codes binary"
+CHUNK_SCHEMA = "chunk long, bucket long, body binary, codes binary"
+COUNTED_SCHEMA = "chunk long, body binary, id long, lang string, word string, f long"
 
 
-def number(table: pa.Table, n: int) -> pa.RecordBatch:
+def number(table: pa.Table, n: int, buckets: int) -> pa.RecordBatch:
     chunk = (TaskContext.get().partitionId() << 32) + n
-    langs, words, codes, counts, sequence, known = [], [], [], [], [], 0
+    parts, sequence, known = [], [], 0
     by_lang = table.column("lang").combine_chunks()
     for lang in pc.unique(by_lang).to_pylist():
         texts = table.column("text").filter(pc.equal(by_lang, lang)).cast(pa.large_binary()).to_pylist()
         place, word = split(texts)
         found = word.dictionary_encode()
         code = found.indices.to_numpy(zero_copy_only=False).astype(np.int32)
-        many = np.bincount(code, minlength=len(found.dictionary))
+        m = len(found.dictionary)
         sequence.append(np.where(place < 0, -1, np.append(code, -1)[place] + known).astype(np.int32))
-        langs += [lang] * len(many)
-        words.append(found.dictionary)
-        codes.append(np.arange(known, known + len(many), dtype=np.int32))
-        counts.append(many)
-        known += len(many)
+        seed = zlib.crc32(lang.encode())
+        bucket = np.fromiter((zlib.crc32(w, seed) for w in found.dictionary.cast(pa.binary()).to_pylist()), np.int64, m) % buckets
+        parts.append(pa.table({"bucket": bucket, "lang": pa.array([lang] * m, pa.string()), "word": found.dictionary,
+                               "code": np.arange(known, known + m, dtype=np.int32), "n": np.bincount(code, minlength=m).astype(np.int64)}))
+        known += m
+    words = pa.concat_tables(parts)
+    order = np.argsort(words.column("bucket").to_numpy(), kind="stable")
+    words = words.take(pa.array(order))
+    bucket = words.column("bucket").to_numpy()
+    edges = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1)).tolist() if known else []
+    bodies = [written(words.slice(a, b - a).drop_columns("bucket")) for a, b in zip(edges[:-1], edges[1:], strict=True)]
     whole = zstandard.ZstdCompressor(level=1).compress(np.concatenate([np.zeros(0, np.int32), *sequence]).tobytes())
-    rows = known + 1
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(rows, chunk)), pa.array([*langs, None], pa.string()), pa.concat_arrays([*words, pa.array([None], pa.string())]),
-         pa.array(np.append(np.concatenate([np.zeros(0, np.int32), *codes]), -1), pa.int32()),
-         pa.array(np.append(np.concatenate([np.zeros(0, np.int64), *counts]), 0), pa.int64()),
-         pa.concat_arrays([pa.nulls(known, pa.binary()), pa.array([whole], pa.binary())])],
-        ["chunk", "lang", "word", "code", "n", "codes"])
+        [pa.array(np.full(len(bodies) + 1, chunk)), pa.array([*(int(bucket[a]) for a in edges[:-1]), None], pa.int64()),
+         pa.array([*bodies, None], pa.binary()), pa.array([None] * len(bodies) + [whole], pa.binary())], ["chunk", "bucket", "body", "codes"])
+
+
+def written(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def read(body: bytes) -> pa.Table:
+    return pa.ipc.open_stream(body).read_all()
+
+
+def count_words(messages: pa.Table, least: int, buckets: int) -> pa.Table:
+    """A bucket's frequent words with their numbers, all its words by language (without a word), and for each message
+    the numbers and counts of its frequent words."""
+    out = pa.schema([("chunk", pa.int64()), ("body", pa.binary()), ("id", pa.int64()), ("lang", pa.string()), ("word", pa.string()), ("f", pa.int64())])
+    if not messages.num_rows:
+        return out.empty_table()
+    bucket = messages.column("bucket")[0].as_py()
+    tables = [read(b) for b in messages.column("body").to_pylist()]
+    size = np.array([len(t) for t in tables])
+    every = pa.concat_tables(tables).combine_chunks()
+    number, often = np.zeros(len(every), np.int64), every.column("n").to_numpy().copy()
+    known, parts = 0, []
+    for lang in pc.unique(every.column("lang")).to_pylist():
+        mine = np.flatnonzero(pc.equal(every.column("lang"), lang).to_numpy(zero_copy_only=False))
+        found = every.column("word").take(pa.array(mine)).combine_chunks().dictionary_encode()
+        code = found.indices.to_numpy(zero_copy_only=False)
+        total = np.zeros(len(found.dictionary), np.int64)
+        np.add.at(total, code, often[mine])
+        frequent = np.flatnonzero(total >= least)
+        ids = np.zeros(len(total), np.int64)
+        ids[frequent] = (known + np.arange(len(frequent))) * buckets + bucket + 1
+        known += len(frequent)
+        number[mine], often[mine] = ids[code], total[code]
+        parts.append(pa.table({"id": ids[frequent], "lang": pa.array([lang] * len(frequent), pa.string()),
+                               "word": found.dictionary.take(pa.array(frequent)), "f": total[frequent]}))
+        parts.append(pa.table({"lang": pa.array([lang], pa.string()), "f": np.array([total.sum()])}))
+    end, answers, code = np.cumsum(size), [], every.column("code").to_numpy()
+    for a, b in zip((end - size).tolist(), end.tolist(), strict=True):
+        at = a + np.flatnonzero(number[a:b])
+        answers.append(written(pa.table({"code": code[at], "id": number[at], "n": often[at]})))
+    parts.append(pa.table({"chunk": messages.column("chunk"), "body": pa.array(answers, pa.binary())}))
+    full = [pa.table([p.column(f.name).cast(f.type) if f.name in p.column_names else pa.nulls(len(p), f.type) for f in out], schema=out) for p in parts]
+    return pa.concat_tables(full)
 
 
 def split(texts: list[bytes | None]) -> tuple[np.ndarray, pa.Array]:
@@ -121,16 +172,6 @@ def split(texts: list[bytes | None]) -> tuple[np.ndarray, pa.Array]:
     return place, word
 
 
-def dense_ids(frequent: DataFrame) -> DataFrame:
-    """``frequent`` with ``id``: 1, 2, ... over all partitions."""
-    lying = materialize(frequent.withColumn("place", F.monotonically_increasing_id()), "frequent").withColumns(
-        {"part": F.shiftright("place", 33), "place": F.col("place").bitwiseAND((1 << 33) - 1)})
-    parts = lying.groupBy("part").agg(F.count("*").alias("m"))  # a row per partition
-    before = F.coalesce(F.sum("m").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return lying.join(parts.select("part", before.alias("before")), "part").withColumn(
-        "id", F.col("before") + F.col("place") + 1).drop("part", "place", "before")
-
-
 # ---------------------------------------------------------------- suffixes
 def suffixes(sequence: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
     """``sequence``: word ids, 0 where no phrase goes on.  The words of the suffix at each place, a row per depth, 0
@@ -190,11 +231,15 @@ def unpacked_suffixes(body: bytes, longest: int) -> np.ndarray:
     return rows
 
 
-def send(codes: pa.Table, words: pa.Table, longest: int, hot: int, buckets: int) -> pa.Table:
+NO_WORDS = pa.table({"code": np.zeros(0, np.int32), "id": np.zeros(0, np.int64), "n": np.zeros(0, np.int64)})
+
+
+def send(codes: pa.Table, answers: pa.Table, longest: int, hot: int, buckets: int) -> pa.Table:
     """A chunk's suffixes by bucket."""
     out: tuple[list, list] = [], []
     for body in codes.column("codes").to_pylist():
         code = np.frombuffer(zstandard.ZstdDecompressor().decompress(body), np.int32)
+        words = pa.concat_tables([NO_WORDS, *(read(a) for a in answers.column("body").to_pylist())])
         number, ids, often = (words.column(c).to_numpy() for c in ("code", "id", "n"))
         wide = np.int32 if not len(ids) or ids.max() < 2**31 else np.int64
         own = np.zeros(int(code.max(initial=-1)) + 2, wide)  # a word's place among this chunk's frequent words, by its code
@@ -325,17 +370,18 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     spark = docs.sparkSession
     small_batches(spark)
     given = docs.select(F.coalesce(F.col(quoted(lang)).cast("string"), F.lit("und")).alias("lang"), F.col(quoted(text)).cast("string").alias("text"))
-    chunks = materialize(given.mapInArrow(numbered_words, CHUNK_SCHEMA), "chunk-words")
-    words = chunks.filter(F.col("word").isNotNull()).select("chunk", "lang", "word", "code", "n")
-    counted = words.groupBy("lang", "word").agg(F.sum("n").alias("f"))
-    frequent = materialize(dense_ids(counted.filter(F.col("f") >= least)), "frequent-words")
-    totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
-    own = words.drop("n").join(frequent, ["lang", "word"]).select(F.col("chunk").alias("of"), "code", "id", F.col("f").alias("n"))
+    word_buckets = block_count(given, "text")
+    chunks = materialize(given.mapInArrow(lambda batches: numbered_words(batches, word_buckets), CHUNK_SCHEMA), "chunk-words")
+    messages = chunks.filter(F.col("bucket").isNotNull()).select("bucket", "chunk", "body")
+    counted = materialize(messages.groupBy("bucket").applyInArrow(trimmed(lambda t: count_words(t, least, word_buckets)), COUNTED_SCHEMA), "counted-words")
+    frequent = counted.filter(F.col("id").isNotNull()).select("id", "lang", "word", "f")
+    totals = counted.filter("chunk IS NULL AND id IS NULL").groupBy("lang").agg(F.sum("f").alias("n"))
+    answers = counted.filter(F.col("chunk").isNotNull()).select("chunk", "body")
     codes = chunks.filter(F.col("codes").isNotNull()).select("chunk", "codes")
     occurrences = frequent.agg(F.sum("f")).first()[0] or 0
     buckets = max(1, math.ceil(occurrences / bucket))
-    sent = codes.groupBy("chunk").cogroup(own.groupBy("of")).applyInArrow(
-        trimmed(lambda c, w: send(c, w, longest, hot, buckets)), "bucket long, body binary")
+    sent = codes.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
+        trimmed(lambda c, a: send(c, a, longest, hot, buckets)), "bucket long, body binary")
     phrases = sent.groupBy("bucket").applyInArrow(trimmed(lambda t: sort(t, longest, least)), "ids array<long>, f long")
     phrases = materialize(phrases, "phrases")
     kept = scored(frequent, phrases, totals).join(contained(phrases, percent), "ids", "left_anti")
