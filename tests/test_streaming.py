@@ -8,7 +8,7 @@ from helpers import RAW_SCHEMA, envelope, raw_rows
 from tidemark.operators.cycle import Differs, validate_cycle
 from tidemark.operators import control
 from tidemark.session import work_dir
-from tidemark.sources.store import CdcStore, buckets_for
+from tidemark.sources.store import EMPTY, CdcStore, Conflict, buckets_for
 from tidemark.sources.streams import read_topic_files
 from tidemark.spec import TableSpec
 from tidemark.streaming.pipeline import bootstrap, open_from_history, start_apply, start_journal
@@ -75,8 +75,8 @@ def test_replayed_batch_changes_nothing(spark):
 def test_a_second_writer_is_refused(spark):
     store = _store(spark)
     store.process_batch(_raw(spark, B0), "s", 0)
-    with pytest.raises(RuntimeError):
-        store._commit({"step": 1, "streams": {}, "current": {}, "processed": 0})
+    with pytest.raises(Conflict):
+        store._commit(json.loads(json.dumps(EMPTY)) | {"step": 1})
 
 
 def test_stream_equals_batch(spark):

@@ -19,6 +19,8 @@ applied: see ``rejects``.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -87,30 +89,30 @@ def drop_late(msgs: DataFrame, marks: DataFrame) -> DataFrame:
             .drop("last_time"))
 
 
-def winners(msgs: DataFrame, existing: DataFrame | None) -> DataFrame:
-    """(key_id, o, live): per key of ``msgs`` the position of the message whose image it ends with, or null;
-    ``live``: the row that is there already stays as it is.  ``existing``: key_id of live rows."""
-    op, o = F.col("operation"), F.col("o")
-    slim = msgs.select("key_id", "operation", order_key(msgs).alias("o"))
-    bounds = slim.groupBy("key_id").agg(
+def winners(msgs: DataFrame, existing: DataFrame | None, keys: Sequence[str] = ("key_id",)) -> DataFrame:
+    """(keys, o, live): per key of ``msgs`` the position of the message whose image it ends with, or null;
+    ``live``: the row that is there already stays as it is.  ``existing``: keys of live rows."""
+    keys, op, o = list(keys), F.col("operation"), F.col("o")
+    slim = msgs.select(*keys, "operation", order_key(msgs).alias("o"))
+    bounds = slim.groupBy(*keys).agg(
         F.max(F.when(op == "d", o)).alias("d"), F.max(F.when(op == "u", o)).alias("u"),
         F.min(F.when(op == "c", o)).alias("c"), F.max(F.when(op == "c", o)).alias("c_last"))
     # one small row per key; as a table of its own, so that a hot key's side of the next join can be split
     checkpoint_root(msgs.sparkSession)
     bounds = bounds.checkpoint()
-    between = bounds.filter((F.col("c") < F.col("d")) & (F.col("d") < F.col("c_last"))).select("key_id", "d")
-    after = (slim.filter(op == "c").join(between, "key_id").filter(o > F.col("d")).select("key_id", "o")
-             .hint("rebalance").groupBy("key_id").agg(F.min("o").alias("c_after")))
-    found = bounds.join(after, "key_id", "left")
+    between = bounds.filter((F.col("c") < F.col("d")) & (F.col("d") < F.col("c_last"))).select(*keys, "d")
+    after = (slim.filter(op == "c").join(between, keys).filter(o > F.col("d")).select(*keys, "o")
+             .hint("rebalance").groupBy(*keys).agg(F.min("o").alias("c_after")))
+    found = bounds.join(after, keys, "left")
     if existing is None:
         found = found.withColumn("there", F.lit(False))
     else:
-        here = existing.select("key_id").withColumn("there", F.lit(True))
-        found = found.join(here, "key_id", "left").withColumn("there", F.coalesce("there", F.lit(False)))
+        here = existing.select(*keys).withColumn("there", F.lit(True))
+        found = found.join(here, keys, "left").withColumn("there", F.coalesce("there", F.lit(False)))
     created = F.when(F.col("d").isNull() | (F.col("c") > F.col("d")), F.col("c")).otherwise(F.col("c_after"))
     keeps = F.col("there") & F.col("d").isNull()
     update = F.when(keeps | (F.col("u") > created), F.col("u"))
-    return found.select("key_id", F.coalesce(update, F.when(~keeps, created)).alias("o"), (keeps & F.col("u").isNull()).alias("live"))
+    return found.select(*keys, F.coalesce(update, F.when(~keeps, created)).alias("o"), (keeps & F.col("u").isNull()).alias("live"))
 
 
 def apply_changes(current: DataFrame | None, msgs: DataFrame, spec: TableSpec, late: str = "apply",

@@ -22,6 +22,38 @@ HISTORY_COLUMNS = [f.split()[0] for f in HISTORY_SCHEMA.split(", ")]
 INITIAL, SUCCESSFUL = "Initial", "Successful"
 
 
+SUMMARY_SCHEMA = ("table STRING, topic STRING, partition INT, n BIGINT, reads BIGINT, first_time BIGINT, last_time BIGINT,"
+                  " first_message_id BIGINT, last_message_id BIGINT")
+PROGRESS_SCHEMA = "load_id BIGINT, topic STRING, partition INT, last_message_id BIGINT, event_time BIGINT, n BIGINT"
+
+
+def step_summary(journal: DataFrame) -> DataFrame:
+    """Per table, topic and partition: rows, snapshot reads, bounds of event time and offset.  Summaries of disjoint
+    sets of rows can be merged."""
+    return journal.groupBy("table", "topic", "partition").agg(
+        F.count("*").alias("n"), F.count(F.when(F.col("operation") == "r", 1)).alias("reads"),
+        F.min("event_time").alias("first_time"), F.max("event_time").alias("last_time"),
+        F.min("message_id").alias("first_message_id"), F.max("message_id").alias("last_message_id"))
+
+
+def merged_summary(summaries: DataFrame) -> DataFrame:
+    return summaries.groupBy("table", "topic", "partition").agg(
+        F.sum("n").alias("n"), F.sum("reads").alias("reads"), F.min("first_time").alias("first_time"), F.max("last_time").alias("last_time"),
+        F.min("first_message_id").alias("first_message_id"), F.max("last_message_id").alias("last_message_id"))
+
+
+def summary_offsets(summary: DataFrame) -> DataFrame:
+    """(topic, partition, offset): the next offset of every partition seen, as ``partition_offsets`` finds it in the
+    journal, from its summary."""
+    return summary.filter("topic IS NOT NULL").groupBy("topic", "partition").agg((F.max("last_message_id") + 1).alias("offset"))
+
+
+def batch_progress(journal: DataFrame, batch_col: str) -> DataFrame:
+    """High-water marks of each applied batch per topic and partition: offsets of different ones do not compare."""
+    return journal.groupBy(F.col(batch_col).alias("load_id"), "topic", "partition").agg(
+        F.max("message_id").alias("last_message_id"), F.max("event_time").alias("event_time"), F.count("*").alias("n"))
+
+
 def effective(history: DataFrame) -> DataFrame:
     """Latest version of each (table_name, load_id)."""
     latest = history.groupBy("table_name", "load_id").agg(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
@@ -10,6 +9,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.envelope import event_time_expr, key_expr
 from tidemark.operators.apply import MIN_LONG
+from tidemark.operators.intervals import merged, outside
+from tidemark.operators.selection import cut_points, nth_value
 from tidemark.spec import TableSpec
 
 MESSAGE_COLUMNS = ["operation", "schema", "table", "ts_ns", "before", "after", "key_id"]
@@ -60,10 +61,13 @@ def dedupe(batch: DataFrame, journal: DataFrame | None = None, preloaded: bool =
 
 
 def unprocessed(journal: DataFrame, applied: DataFrame | None = None) -> DataFrame:
-    """Journaled messages to apply: no snapshot reads, none of ``applied`` (by source position)."""
+    """Journaled messages to apply: no snapshot reads, none at a position in ``applied``.  That is either a table of
+    offset intervals (topic, partition, lo, hi) or of single positions."""
     j = journal.filter(F.coalesce(F.col("operation") != "r", F.lit(False)))
     if applied is None:
         return j
+    if "lo" in applied.columns:
+        return outside(j, merged(applied))
     on = [j[c].eqNullSafe(applied[c]) for c in SOURCE_COLUMNS if c in j.columns and c in applied.columns]
     match = on[0]
     for c in on[1:]:
@@ -72,18 +76,20 @@ def unprocessed(journal: DataFrame, applied: DataFrame | None = None) -> DataFra
 
 
 def batch_bounds(msgs: DataFrame, n: int) -> dict | None:
-    """Position of the n-th message by (event_time nulls first, message_id)
-    and the event-time range of the first n.  A bounded top-n; no global
-    single-partition window."""
-    t = F.coalesce(F.col("event_time"), F.lit(MIN_LONG))
-    top = (msgs.select(F.col("event_time"), t.alias("_t"), F.col("message_id"))
-           .orderBy(F.col("_t"), F.col("message_id")).limit(n))
-    row = top.agg(F.min("event_time").alias("lo"), F.max("event_time").alias("hi"),
-                  F.max(F.struct("_t", "message_id")).alias("last"), F.count("*").alias("n")).first()
-    if row is None or row["n"] == 0:
+    """Position of the n-th message by (event_time nulls first, message_id), or of the last if there are fewer, and the
+    event-time range of those up to it.  Found by counting: no stage holds the first n rows."""
+    nulls, total = msgs.agg(F.count("*") - F.count("event_time"), F.count("*")).first()
+    if not total or n < 1:
         return None
-    return {"lo": row["lo"], "hi": row["hi"], "last_t": row["last"]["_t"],
-            "last_m": row["last"]["message_id"], "n": row["n"]}
+    n = min(n, total)
+    if n <= nulls:
+        last_t, below, t = MIN_LONG, 0, F.col("event_time").isNull()
+    else:
+        last_t, below = nth_value(msgs, F.col("event_time"), n - nulls)
+        below, t = below + nulls, F.col("event_time") == F.lit(last_t)
+    last_m, _ = nth_value(msgs.filter(t), F.col("message_id"), n - below) or (None, 0)
+    lo = msgs.agg(F.min("event_time")).first()[0] if n > nulls else None
+    return {"lo": lo, "hi": last_t if n > nulls else None, "last_t": last_t, "last_m": last_m, "n": n}
 
 
 def batch_condition(bounds: dict):
@@ -110,20 +116,16 @@ def select_batch(msgs: DataFrame, n: int, applied: DataFrame | None = None) -> D
 
 
 def batch_ranges(msgs: DataFrame, n: int) -> list[tuple[int | None, int | None]]:
-    """Event-time ranges [lo, hi) that cut a backlog into batches of about n messages, in order: the
-    whole backlog is looked at once.  Equal times are never split; null times belong to the first."""
-    total = msgs.count()
-    parts = math.ceil(total / n)
-    if parts <= 1:
-        return [(None, None)] if total else []
-    found = msgs.approxQuantile("event_time", [i / parts for i in range(1, parts)], 0.1 / parts)
-    # as doubles, ns times are exact to some hundred ns only; whole seconds are far coarser than that
-    cuts = sorted({int(c) // 1_000_000_000 * 1_000_000_000 for c in found})
-    return list(zip([None, *cuts], [*cuts, None], strict=True))
+    """Event-time ranges [lo, hi) that cut a backlog into batches of at most n messages, in order.  Equal times are never
+    split, so a time with more makes a batch of its own; null times belong to the first."""
+    cuts, total = cut_points(msgs, F.col("event_time"), n)
+    return list(zip([None, *cuts], [*cuts, None], strict=True)) if total else []
 
 
 def in_range(bounds: tuple[int | None, int | None]):
+    """Plain comparisons, which a scan can skip by; null times belong to the first range."""
     lo, hi = bounds
     t = F.col("event_time")
-    inside = F.lit(True) if lo is None else F.coalesce(t >= F.lit(lo), F.lit(False))
-    return inside if hi is None else inside & F.coalesce(t < F.lit(hi), F.lit(True))
+    if lo is None:
+        return F.lit(True) if hi is None else t.isNull() | (t < F.lit(hi))
+    return (t >= F.lit(lo)) if hi is None else (t >= F.lit(lo)) & (t < F.lit(hi))

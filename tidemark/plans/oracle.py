@@ -183,11 +183,11 @@ LOG = """, lg AS (
 ), log AS (SELECT * FROM lg WHERE k IS NOT NULL)"""
 
 
-def late(ignore: bool) -> str:
+def late(ignore: bool, every: int = 7) -> str:
     kept = "WHERE NOT COALESCE(t < last_t, false)" if ignore else ""
-    return (BASE + LOG + """, on_time AS (SELECT * FROM log WHERE i % 7 <> 0),
+    return (BASE + LOG + f""", on_time AS (SELECT * FROM log WHERE i % {every} <> 0),
 marks AS (SELECT k, max(t) AS last_t FROM on_time GROUP BY k)""" + applied("first", "on_time") + f""",
-later AS (SELECT log.* FROM (SELECT * FROM log WHERE i % 7 = 0) log LEFT JOIN marks USING (k) {kept})"""
+later AS (SELECT log.* FROM (SELECT * FROM log WHERE i % {every} = 0) log LEFT JOIN marks USING (k) {kept})"""
             + applied("second", "later", "first") + "SELECT * FROM second")
 
 
@@ -277,6 +277,28 @@ WHERE message_id IN (SELECT message_id FROM top) OR event_time BETWEEN (SELECT l
   FROM recs WHERE operation <> 'r' AND event_time > {LO}),
 top AS (SELECT event_time FROM m ORDER BY event_time, message_id LIMIT {BATCH_ROWS})
 SELECT * FROM m WHERE event_time BETWEEN (SELECT min(event_time) FROM top) AND (SELECT max(event_time) FROM top)""",
+    "batch_select_third": """WITH m AS (SELECT o_orderkey AS message_id, epoch_us(o_orderdate) * 1000 AS event_time FROM orders),
+top AS (SELECT * FROM m ORDER BY event_time NULLS FIRST, message_id LIMIT (SELECT count(*) // 3 FROM m)),
+b AS (SELECT min(event_time) AS lo, max(event_time) AS hi FROM top)
+SELECT message_id, event_time FROM m
+WHERE message_id IN (SELECT message_id FROM top) OR event_time BETWEEN (SELECT lo FROM b) AND (SELECT hi FROM b)""",
+    "unprocessed_intervals": BASE + f"""SELECT topic, owner % {PARTITIONS} AS "partition", "offset" AS message_id, operation, event_time
+FROM recs WHERE operation <> 'r' AND NOT coalesce(event_time <= {LO} OR "offset" % 5 = 0, false)""",
+    "load_history_partitions": BASE + f"""SELECT event_time // {DAY_NS} AS load_id, topic, owner % {PARTITIONS} AS "partition",
+  max("offset") AS last_message_id, max(event_time) AS event_time, count(*) AS n FROM recs WHERE operation <> 'r' GROUP BY 1, 2, 3""",
+    "stream_compacted": BASE + f"SELECT {ROWS}, deleted FROM ver WHERE NOT is_live",
+    "stream_late_ignore": late(True, 3),
+    "stream_dedupe_watermark": BASE + """SELECT DISTINCT operation, "schema", "table", ts_ns, key_id, event_time FROM recs WHERE key_id IS NOT NULL
+UNION ALL SELECT operation, "schema", "table", ts_ns, key_id, event_time FROM recs WHERE key_id IS NULL""",
+    "journal_dedupe_indexed": BASE + """SELECT min("offset") AS message_id, operation, "schema", "table", ts_ns, key_id, event_time
+FROM recs WHERE operation <> 'r' AND key_id IS NOT NULL GROUP BY operation, "schema", "table", ts_ns, key_id, event_time
+UNION ALL SELECT unnest([m, m]), operation, "schema", "table", ts_ns, NULL, event_time FROM (
+  SELECT min("offset") AS m, operation, "schema", "table", ts_ns, event_time
+  FROM recs WHERE operation <> 'r' AND key_id IS NULL GROUP BY operation, "schema", "table", ts_ns, event_time)""",
+    "journal_summary": BASE + f""", dd AS (SELECT "table", min(topic) AS topic, arg_min(owner, "offset") % {PARTITIONS} AS "partition", min("offset") AS m, event_time
+  FROM recs WHERE operation <> 'r' GROUP BY operation, "schema", "table", ts_ns, key_id, event_time)
+SELECT "table", topic, "partition", count(*) AS n, 0::BIGINT AS reads, min(event_time) AS first_time, max(event_time) AS last_time,
+       min(m) AS first_message_id, max(m) AS last_message_id FROM dd GROUP BY 1, 2, 3""",
     "epoch_to_ts": BASE + f"""SELECT event_id, valid_from, valid_to,
        strftime(make_timestamp(valid_from // 1000), {TS}) AS from_ts,
        CASE WHEN valid_to = {S} THEN '9999-12-31 23:59:59.999999'
@@ -308,6 +330,8 @@ SELECT user_id, event_type, value, valid_to AS valid_from, {S} AS valid_to FROM
     "archive_window_rows": BASE + windows("win", "v_main", "v_archive") + "SELECT * FROM win_archive",
     "validate_window": summary("user_state", "SELECT * FROM win_rows", "SELECT * FROM fwin_rows",
                                windows("win", "v_main", "v_archive") + FAULTS + windows("fwin", "f_main", "f_arch")),
+    "validate_checksum": summary("user_state", "SELECT * FROM win_rows", "SELECT * FROM fwin_rows",
+                                 windows("win", "v_main", "v_archive") + FAULTS + windows("fwin", "f_main", "f_arch")),
     "validate_archive_window": summary("user_state_archive", "SELECT * FROM win_archive", "SELECT * FROM fwin_archive",
                                        windows("win", "v_main", "v_archive") + FAULTS + windows("fwin", "f_main", "f_arch")),
     "validate_preload": summary(

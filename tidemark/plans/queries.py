@@ -15,19 +15,19 @@ from pyspark.sql import functions as F
 from tidemark.functions.envelope import add_key, parse_envelope, row_image
 from tidemark.functions.timeconv import SENTINEL_NS, epoch_to_ts, ms_to_ts, ns_div, ns_to_ts, round_seconds_ns, ts_to_ns, \
     day_to_date
-from tidemark.operators import control, preload
+from tidemark.operators import control, intervals, preload, route
 from tidemark.operators.apply import applied_marks, apply_changes, archive_rows, project, rejects
-from tidemark.operators.journal import SOURCE_COLUMNS, dedupe, select_batch, to_messages
+from tidemark.operators.journal import SOURCE_COLUMNS, dedupe, select_batch, to_messages, unprocessed
 from tidemark.operators.temporal import (archive_window_rows, rebuild_as_of, snapshot_size, suggest_cutoff,
                                          window_rows)
-from tidemark.operators.validate import diff_summary, duplicate_keys, multiset_diff
+from tidemark.operators.validate import checksum_summary, diff_summary, duplicate_keys, key_bucket, multiset_diff
 from tidemark.plans import derive as d
 from tidemark.plans.derive import LAST_ORDER, SPECS, T_CUTOFF, USER_STATE, WINDOW_HI, WINDOW_LO
 from tidemark.session import use_utc, work_dir
 from tidemark.sources.store import CdcStore, buckets_for
 from tidemark.sources.streams import read_topic_files
 from tidemark.operators.cycle import validate_cycle
-from tidemark.streaming.pipeline import bootstrap, start_apply, start_journal
+from tidemark.streaming.pipeline import bootstrap, dedupe_within, start_apply, start_journal
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -79,17 +79,12 @@ def _archive_topic_messages(spark, sf) -> DataFrame:
 
 @query("apply_multi_table")
 def q_apply_multi_table(spark, sf):
-    """Route by (schema, table): messages of *_archive topics match no route."""
+    """Route by (schema, table), all tables in one plan: messages of *_archive topics match no route."""
     allm = (d.messages(spark, sf).unionByName(d.order_messages(spark, sf))
             .unionByName(_archive_topic_messages(spark, sf)))
-    out = None
-    for spec in SPECS:
-        m = allm.filter((F.col("schema") == spec.schema_name) & (F.col("table") == spec.name))
-        cur = apply_changes(None, m, spec).select(
-            F.lit(spec.name).alias("table_name"), F.col(spec.key).cast("long").alias("key_id"),
-            "valid_from", "valid_to")
-        out = cur if out is None else out.unionByName(cur)
-    return out
+    rows = route.apply_routed(None, route.routed(allm, SPECS), SPECS)
+    return rows.select(F.col("of_table").alias("table_name"), "key_id", F.col("valid_from__bigint").alias("valid_from"),
+                       F.col("valid_to__bigint").alias("valid_to"))
 
 
 HOT_USER = 999_999  # the mixed log's key with a third of all messages, within an hour
@@ -208,6 +203,21 @@ def q_batch_select_journal(spark, sf):
     return select_batch(journal, BATCH_ROWS, applied).select("topic", "partition", "message_id", "operation", "event_time")
 
 
+@query("batch_select_third")
+def q_batch_select_third(spark, sf):
+    """A batch of a third of the table."""
+    orders = _order_stream(spark, sf)
+    return select_batch(orders, orders.count() // 3)
+
+
+@query("unprocessed_intervals")
+def q_unprocessed_intervals(spark, sf):
+    """What is left after everything up to the window's start, and every fifth position, with redelivered copies."""
+    journal = _journal_rows(spark, sf)
+    done = journal.filter((F.col("event_time") <= F.lit(WINDOW_LO)) | (F.col("message_id") % 5 == 0))
+    return unprocessed(journal, intervals.offset_intervals(done)).select("topic", "partition", "message_id", "operation", "event_time")
+
+
 # ---------------------------------------------------------------- time functions
 @query("epoch_to_ts")
 def q_epoch_to_ts(spark, sf):
@@ -307,6 +317,21 @@ def q_validate_window(spark, sf):
                         window_rows(wmain, warch, WINDOW_LO, WINDOW_HI, USER_STATE))
 
 
+CHECKSUM_BUCKETS = 64
+
+
+@query("validate_checksum")
+def q_validate_checksum(spark, sf):
+    """The same window by checksums of key buckets; only unequal buckets are compared row by row."""
+    sides = []
+    for name, (main, arch) in (("source", d.source_pair(spark, sf)), ("target", _warehouse(spark, sf))):
+        path = work_dir(spark, f"window-{name}")
+        rows = window_rows(main, arch, WINDOW_LO, WINDOW_HI, USER_STATE)
+        rows.withColumn("bucket", key_bucket([USER_STATE.key], CHECKSUM_BUCKETS)).hint("rebalance", "bucket").write.partitionBy("bucket").parquet(path)
+        sides.append(spark.read.schema(f"{USER_STATE.row_schema}, bucket INT").parquet(path))
+    return checksum_summary(USER_STATE.name, *sides, USER_STATE.columns)
+
+
 @query("validate_archive_window")
 def q_validate_archive_window(spark, sf):
     main, arch = d.source_pair(spark, sf)
@@ -386,6 +411,13 @@ def control_history(spark, sf) -> DataFrame:
     return checked.unionByName(_batch_history(spark, sf).filter(F.col("validated_date") > F.lit(T_CUTOFF)))
 
 
+@query("load_history_partitions")
+def q_load_history_partitions(spark, sf):
+    """High-water marks of a batch a day, per topic and partition."""
+    j = unprocessed(_journal_rows(spark, sf)).withColumn("_batch", F.floor(F.col("event_time") / F.lit(d.DAY_NS)).cast("long"))
+    return control.batch_progress(j, "_batch")
+
+
 @query("mark_validated")
 def q_mark_validated(spark, sf):
     base = _batch_history(spark, sf)
@@ -479,6 +511,56 @@ def q_stream_apply(spark, sf):
     return store.current(USER_STATE)
 
 
+@query("stream_late_ignore")
+def q_stream_late_ignore(spark, sf):
+    """Every third change comes in a later micro-batch and is ignored where its key is further on, also after a delete."""
+    store, path, files = _store(spark, sf), work_dir(spark, "topic"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    changes = d.raw_stream(spark, sf, kinds=("change",))
+    for late in (False, True):
+        changes.filter((F.col("offset") % 3 == 0) == F.lit(late)).repartition(files).write.mode("append").parquet(path)
+    start_apply(read_topic_files(spark, path, max_files_per_trigger=files), store, work_dir(spark, "stream"), lambda: LOADED_AT,
+                available_now=True, late="ignore").awaitTermination()
+    return store.current(USER_STATE)
+
+
+@query("stream_dedupe_watermark")
+def q_stream_dedupe_watermark(spark, sf):
+    """Copies that come within ten minutes are dropped by the state store, without a look at a journal."""
+    topic, files = write_topic(spark, sf, d.RECORD_KINDS)
+    path = work_dir(spark, "deduped")
+    stream = dedupe_within(read_topic_files(spark, topic, max_files_per_trigger=files), SPECS, "10 minutes")
+    writer = stream.writeStream.foreachBatch(lambda batch, epoch: batch.write.parquet(f"{path}/epoch={epoch}"))
+    writer.option("checkpointLocation", work_dir(spark, "stream")).trigger(availableNow=True).start().awaitTermination()
+    found = to_messages(parse_envelope(spark.read.parquet(path)), SPECS)
+    return found.select(*[c for c in MESSAGE_VIEW if c != "message_id"])
+
+
+@query("journal_dedupe_indexed")
+def q_journal_dedupe_indexed(spark, sf):
+    """The whole topic twice, by two streams: the second time the index tells which folders hold the messages."""
+    store = _store(spark, sf)
+    for _ in range(2):
+        _run(spark, sf, store, start_journal, d.RECORD_KINDS, available_now=True)
+    return store.journal().select(*MESSAGE_VIEW)
+
+
+@query("journal_summary")
+def q_journal_summary(spark, sf):
+    """The journal's counts and bounds per table, topic and partition, merged step by step."""
+    store = _store(spark, sf)
+    _run(spark, sf, store, start_journal, d.RECORD_KINDS, available_now=True)
+    return store.summary()
+
+
+@query("stream_compacted")
+def q_stream_compacted(spark, sf):
+    """The archive of a stream after its steps were made one."""
+    store = _store(spark, sf)
+    _run(spark, sf, store, start_apply, CHANGES, available_now=True)
+    store.compact()
+    return store.archive_view(USER_STATE)
+
+
 @query("stream_bootstrap")
 def q_stream_bootstrap(spark, sf):
     store = _store(spark, sf)
@@ -536,7 +618,7 @@ def q_process_journal(spark, sf):
     store = _store(spark, sf)
     for after in (T_CUTOFF, None):  # the second delivers everything, the first's records again
         _run(spark, sf, store, start_journal, CHANGES, after, available_now=True)
-    store.process_journal(batch_rows=-(-store.journal().count() // 3), loaded_at_ns=LOADED_AT)
+    store.process_journal(batch_rows=-(-store.journal().count() // 20), loaded_at_ns=LOADED_AT)
     store.process_journal(batch_rows=BATCH_ROWS, loaded_at_ns=LOADED_AT)  # nothing is left
     return store.current(USER_STATE)
 

@@ -11,13 +11,17 @@ recognises.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.functions.envelope import ENVELOPE_SCHEMA, key_expr
 from tidemark.operators import control
+from tidemark.operators.journal import DEDUPE_KEY
 from tidemark.sources.store import CdcStore
+from tidemark.spec import TableSpec
 
 
 def stream_id(store: CdcStore, checkpoint: str) -> str:
@@ -48,9 +52,11 @@ def _start(stream: DataFrame, store: CdcStore, checkpoint: str, available_now: b
 
 
 def start_apply(stream: DataFrame, store: CdcStore, checkpoint: str, loaded_at_ns: Callable[[], int], available_now: bool = False,
-                processing_time: str | None = None) -> StreamingQuery:
-    """Journal, apply, archive and record history per micro-batch.  ``loaded_at_ns`` is asked once a batch."""
-    return _start(stream, store, checkpoint, available_now, processing_time, loaded_at_ns)
+                processing_time: str | None = None, late: str = "apply") -> StreamingQuery:
+    """Journal, apply, archive and record history per micro-batch.  ``loaded_at_ns`` is asked once a batch.
+    ``late="ignore"``: messages older than what was applied to their key, in any earlier batch, change nothing and are
+    among the rejects."""
+    return _start(stream, store, checkpoint, available_now, processing_time, loaded_at_ns, late=late)
 
 
 def start_journal(stream: DataFrame, store: CdcStore, checkpoint: str, loaded_at_ns: Callable[[], int], available_now: bool = False,
@@ -65,11 +71,26 @@ def bootstrap(stream: DataFrame, store: CdcStore, checkpoint: str, loaded_at_ns:
     return _start(stream, store, checkpoint, True, None, loaded_at_ns, preloaded=True)
 
 
+def dedupe_within(stream: DataFrame, specs: Iterable[TableSpec], lateness: str, time: str = "timestamp") -> DataFrame:
+    """The stream's records, each message (key, operation, table, envelope time) once if its copies come within
+    ``lateness`` of each other by record time.  For sources whose lateness is known: what is known of a message is
+    dropped from the state when the watermark passes it, so the state is bounded by the rate and the lateness, and records
+    later than that are dropped too.  Records without all four are never copies of another."""
+    parsed = F.from_json(F.col("value").cast("string"), ENVELOPE_SCHEMA).getField("payload")
+    columns = {"operation": "op", "table": "source.table", "ts_ns": "source.ts_ns", "before": "before", "after": "after"}
+    seen = stream.withWatermark(time, lateness).select(*stream.columns, parsed.alias("_p"))
+    seen = seen.select(*stream.columns, *[F.col(f"_p.{path}").alias(name) for name, path in columns.items()]).withColumn("key_id", key_expr(specs))
+    whole = F.col("key_id").isNotNull() & F.col("operation").isNotNull() & F.col("table").isNotNull() & F.col("ts_ns").isNotNull()
+    place = F.concat_ws("/", F.col("topic"), F.col("partition").cast("string"), F.col("offset").cast("string"))
+    seen = seen.withColumn("_own", F.when(~whole, place))
+    return seen.dropDuplicatesWithinWatermark([*DEDUPE_KEY, "_own"]).select(*stream.columns)
+
+
 def open_from_history(store: CdcStore, topics: dict[str, str], reader: Callable[[str], DataFrame]) -> DataFrame:
     """The stream after what the store has journaled: ``reader`` gets the start offsets of every partition
-    as JSON.  Refuses if a table (key of ``topics``) is not preloaded."""
-    history, journal = store.history(), store.journal()
-    if history is None or journal is None:
+    as JSON, from the journal's summary.  Refuses if a table (key of ``topics``) is not preloaded."""
+    history, summary = store.history(), store.summary()
+    if history is None or summary is None:
         raise RuntimeError(f"tables not preloaded: {', '.join(sorted(topics))}")
-    offsets = control.offset_lookup(history, topics, control.partition_offsets(journal))
+    offsets = control.offset_lookup(history, topics, control.summary_offsets(summary))
     return reader(control.starting_offsets(offsets, list(topics)))
