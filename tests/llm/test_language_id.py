@@ -31,7 +31,7 @@ def test_counts_are_corrected():
     rng = np.random.default_rng(0)
     grams = rng.integers(0, 2**64, 400_000, dtype=np.uint64)
     language = np.where(np.arange(400_000) < 300_000, 0, 70)  # in the second word of the masks
-    filters = li.Filters([f"l{k:02d}" for k in range(71)], language, grams)
+    filters = li.Filters.of([f"l{k:02d}" for k in range(71)], language, grams)
     assert filters.false_share[0] > 0.4
     text = grams[350_000:]
     counts = filters.counts(text, np.array([0, 0, 50_000, 50_000]))
@@ -87,3 +87,33 @@ def test_outcomes(spark):
     for filters, first in ((unlearned, "unlearned"), (learned, "predicted")):
         got = {g.row.doc_id: g.outcome for g in li.identify(docs, filters).collect()}
         assert got == {1: first, 2: "no letter", 3: "no letter"}
+
+
+def test_filters_hold_the_exact_sets_and_counts_are_near_them(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    filters = li.learn(docs)
+    train = [r for r in docs.collect() if r.text and r.lang and zlib.crc32(str(r.doc_id).encode()) % 5]
+    exact = []
+    for lang in filters.languages:
+        mine = [np.unique(li.ngrams([r.text])[0]) for r in train if r.lang == lang]
+        gram, many = np.unique(np.concatenate(mine), return_counts=True)
+        exact.append(gram[many >= li.MIN_SHARE * len(mine)])
+    of = li.Filters.of(filters.languages, np.repeat(np.arange(len(exact)), [len(e) for e in exact]), np.concatenate(exact))
+    assert (of.slots == filters.slots).all()
+    for r in docs.limit(60).collect():
+        grams, first = li.ngrams([r.text or ""])
+        counts = filters.counts(grams, first)[0]
+        want = [np.isin(grams, e).sum() for e in exact]
+        assert np.abs(counts - want).max() <= 3 + 0.02 * len(grams)
+
+
+def test_a_full_filter_says_nothing(spark):
+    grams = np.random.default_rng(1).integers(0, 2**64, 8_000_000, dtype=np.uint64)
+    some, _ = li.ngrams(["plain words of the other language"])
+    filters = li.Filters.of(["full", "other"], np.append(np.zeros(len(grams), np.int64), np.ones(len(some), np.int64)), np.append(grams, some))
+    assert filters.false_share[0] == 1
+    docs = spark.createDataFrame([(1, "plain words of the other language"), (2, "zzz qqq"), (3, "12")], "doc_id long, text string")
+    got = {g.row.doc_id: (g.lang_pred, g.score) for g in li.identify(docs, filters).collect()}
+    assert got[1] == ("other", 1.0) and got[2][1] < 0.2 and got[3] == ("und", 0.0)
+    alone = li.Filters.of(["full"], np.zeros(len(grams), np.int64), grams)
+    assert {(g.lang_pred, g.score) for g in li.identify(docs.limit(2), alone).collect()} == {("full", 0.0)}

@@ -82,3 +82,66 @@ def test_empty_table(spark, pages):
     records = warc.derivatives(warc.as_responses(pages.limit(0)))
     assert records.collect() == [] and warc.write_warc(records, work_dir(spark, "test-warc")) == []
     assert warc.read_warc(spark, []).collect() == []
+
+
+@pytest.mark.parametrize("html, text", [
+    ("a<![bogus[x]]>b", "ab"), ("a<![CDATA[x]]>b", "ab"), ("a<![if IE]>b<![endif]>c", "abc"), ("a<![", "a"), ("a<!bogus>b<!-->c<?pi ?>d", "abcd"),
+    ("<svg><title>Icon</title><text>no</text></svg>yes", "yes"), ("<svg><circle r=1><p>yes", "yes"), ("<svg><text>no<div>yes</div>", "yes"),
+    ("<svg><foreignObject><p>no</p></foreignObject><text>no</text></svg>yes", "yes"), ("<svg><desc><p>no</p></desc></svg>yes", "yes"),
+    ("<svg/>yes", "yes"), ("a<!--->b<!-- c", "ab"), ("<svg><desc/><p>yes", "yes"),
+])
+def test_odd_declarations_and_unclosed_graphics(html, text):
+    assert warc.parsed(html.encode()).text() == text
+
+
+def test_the_title_is_the_pages_own():
+    assert warc.parsed(b"<title>Page</title><svg><title>Icon</title></svg>").title == "Page"
+
+
+@pytest.mark.parametrize("charset", ["idna", "undefined", "hex", "no-such", "utf-16", "punycode", "unicode_escape"])
+def test_any_declared_character_set(spark, charset):
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset={charset}\r\n"
+    rows = [(("k",), "<urn:uuid:1>", "http://a.example/", "1970-01-01T00:00:00Z", http, b"<p>caf\xc3\xa9 x..y</p>"), (("k",), "<urn:uuid:2>", None, None, None, None)]
+    given = spark.createDataFrame(rows, "row struct<k:string>, record_id string, target_uri string, date string, http string, payload binary")
+    got = warc.derivatives(given).collect()
+    assert len(got) == 4
+    if charset in ("idna", "undefined", "hex", "no-such"):
+        assert bytes(got[1].block).decode() == "café x..y"
+
+
+def test_ids_follow_content_and_nulls(spark):
+    rows = [(5, None, "a"), (None, "5", "a"), (5, "u", "one"), (5, "u", "two"), (5, "u", "two"), (5, "u", None), (5, "u", "")]
+    got = warc.as_responses(spark.createDataFrame(rows, "page_id long, url string, html string")).select("record_id").collect()
+    ids = [g.record_id for g in got]
+    assert len(set(ids)) == 5 and ids[3] == ids[4] and ids[5] == ids[6]
+
+
+def test_text_of_generated_pages():
+    """Pages written from a tree whose text is known."""
+    import html
+    import random
+
+    inline, block, hidden = ("b", "i", "span", "a", "em"), ("p", "div", "li", "td", "h2"), ("script", "style", "svg", "template", "noscript")
+    r = random.Random(8)
+
+    def node(depth):
+        kind = r.random()
+        if depth == 0 or kind < 0.4:
+            word = r.choice(["caf\u00e9", "a < b", "x & y", "  two\nlines ", "\u65e5\u672c", "&amp;", "plain"])
+            return html.escape(word), word
+        inner = [node(depth - 1) for _ in range(r.randrange(1, 4))]
+        source, text = "".join(i[0] for i in inner), "".join(i[1] for i in inner)
+        if kind < 0.6:
+            tag = r.choice(inline)
+            return f"<{tag} class='c'>{source}</{tag.upper()}>", text
+        if kind < 0.85:
+            tag = r.choice(block)
+            return f"<{tag}>{source}</{tag}>", f"\0{text}\0"
+        tag = r.choice(hidden)
+        return f"<!-- c > d --><{tag}>var x = 1;</{tag}>", ""
+
+    for _ in range(300):
+        parts = [node(4) for _ in range(3)]
+        page = warc.parsed(("<!DOCTYPE html><html><head><title>t</title></head><body>" + "".join(p[0] for p in parts) + "</body></html>").encode())
+        lines = (" ".join(x.split()) for line in "".join(p[1] for p in parts).split("\0") for x in line.split("\n"))
+        assert page.text().split("\n") == [x for x in lines if x] or not any(lines)

@@ -12,7 +12,8 @@ the mask of all languages that contain it.
 Prediction reads nothing but the whole text: each n-gram's mask is looked
 up, and the bits are counted per language.  A filter with a share f of
 false positives shows ``true + f * (n - true)`` of n n-grams, so the
-count is corrected to ``(shown - f * n) / (1 - f)``.  The language with
+count is corrected to ``(shown - f * n) / (1 - f)``; a full filter (f = 1)
+says nothing and counts as 0.  The language with
 the highest corrected count wins, the first by name of equals; the score
 is that count's share of all n-grams.
 
@@ -50,14 +51,20 @@ PREDICTED, UNLEARNED, NO_LETTER = "predicted", "unlearned", "no letter"  # outco
 class Filters:
     """Bloom filters of all languages, bit-sliced: ``slots[w, i]`` holds bit b of language 64 * w + b."""
 
-    def __init__(self, languages: list[str], language: np.ndarray, grams: np.ndarray):
+    def __init__(self, languages: list[str], slots: np.ndarray | None = None):
         self.languages = languages
-        self.slots = np.zeros((max(1, -(-len(languages) // 64)), SLOTS), np.uint64)
-        for place in places(grams):
-            np.bitwise_or.at(self.slots, (language // 64, place), np.uint64(1) << (language % 64).astype(np.uint64))
+        self.slots = np.zeros((max(1, -(-len(languages) // 64)), SLOTS), np.uint64) if slots is None else slots
         full = np.array([np.mean(self.slots[k // 64] >> np.uint64(k % 64) & np.uint64(1)) for k in range(len(languages))])
         self.false_share = full ** HASHES
 
+    @classmethod
+    def of(cls, languages: list[str], language: np.ndarray, grams: np.ndarray) -> Filters:
+        """Filters of n-grams, each of the language with that number."""
+        slots = cls(languages).slots
+        for place in places(grams):
+            np.bitwise_or.at(slots, (language // 64, place), np.uint64(1) << (language % 64).astype(np.uint64))
+        return cls(languages, slots)
+
     def counts(self, grams: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Corrected counts of the n-grams that each language contains: (documents, languages)."""
         n = np.diff(first)
@@ -71,7 +78,10 @@ class Filters:
             for k in range(64 * w, min(64 * w + 64, len(self.languages))):
                 if len(some):
                     shown[some, k] = np.add.reduceat(mask >> np.uint64(k % 64) & np.uint64(1), first[:-1][some])
-        return (shown - self.false_share * n[:, None]) / (1 - self.false_share)
+        usable = self.false_share < 1  # a full filter holds everything: no evidence
+        out = np.zeros(shown.shape)
+        out[:, usable] = (shown[:, usable] - self.false_share[usable] * n[:, None]) / (1 - self.false_share[usable])
+        return out
 
 
 def places(grams: np.ndarray):
@@ -124,19 +134,27 @@ def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str =
         "id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL").filter(~held_out(F.col("id")))
     many = {r.lang: r["count"] for r in labelled.groupBy("lang").count().collect()}  # as many rows as languages
     if not many:
-        return Filters([], np.zeros(0, np.int64), np.zeros(0, np.uint64))
+        return Filters([])
     rate = F.create_map(*[F.lit(x) for lang, n in many.items() for x in (lang, min(1.0, sample_per_language / n))])
     chance = F.pmod(F.xxhash64("id", F.lit("language sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     sample = labelled.filter(chance < F.element_at(rate, F.col("lang"))).select("lang", F.struct("text").alias("doc"))
     held = sample.mapInArrow(document_counts, "lang string, gram long, docs long").groupBy("lang", "gram").agg(F.sum("docs").alias("docs"))
     sizes = {r.lang: r["count"] for r in sample.groupBy("lang").count().collect()}
+    if not sizes:
+        return Filters([])
     least = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min_share * n)])
-    # at most (n-grams of a document) / min_share rows for each language
-    found = held.filter(F.col("docs") >= F.element_at(least, F.col("lang"))).select("lang", "gram").toArrow()
-    languages = sorted(set(found.column("lang").to_pylist()))
-    index = {x: i for i, x in enumerate(languages)}
-    return Filters(languages, np.array([index[x] for x in found.column("lang").to_pylist()], np.int64),
-                   found.column("gram").to_numpy().view(np.uint64))
+    held = held.filter(F.col("docs") >= F.element_at(least, F.col("lang")))
+    # bits of the slots are set in Spark: at most SLOTS rows for 64 languages come to the driver, whatever the n-grams
+    languages = sorted(r.lang for r in held.select("lang").distinct().collect())
+    number = F.element_at(F.create_map(*[F.lit(x) for k, lang in enumerate(languages) for x in (lang, k)]), F.col("lang")) if languages else F.lit(0)
+    bits = SLOTS.bit_length() - 1
+    places_of = F.array(*[F.shiftright("gram", k * bits).bitwiseAND(SLOTS - 1) for k in range(HASHES)])
+    found = held.select(number.alias("k"), F.explode(places_of).alias("slot")).groupBy(
+        F.floor(F.col("k") / 64).cast("int").alias("w"), "slot").agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("k") % 64).cast("int"))).alias("bits")).toArrow()
+    filters = Filters(languages)
+    filters.slots[found.column("w").to_numpy(), found.column("slot").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    return Filters(languages, filters.slots)
 
 
 def held_out(key):

@@ -6,7 +6,8 @@ set and outlinks, the source's HTTP status and headers, and its digests.
 The *conversion* record (``text/plain``) has the visible text.  Both name
 the response in ``WARC-Refers-To`` and each other in
 ``WARC-Concurrent-To``, and keep its target URI, date and payload digest.
-Record ids are name-based, so a repeated run gives the same records.
+Record ids are named by a page's key, URI and content, so a repeated run
+gives the same records, and two captures of one page have their own.
 
 All is one pass over the pages, without a shuffle.  ``write_warc`` has
 every task write one file of gzip members, one for each record, under a
@@ -17,8 +18,10 @@ Null or empty pages give an empty text and a metadata record without
 title; a null URI leaves out the header.  Line breaks in a URI are
 percent-encoded and in header values replaced by spaces, so that no
 record can forge a header.  Repeated rows give equal records.  An empty
-table gives an empty result and no file.  Other input columns come back
-inside ``row``.
+table gives an empty result and no file.  A character set that cannot be
+decoded with counts as UTF-8, a marked section as a comment; a start tag
+that cannot stand in an unclosed ``svg`` ends it.  ``row`` holds the key,
+and what other columns ``carry`` names.
 """
 
 from __future__ import annotations
@@ -47,19 +50,26 @@ RECORDS = ("record_type string, record_id string, refers_to string, concurrent_t
 NAMES = [column.split()[0] for column in RECORDS.split(", ")]
 SKIPPED = frozenset(("script", "style", "noscript", "template", "svg", "iframe", "object", "head"))
 IN_HEAD = frozenset(("html", "head", "title", "meta", "link", "base", "basefont", "bgsound", "style", "script", "noscript", "noframes", "template"))
+# HTML's list of start tags that end foreign content.
+BREAKOUT = frozenset(("b", "big", "blockquote", "body", "br", "center", "code", "dd", "div", "dl", "dt", "em", "embed", "h1", "h2", "h3", "h4",
+                      "h5", "h6", "head", "hr", "i", "img", "li", "listing", "menu", "meta", "nobr", "ol", "p", "pre", "ruby", "s", "small",
+                      "span", "strong", "strike", "sub", "sup", "table", "tt", "u", "ul", "var"))
+INSIDE_SVG = frozenset(("foreignobject", "desc"))  # parts of an svg where HTML may stand
 BLOCKS = frozenset(("address", "article", "aside", "blockquote", "body", "br", "dd", "div", "dl", "dt", "fieldset", "figcaption", "figure",
                     "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "li", "main", "nav", "ol", "p", "pre",
                     "section", "table", "td", "th", "title", "tr", "ul"))
 
 
 def as_responses(pages: DataFrame, key: str = "page_id", uri: str = "url", html: str = "html",
-                 date: str = "1970-01-01T00:00:00Z") -> DataFrame:
-    """Pages as response records: ``row`` (the key), ``record_id``, ``target_uri``, ``date``, ``http`` (status line
-    and headers) and ``payload``."""
+                 date: str = "1970-01-01T00:00:00Z", carry: list[str] | None = None) -> DataFrame:
+    """Pages as response records: ``row`` (the key, or the columns of ``carry``), ``record_id``, ``target_uri``, ``date``,
+    ``http`` (status line and headers) and ``payload``."""
     payload = F.coalesce(F.col(quoted(html)).cast("binary"), F.lit(b""))
-    name = F.sha2(F.concat_ws("\n", F.lit("response"), F.col(quoted(key)).cast("string"), F.col(quoted(uri))), 256)
+    parts = [F.coalesce(F.concat(F.lit("="), F.col(quoted(c)).cast("string")), F.lit("-")) for c in (key, uri)]  # null is no text
+    name = F.sha2(F.concat_ws("\n", F.lit("response"), *parts, F.length(payload).cast("string"), F.hex(F.xxhash64(payload))), 256)
     ident = F.concat(F.lit("<urn:uuid:"), *[x for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)) for x in (name.substr(a, n), F.lit("-"))][:-1], F.lit(">"))
-    return pages.select(F.struct(F.col(quoted(key))).alias("row"), ident.alias("record_id"), F.col(quoted(uri)).cast("string").alias("target_uri"),
+    row = F.struct(*[F.col(quoted(c)) for c in (carry or [key])])
+    return pages.select(row.alias("row"), ident.alias("record_id"), F.col(quoted(uri)).cast("string").alias("target_uri"),
                         F.lit(date).alias("date"), F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
                                                             F.length(payload).cast("string"), F.lit("\r\n")).alias("http"), payload.alias("payload"))
 
@@ -91,15 +101,21 @@ class Page(HTMLParser):
         elif tag == "base":
             self.base = self.base or values.get("href", "")
         elif tag == "title":
-            self.in_title = True
+            self.in_title = "svg" not in self.skipped
         if tag in ("a", "area") and values.get("href"):
             self.links.append(values["href"])
         elif tag in ("img", "iframe", "script") and values.get("src"):
             self.links.append(values["src"])
-        if tag == "body" and "head" in self.skipped:  # a head that was never closed
-            self.skipped.remove("head")
-        if self.skipped and tag not in IN_HEAD:
-            self.end_head()
+        if self.skipped:
+            if self.skipped[-1] == "svg":
+                if tag in BREAKOUT:
+                    self.skipped.pop()
+                elif tag in INSIDE_SVG:
+                    self.skipped.append(tag)
+            if tag == "body" and "head" in self.skipped:  # a head that was never closed
+                self.skipped.remove("head")
+            if tag not in IN_HEAD:
+                self.end_head()
         if tag in SKIPPED:
             self.skipped.append(tag)
         elif tag in BLOCKS:
@@ -107,13 +123,13 @@ class Page(HTMLParser):
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
-        if tag in SKIPPED:
+        if tag in self.skipped:
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
         if tag == "title":
             self.in_title = False
-        if tag in SKIPPED and tag in self.skipped:
+        if tag in self.skipped:
             while self.skipped.pop() != tag:
                 pass
         elif tag in BLOCKS:
@@ -133,6 +149,19 @@ class Page(HTMLParser):
         while self.skipped and self.skipped[-1] == "head":
             self.skipped.pop()
 
+    def parse_marked_section(self, i, report=1):
+        """Of any name: HTML has none and takes it for a comment, up to the text's end if it is not closed."""
+        end = self.parse_bogus_comment(i, report)
+        return len(self.rawdata) if end < 0 else end
+
+    def parse_comment(self, i, report=1):
+        """HTML's two abrupt ends, and a comment that is not closed, which goes up to the text's end."""
+        for whole in ("<!-->", "<!--->"):
+            if self.rawdata.startswith(whole, i):
+                return i + len(whole)
+        end = super().parse_comment(i, report)
+        return len(self.rawdata) if end < 0 else end
+
     def updatepos(self, i, j):  # nobody asks for line numbers
         return j
 
@@ -145,7 +174,7 @@ def parsed(payload: bytes, charset: str = "utf-8") -> Page:
     page = Page()
     try:
         text = payload.decode(charset, "replace")
-    except LookupError:  # an unknown character set
+    except (LookupError, UnicodeError):  # an unknown character set, or one that no text can be in
         text = payload.decode("utf-8", "replace")
     page.feed(text)
     page.close()
