@@ -30,6 +30,7 @@ from __future__ import annotations
 import json
 import uuid
 import zlib
+from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -65,8 +66,8 @@ class EliasFano:
         np.bitwise_or.at(high, ones // 8, (1 << (ones % 8)).astype(np.uint8))
         return cls(n, shift, low, high, ones[::STEP].astype(np.uint64))
 
-    def select(self, i: int) -> int:
-        """The i-th number, by the sample before it and a scan of about STEP gaps."""
+    def place(self, i: int) -> int:
+        """Where the i-th one of the upper bits is, by the sample before it and a scan of about STEP gaps."""
         place = int(self.samples[i // STEP])
         left = i % STEP
         byte = place // 8
@@ -77,18 +78,33 @@ class EliasFano:
             word = int(self.high[byte])
         for _ in range(left):
             word &= word - 1
-        one = 8 * byte + (word & -word).bit_length() - 1
+        return 8 * byte + (word & -word).bit_length() - 1
+
+    def select(self, i: int) -> int:
+        """The i-th number."""
+        one = self.place(i)
         at, low = i * self.shift, 0
         for k in range(self.shift):
             low |= (int(self.low[(at + k) // 8]) >> ((at + k) % 8) & 1) << k
         return (one - i) << self.shift | low
 
-    def all(self) -> np.ndarray:
-        ones = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[:self.n]
-        low = np.unpackbits(self.low, count=self.n * self.shift, bitorder="little").reshape(self.n, self.shift).astype(np.uint64)
-        values = (ones - np.arange(self.n)).astype(np.uint64) << np.uint64(self.shift)
+    def part(self, lo: int, hi: int) -> np.ndarray:
+        """The numbers from the lo-th to before the hi-th: the bits between two selected places."""
+        if lo >= hi:
+            return np.zeros(0, np.uint64)
+        first = self.place(lo) // 8
+        bits = np.unpackbits(self.high[first:self.place(hi - 1) // 8 + 1], bitorder="little")
+        ones = np.flatnonzero(bits) + 8 * first
+        before = int(np.unpackbits(self.high[first:first + 1], bitorder="little")[:self.place(lo) - 8 * first].sum())
+        values = (ones[before:before + hi - lo] - np.arange(lo, hi)).astype(np.uint64) << np.uint64(self.shift)
+        start, end = lo * self.shift, hi * self.shift
+        low = np.unpackbits(self.low[start // 8:-(-end // 8)], bitorder="little")[start % 8:start % 8 + end - start]
+        low = low.reshape(hi - lo, self.shift).astype(np.uint64)
         return values + (low << np.arange(self.shift, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
 
+    def all(self) -> np.ndarray:
+        return self.part(0, self.n)
+
     def write(self, out, at: int) -> dict:
         parts = [self.low.tobytes(), self.high.tobytes(), self.samples.astype("<u8").tobytes()]
         for p in parts:
@@ -185,9 +201,11 @@ class Shard:
         nulls = self.about["nulls"]
         return None if i < nulls else self.documents.select(i - nulls) + self.about["least"], self.ids(start, self.boundaries.select(i))
 
-    def doc_ids(self) -> pa.Array:
-        found = (self.documents.all() + np.array(self.about["least"], np.int64).view(np.uint64)).view(np.int64)
-        return pa.concat_arrays([pa.nulls(self.about["nulls"], pa.int64()), pa.array(found)])
+    def doc_ids(self, lo: int, hi: int) -> pa.Array:
+        nulls = self.about["nulls"]
+        found = self.documents.part(max(lo, nulls) - nulls, max(hi, nulls) - nulls)
+        found = (found + np.array(self.about["least"], np.int64).view(np.uint64)).view(np.int64)
+        return pa.concat_arrays([pa.nulls(hi - lo - len(found), pa.int64()), pa.array(found)])
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
@@ -205,15 +223,13 @@ def read_shards(batches):
     for batch in batches:
         for file, before in zip(batch.column("file").to_pylist(), batch.column("before").to_pylist(), strict=True):
             shard = Shard(file)
-            ends, doc_ids = shard.boundaries.all().astype(np.int64), shard.doc_ids()
-            starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
-            lo = 0
-            while lo < len(ends):  # some million ids at a time, whole documents
-                hi = max(lo + 1, int(np.searchsorted(ends, starts[lo] + (1 << 22), side="right")))
-                raw = memoryview(shard.ids(int(starts[lo]), int(ends[hi - 1])).astype("<u4").tobytes())
-                base = int(starts[lo])
-                crc = [zlib.crc32(raw[4 * (a - base):4 * (b - base)]) for a, b in zip(starts[lo:hi].tolist(), ends[lo:hi].tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([doc_ids.slice(lo, hi - lo), pa.array(before + starts[lo:hi]),
-                                                  pa.array(ends[lo:hi] - starts[lo:hi]), pa.array(crc, pa.int64())],
+            lo, start, n = 0, 0, shard.boundaries.n
+            while lo < n:  # some million ids at a time, whole documents; their bounds are selected
+                hi = max(lo + 1, bisect_right(range(n), start + (1 << 22), lo, key=shard.boundaries.select))
+                ends = shard.boundaries.part(lo, hi).astype(np.int64)
+                starts = np.append(start, ends[:-1])
+                raw = memoryview(shard.ids(start, int(ends[-1])).astype("<u4").tobytes())
+                crc = [zlib.crc32(raw[4 * (a - start):4 * (b - start)]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([shard.doc_ids(lo, hi), pa.array(before + starts), pa.array(ends - starts), pa.array(crc, pa.int64())],
                                                  ["doc_id", "start", "n_tokens", "ids_crc32"])
-                lo = hi
+                lo, start = hi, int(ends[-1])
