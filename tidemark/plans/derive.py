@@ -120,12 +120,23 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-_KEPT: dict[tuple[str, str, str], DataFrame] = {}
+_KEPT: dict[tuple, DataFrame] = {}
+
+
+def _stamp(spark: SparkSession, sf_dir: str) -> tuple:
+    """Sizes and times of the files that derived inputs come from: another table at the same place is another input."""
+    jvm, conf, found = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), []
+    for name in ("events", "orders"):
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            found += [(f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(path)]
+    return tuple(sorted(found))
 
 
 def once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
     """A derived input, stored once per application and folder: queries time their own work, not this."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    key = (spark.sparkContext.applicationId, sf_dir, _stamp(spark, sf_dir), name)
     if key not in _KEPT:
         _KEPT[key] = materialize(build())
     return _KEPT[key]

@@ -302,11 +302,12 @@ def faulty(main: DataFrame, archive: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _warehouse(spark, sf) -> tuple[DataFrame, DataFrame]:
-    """A warehouse with faults: lost messages, late delete times, changed and doubled rows."""
+    """A warehouse with faults, stored once as the source is: lost messages, late delete times, changed and doubled rows."""
     late = F.when(F.col("operation") == "d", DELETE_DELAY_NS).otherwise(0)
     m = d.messages(spark, sf).filter(F.col("message_id") % 53 != 7).withColumns(
         {"ts_ns": F.col("ts_ns") + late, "event_time": F.col("event_time") + late})
-    return faulty(apply_changes(None, m, USER_STATE), archive_rows(m, USER_STATE).drop("deleted"))
+    return faulty(d.once(spark, sf, "warehouse", lambda: apply_changes(None, m, USER_STATE)),
+                  d.once(spark, sf, "warehouse archive", lambda: archive_rows(m, USER_STATE).drop("deleted")))
 
 
 @query("validate_window")
