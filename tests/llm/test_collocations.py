@@ -63,7 +63,8 @@ def test_against_brute_force(spark):
     assert found(spark, rows, least=3, top=40, percent=50) == brute(rows, 3, 40, 50)
 
 
-def test_hot_words_and_many_buckets_give_the_same(spark):
+def test_hot_words_and_many_buckets_give_the_same(spark, monkeypatch):
+    monkeypatch.setattr(co, "SLICE", 101)
     rows = corpus(2, 150)
     for hot, bucket in ((40, 300), (3, 50), (10 ** 9, 100)):
         assert found(spark, rows, least=4, hot=hot, bucket=bucket) == brute(rows, 4)

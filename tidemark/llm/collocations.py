@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +49,7 @@ LONGEST = 5
 HOT = 1 << 19  # occurrences beyond which a word alone routes no suffix
 CHUNK_TEXT = 16 << 20  # bytes of text that are numbered together
 BUCKET = 1 << 20  # suffixes of a bucket, about
+SLICE = 1 << 20  # words whose suffixes are made at a time
 # What ends a piece, and what lies between words.
 BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
 BLANKS = b" \t"
@@ -173,16 +175,17 @@ def split(texts: list[bytes | None]) -> tuple[np.ndarray, pa.Array]:
 
 
 # ---------------------------------------------------------------- suffixes
-def suffixes(sequence: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
-    """``sequence``: word ids, 0 where no phrase goes on.  The words of the suffix at each place, a row per depth, 0
-    after its end; and the suffixes' lengths.  Suffixes of one word are left out."""
-    n = len(sequence)
+def suffixes(sequence: np.ndarray, longest: int, start: int = 0, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """``sequence``: word ids, 0 where no phrase goes on.  The words of the suffix at each place from ``start`` to before
+    ``end``, a row per depth, 0 after its end; and the suffixes' lengths.  Suffixes of one word are left out."""
+    end = len(sequence) if end is None else end
+    near = np.append(sequence[start:end + longest], np.zeros(longest, sequence.dtype))
+    n = end - start
     words = np.zeros((longest, n), sequence.dtype)
     going = np.ones(n, bool)
-    for k in range(min(longest, n)):
-        words[k, :n - k] = sequence[k:]
-        going &= words[k] != 0
-        words[k, ~going] = 0
+    for k in range(longest):
+        going &= near[k:k + n] != 0
+        words[k, going] = near[k:k + n][going]
     words = words[:, words[1] != 0]
     return words, (words != 0).sum(axis=0)
 
@@ -231,6 +234,26 @@ def unpacked_suffixes(body: bytes, longest: int) -> np.ndarray:
     return rows
 
 
+def dealt(columns: np.ndarray, length: np.ndarray, is_hot: np.ndarray, given: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes]]:
+    """Suffixes in the chunk's own numbers, equal ones added up, by bucket."""
+    depth = routes(columns, length, is_hot)
+    parts = [(columns[:, depth > 0], depth[depth > 0])]
+    for k in range(2, len(columns) + 1):  # the phrases of hot words that suffixes start with
+        mine = (length >= k) & ((depth == 0) | (depth > k))
+        if mine.any():
+            lead = columns[:, mine].copy()
+            lead[k:] = 0
+            parts.append((lead, np.full(lead.shape[1], k)))
+    columns, depth = np.concatenate([p[0] for p in parts], axis=1), np.concatenate([p[1] for p in parts])
+    columns, weight, depth = grouped(given[columns], depth)
+    bucket = bucket_of(columns, depth, buckets)
+    order = np.argsort(bucket, kind="stable")
+    columns, weight, depth, bucket = columns[:, order], weight[order], depth[order], bucket[order]
+    edges = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1)).tolist()
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        yield int(bucket[a]), packed_suffixes(columns[:, a:b], depth[a:b], weight[a:b])
+
+
 NO_WORDS = pa.table({"code": np.zeros(0, np.int32), "id": np.zeros(0, np.int64), "n": np.zeros(0, np.int64)})
 
 
@@ -246,24 +269,12 @@ def send(codes: pa.Table, answers: pa.Table, longest: int, hot: int, buckets: in
         own[number] = np.arange(1, len(number) + 1)
         is_hot = np.append(False, often > hot)
         given = np.append(0, ids).astype(wide)
-        columns, length = suffixes(own[code], longest)
-        depth = routes(columns, length, is_hot)
-        parts = [(columns[:, depth > 0], depth[depth > 0])]
-        for k in range(2, longest + 1):  # the phrases of hot words that suffixes start with
-            mine = (length >= k) & ((depth == 0) | (depth > k))
-            if mine.any():
-                lead = columns[:, mine].copy()
-                lead[k:] = 0
-                parts.append((lead, np.full(lead.shape[1], k)))
-        columns, depth = np.concatenate([p[0] for p in parts], axis=1), np.concatenate([p[1] for p in parts])
-        columns = given[columns]
-        columns, weight, depth, bucket = grouped(columns, depth, bucket_of(columns, depth, buckets))
-        order = np.argsort(bucket, kind="stable")
-        columns, weight, depth, bucket = columns[:, order], weight[order], depth[order], bucket[order]
-        edges = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1)).tolist()
-        for a, b in zip(edges[:-1], edges[1:], strict=True):
-            out[0].append(int(bucket[a]))
-            out[1].append(packed_suffixes(columns[:, a:b], depth[a:b], weight[a:b]))
+        sequence = own[code]
+        for start in range(0, len(sequence), SLICE):
+            found = suffixes(sequence, longest, start, min(start + SLICE, len(sequence)))
+            for bucket, message in dealt(*found, is_hot, given, buckets):
+                out[0].append(bucket)
+                out[1].append(message)
     return pa.table({"bucket": pa.array(out[0], pa.int64()), "body": pa.array(out[1], pa.binary())})
 
 
