@@ -53,3 +53,30 @@ def test_every_shared_window_is_found(spark):
     got = dc.decontaminate(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, item)], "item_id long, text string"))
     want = list(brute_force([d[1] for d in docs], [(1, item)]))
     assert [(g.n_words, g.n_hit, g["items"], g.contaminated) for g in got.orderBy("row.doc_id").collect()] == want
+
+
+def test_fifty_parts_one_index_at_a_time(spark, monkeypatch):
+    """Each part is a plan of its own: no plan has two searches, and so no task two indexes."""
+    items = [(i, fixtures.prose(f"item{i % 40}", 16)) for i in range(120)] + ITEMS
+    table = spark.createDataFrame(items, "item_id long, text string")
+    plans, real = [], dc.materialize
+    monkeypatch.setattr(dc, "materialize", lambda df, name: plans.append(df) or real(df, name))
+    docs = [(i, fixtures.prose(f"l{i}", i) + " " + fixtures.prose(f"item{i}", 16)) for i in range(40)] + [(99, "nothing of it")]
+    found = dc.decontaminate(spark.createDataFrame(docs, "doc_id long, text string"), table, part_bytes=100)
+    assert len(plans) >= 20
+    for df in (*plans[:3], found):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    want = sorted((i, *e) for (i, _), e in zip(docs, brute_force([d[1] for d in docs], items), strict=True))
+    assert sorted((g.row.doc_id, g.n_words, g.n_hit, g["items"], g.contaminated) for g in found.collect()) == want
+
+
+def test_common_fingerprints_in_slices(spark, monkeypatch):
+    monkeypatch.setattr(dc, "PAIRS", 7)
+    items = [(i, "who is the best of all " + fixtures.prose(f"q{i}", 9)) for i in range(30)] + [(50, "who is"), (51, "who is")]
+    docs = [(i, "who is the best of all " * 8 + items[i][1]) for i in range(6)]
+    index = dc.Index([[str(i)] for i, _ in items], [t.encode() for _, t in items], 13)
+    first, start, end, doc, item = dc.hits([t.encode() for _, t in docs], index)
+    for d, (_, n_hit, ids, _) in enumerate(brute_force([t for _, t in docs], items)):
+        mine = doc == d
+        assert sorted({index.ids[i][0] for i in item[mine]}) == ids
+        assert len({w for a, b in zip(start[mine], end[mine], strict=True) for w in range(a, b)}) == n_hit

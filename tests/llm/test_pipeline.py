@@ -9,6 +9,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from tests.llm import fixtures, test_decontaminate, test_simhash, test_suffix_dedup
 from tidemark.llm import bpe
+from tidemark.llm.language_id import identify, learn
 from tidemark.session import work_dir
 
 SCHEMA = fixtures.SCHEMA + ", lang string"
@@ -85,3 +86,12 @@ def test_unlabelled_documents_stay(spark, folder):
 def test_stages_are_the_dealt_ones():
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "language ID", "SimHash near-dedup", "suffix-array dedup", "benchmark decontamination", "packing"]
+
+
+def test_the_language_stage_can_keep_languages_and_scores(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    found = identify(docs, learn(docs)).collect()
+    stage = lambda **how: {r.doc_id for r in corpus_pipeline.language_id(spark, docs, "", **how).collect()}
+    assert stage(languages=("de", "fr")) == {g.row.doc_id for g in found if g.lang_pred in ("de", "fr")}
+    assert stage(least_score=0.6) == {g.row.doc_id for g in found if g.outcome == "predicted" and g.score >= 0.6}
+    assert stage() == {g.row.doc_id for g in found if g.outcome != "no letter"}

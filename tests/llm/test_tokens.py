@@ -137,7 +137,7 @@ def test_parts_of_elias_fano_lists_are_selected():
     r = np.random.default_rng(3)
     for n, top in ((1, 1), (5, 3), (700, 40), (3000, 10**9), (900, 900), (600, 2)):
         values = np.sort(r.integers(0, top, n)).astype(np.uint64)
-        held = EliasFano.of(values)
+        held = token_files.EliasFano.of(values)
         for lo, hi in ((0, n), (0, 0), (n, n), *[sorted(r.integers(0, n + 1, 2).tolist()) for _ in range(20)]):
             assert (held.part(lo, hi) == values[lo:hi]).all()
         assert [held.select(i) for i in range(0, n, 97)] == values[::97].tolist()

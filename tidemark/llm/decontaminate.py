@@ -10,10 +10,12 @@ word in both directions, at most to the window's length, and count if
 the common span is long enough.  An item shorter than a window is
 fingerprinted whole, and so are all spans of its length.
 
-The benchmark is cut into parts of at most ``part_bytes`` of text; each
-is broadcast and the documents flow through all of them one after the
-other, so its size is bounded whatever the benchmark's size.  No
-shuffle.
+Equal item texts are one.  The benchmark is cut into parts of about
+``part_bytes`` of distinct texts and ids; each is broadcast, and the
+documents pass one part after the other, written between two, so that
+a worker holds one part at a time whatever the benchmark's size.  No
+shuffle of documents.  Places of common fingerprints are compared in
+slices of ``PAIRS``.
 
 Null texts have no words; items without words have no window.  Items
 with a null id hit words but are not listed.  Repeated rows and items are
@@ -25,6 +27,7 @@ either side give no hits.  Other input columns come back untouched inside
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,12 +35,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import field, packed, quoted, share, text_bytes, texts
+from tidemark.llm.common import field, materialize, packed, quoted, share, texts
 from tidemark.llm.hashing import Spans, Words, chunks, covered, mix, ranges
 
 SIZE = 13
 GRAM = 5
 PART_BYTES = 16 << 20
+PAIRS = 1 << 20
 FOUND = "array<struct<start:long,end:long>>"
 
 
@@ -48,15 +52,19 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     ranges [start, end)), ``items`` (ids of items with occurring windows, as sorted strings) and
     ``contaminated``: at least a twentieth of the words is hit."""
     items = benchmark.select(F.col(quoted(item)).cast("string").alias("id"), F.col(quoted(item_text)).cast("string").alias("text"))
-    n = max(1, math.ceil(text_bytes(items, "text") / part_bytes))
+    items = items.filter("text IS NOT NULL").groupBy("text").agg(F.array_sort(F.collect_set("id")).alias("ids"))
+    size_of = F.octet_length("text") + F.octet_length(F.array_join("ids", ","))
+    n = max(1, math.ceil((items.agg(F.sum(size_of)).first()[0] or 0) / part_bytes))
     given = packed(docs, key, text, carry)
     found = given.withColumns({"spans": F.array().cast(FOUND), "items": F.array().cast("array<string>"), "n_words": F.lit(0).cast("long")})
     schema = T.StructType([given.schema["doc"], *T.StructType.fromDDL(f"spans {FOUND}, items array<string>, n_words long").fields])
     for part in range(n):
-        # at most part_bytes, give or take what chance deals to a part
-        mine = items.filter(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == part).collect()
-        index = share(docs.sparkSession, Index([r.id for r in mine], [(r.text or "").encode() for r in mine], size))
+        # about part_bytes, give or take what chance deals to a part
+        mine = items.filter(F.pmod(F.xxhash64("text"), F.lit(n)) == part).collect()
+        index = share(docs.sparkSession, Index([r.ids for r in mine], [r.text.encode() for r in mine], size))
         found = found.mapInArrow(lambda batches, index=index: search(batches, index()), schema)
+        if part < n - 1:
+            found = materialize(found, "decontaminated")
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
     return found.select("doc.row", "doc.text", "n_words", hit.alias("n_hit"), "spans", F.sort_array("items").alias("items")).withColumn(
         "contaminated", F.expr("n_hit > 0 and 20 * n_hit >= n_words"))
@@ -96,7 +104,7 @@ def kept(grams: np.ndarray, lo: np.ndarray, hi: np.ndarray, window: int) -> np.n
 class Index:
     """Fingerprints of some benchmark items, and their words' hashes."""
 
-    def __init__(self, ids: list[str | None], items: list[bytes], size: int):
+    def __init__(self, ids: list[list[str]], items: list[bytes], size: int):
         self.ids, self.size = ids, size
         self.words, self.first = word_hashes(items)
         n = np.diff(self.first)
@@ -120,15 +128,18 @@ class Postings:
         self.hashes, self.first, self.many = np.unique(hashes[order], return_index=True, return_counts=True)
         self.places = places[order]
 
-    def join(self, hashes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """All (place here, place there) with equal hashes."""
+    def join(self, hashes: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """All (place here, place there) with equal hashes, about PAIRS at a time."""
         if not len(self.hashes):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+            return
         row = np.searchsorted(self.hashes, hashes)
         row[row == len(self.hashes)] = 0
         same = self.hashes[row] == hashes
         row, at = row[same], at[same]
-        return np.repeat(at, self.many[row]), self.places[ranges(self.first[row], self.many[row])]
+        slice_of = np.cumsum(self.many[row]) // PAIRS
+        edges = [*np.flatnonzero(np.diff(slice_of, prepend=-1)).tolist(), len(row)]
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            yield np.repeat(at[a:b], self.many[row[a:b]]), self.places[ranges(self.first[row[a:b]], self.many[row[a:b]])]
 
 
 def extended(words: np.ndarray, lo: np.ndarray, hi: np.ndarray, at: np.ndarray, index: Index, there: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -163,16 +174,16 @@ def hits(docs: list[bytes], index: Index) -> tuple[np.ndarray, np.ndarray, np.nd
     if len(index.long.hashes):
         grams = mix(sums.fixed(GRAM))
         at = kept(grams, first[:-1], first[1:] - GRAM + 1, index.size - GRAM + 1)
-        at, there = index.long.join(grams[at], at)
-        found = extended(words, first[doc[at]], first[doc[at] + 1], at, index, there)
-        for out, x in zip((start, end, item), found, strict=True):
-            out.append(x)
+        for here, there in index.long.join(grams[at], at):
+            found = extended(words, first[doc[here]], first[doc[here] + 1], here, index, there)
+            for out, x in zip((start, end, item), found, strict=True):
+                out.append(x)
     for length, postings in index.short.items():
         at = ranges(first[:-1], np.maximum(n - length + 1, 0))
-        at, there = postings.join(sums.hash(at, at + length), at)
-        start.append(at)
-        end.append(at + length)
-        item.append(index.item[there])
+        for here, there in postings.join(sums.hash(at, at + length), at):
+            start.append(here)
+            end.append(here + length)
+            item.append(index.item[there])
     start, end, item = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (start, end, item))
     return first, start, end, doc[start], item
 
@@ -199,7 +210,7 @@ def search(batches, index: Index):
                 e = np.concatenate([end[mine] - lo, np.array([x["end"] for x in was], np.int64)])
                 edge = np.flatnonzero(np.diff(covered(int(first[d + 1] - lo), s, e), prepend=False, append=False)).tolist()
                 spans.append([{"start": x, "end": y} for x, y in zip(edge[0::2], edge[1::2], strict=True)])
-                items.append(sorted({index.ids[i] for i in np.unique(item[mine])} - {None} | set(old_items[a + d])))
+                items.append(sorted({x for i in np.unique(item[mine]) for x in index.ids[i]} | set(old_items[a + d])))
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc"), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
              pa.array(items, pa.list_(pa.string())), pa.array(n_words, pa.int64())], ["doc", "spans", "items", "n_words"])
