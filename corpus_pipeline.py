@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialize, quoted
 from tidemark.llm.decontaminate import decontaminate
-from tidemark.llm.language_id import NO_LETTER, identify, learn
+from tidemark.llm.language_id import NO_LETTER, PREDICTED, identify, learn
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.simhash import keep_one_of_each
 from tidemark.llm.suffix_dedup import dedup_suffixes
@@ -29,10 +29,15 @@ def as_documents(docs: DataFrame, found: DataFrame, text) -> DataFrame:
     return found.select(*[column[c].alias(c) for c in docs.columns])
 
 
-def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str, languages: tuple[str, ...] = (), least_score: float = 0.0) -> DataFrame:
     """Documents with a language: those with a letter, also when no label was there to learn from.  The label may be
-    missing or wrong; it stays as it is."""
+    missing or wrong; it stays as it is.  ``languages``: only documents predicted to be in one of them (empty: any);
+    ``least_score``: of predicted documents only those of at least that score.  Neither rejects unless it is given."""
     found = identify(docs, learn(docs)).filter(F.col("outcome") != NO_LETTER)
+    if languages:
+        found = found.filter(F.col("lang_pred").isin(*languages))
+    if least_score:
+        found = found.filter((F.col("outcome") != PREDICTED) | (F.col("score") >= least_score))
     return found.select(*[(F.col("text") if c == "text" else F.col(f"row.{quoted(c)}")).alias(c) for c in docs.columns])
 
 
