@@ -73,6 +73,11 @@ def batch_history_rows(journal: DataFrame, batch_col: str, loaded_at_ns: int) ->
              "validated_date")
 
 
+def batch_history_row(load_id: int, last_message_id: int | None, event_time: int | None, loaded_at_ns: int) -> tuple:
+    """The same for one batch whose marks are known (in the order of the history's columns)."""
+    return "all", load_id, 0, loaded_at_ns, last_message_id, SUCCESSFUL, False, -1, False, event_time
+
+
 def offset_history_rows(starting: DataFrame, journal: DataFrame, loaded_at_ns: int) -> DataFrame:
     """'Initial' rows after the bootstrap: per table, the starting offset
     plus the snapshot reads ('r') journaled for it.
