@@ -117,3 +117,11 @@ def test_a_full_filter_says_nothing(spark):
     assert got[1] == ("other", 1.0) and got[2][1] < 0.2 and got[3] == ("und", 0.0)
     alone = li.Filters.of(["full"], np.zeros(len(grams), np.int64), grams)
     assert {(g.lang_pred, g.score) for g in li.identify(docs.limit(2), alone).collect()} == {("full", 0.0)}
+
+
+def test_a_language_without_ngrams_is_not_one(spark):
+    rows = [(1, "the quick brown fox jumps", "en"), (2, "...", "aa"), (4, "der schnelle braune Fuchs", "de"), (3, "12", "zz")]
+    filters = li.learn(spark.createDataFrame([(i * 6 + 1, t, x) for i, t, x in rows] + [(i * 6 + 2, t, x) for i, t, x in rows], "doc_id long, text string, lang string"))
+    assert filters.languages == ["de", "en"]
+    grams, first = li.ngrams(["the quick brown fox jumps"])
+    assert filters.counts(grams, first).argmax() == 1

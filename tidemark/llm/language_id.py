@@ -65,6 +65,16 @@ class Filters:
             np.bitwise_or.at(slots, (language // 64, place), np.uint64(1) << (language % 64).astype(np.uint64))
         return cls(languages, slots)
 
+    def without_empty(self) -> Filters:
+        """The same without languages that have no n-gram."""
+        some = np.flatnonzero(self.false_share > 0).tolist()
+        if len(some) == len(self.languages):
+            return self
+        out = Filters([self.languages[k] for k in some])
+        for new, k in enumerate(some):
+            out.slots[new // 64] |= (self.slots[k // 64] >> np.uint64(k % 64) & np.uint64(1)) << np.uint64(new % 64)
+        return Filters(out.languages, out.slots)
+
     def counts(self, grams: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Corrected counts of the n-grams that each language contains: (documents, languages)."""
         n = np.diff(first)
@@ -145,16 +155,16 @@ def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str =
     least = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min_share * n)])
     held = held.filter(F.col("docs") >= F.element_at(least, F.col("lang")))
     # bits of the slots are set in Spark: at most SLOTS rows for 64 languages come to the driver, whatever the n-grams
-    languages = sorted(r.lang for r in held.select("lang").distinct().collect())
-    number = F.element_at(F.create_map(*[F.lit(x) for k, lang in enumerate(languages) for x in (lang, k)]), F.col("lang")) if languages else F.lit(0)
+    languages = sorted(sizes)
+    number = F.element_at(F.create_map(*[F.lit(x) for k, lang in enumerate(languages) for x in (lang, k)]), F.col("lang"))
     bits = SLOTS.bit_length() - 1
     places_of = F.array(*[F.shiftright("gram", k * bits).bitwiseAND(SLOTS - 1) for k in range(HASHES)])
     found = held.select(number.alias("k"), F.explode(places_of).alias("slot")).groupBy(
         F.floor(F.col("k") / 64).cast("int").alias("w"), "slot").agg(
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("k") % 64).cast("int"))).alias("bits")).toArrow()
-    filters = Filters(languages)
-    filters.slots[found.column("w").to_numpy(), found.column("slot").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
-    return Filters(languages, filters.slots)
+    slots = Filters(languages).slots
+    slots[found.column("w").to_numpy(), found.column("slot").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    return Filters(languages, slots).without_empty()
 
 
 def held_out(key):
