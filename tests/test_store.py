@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from helpers import RAW_SCHEMA, SENTINEL, envelope, raw_rows
 from tidemark.operators import dedupe_index, intervals
 from tidemark.operators.apply import apply_changes, archive_rows, rejects
-from tidemark.operators.journal import batch_ranges, in_range
+from tidemark.operators.journal import batch_ranges, in_range, range_number
 from tidemark.operators.route import apply_routed, archive_routed, from_wide, rejects_routed, routed
 from tidemark.operators.selection import cut_points, nth_value
 from tidemark.operators.validate import checksum_summary, diff_summary, key_bucket, unequal_buckets
@@ -200,6 +200,8 @@ def test_ranges_hold_no_more_than_asked_for(spark):
     counts = [(s.count(), s.select("event_time").distinct().count()) for s in sizes]
     assert sum(c for c, _ in counts) == len(times) and all(c <= 30 or kinds <= 1 for c, kinds in counts)
     assert len(bounds) <= 2 * len(times) // 30 + 4
+    numbered = df.withColumn("k", range_number(bounds))
+    assert [numbered.filter(in_range(b)).select("k").distinct().collect() for b in bounds] == [[(k,)] for k in range(len(bounds))]
     assert batch_ranges(df.limit(0), 30) == [] and batch_ranges(df, 10 ** 6) == [(None, None)]
     assert cut_points(df.filter("event_time = 5"), F.col("event_time"), 2)[0] == []
 

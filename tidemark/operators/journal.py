@@ -129,3 +129,16 @@ def in_range(bounds: tuple[int | None, int | None]):
     if lo is None:
         return F.lit(True) if hi is None else t.isNull() | (t < F.lit(hi))
     return (t >= F.lit(lo)) if hi is None else (t >= F.lit(lo)) & (t < F.lit(hi))
+
+
+def range_number(ranges: list[tuple[int | None, int | None]]):
+    """The number of the range that an event time lies in, by halving: the expression is as deep as the logarithm of
+    the number of ranges."""
+
+    def among(lo: int, hi: int):
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi + 1) // 2
+        return F.when(F.col("event_time") >= F.lit(ranges[mid][0]), among(mid, hi)).otherwise(among(lo, mid - 1))
+
+    return among(0, len(ranges) - 1)
