@@ -141,3 +141,45 @@ def test_parts_of_elias_fano_lists_are_selected():
         for lo, hi in ((0, n), (0, 0), (n, n), *[sorted(r.integers(0, n + 1, 2).tolist()) for _ in range(20)]):
             assert (held.part(lo, hi) == values[lo:hi]).all()
         assert [held.select(i) for i in range(0, n, 97)] == values[::97].tolist()
+
+
+class Counting:
+    """The library's tokenizer, which counts the texts it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.given = tokenizer, 0
+
+    def encode_batch_fast(self, texts, **how):
+        self.given += len(texts)
+        return self.tokenizer.encode_batch_fast(texts, **how)
+
+
+def test_new_pieces_are_encoded_together_and_known_ones_not_at_all(tokenizer):
+    with open(bpe.tokenizer_file()) as f:
+        coder = bpe.Encoder(f.read())
+    text = " ".join(f"w{i}x" for i in range(5000))
+    coder.tokenizer = Counting(coder.tokenizer)
+    assert coder.encode([text])[0].tolist() == ids_of(tokenizer, text)
+    given = coder.tokenizer.given
+    assert given <= 5000 / bpe.TOGETHER + 2
+    assert coder.encode([text, text])[0].tolist() == 2 * ids_of(tokenizer, text)
+    assert coder.tokenizer.given == given
+
+
+def test_pieces_that_differ_little_are_told_apart(tokenizer, coder):
+    texts = [f"{lead}{'x' * n}{tail}" for n in (0, 1, 5, 6, 7, 8, 9, 13, 14, 15, 16, 17, 24) for lead in ("", "k ", "\0", "k \0") for tail in ("", "\0", "\0\0", "y")]
+    texts += [f"a{c}b {c}c{c} d\n{c}\ne {c}{c} f" for c in "\x1c\x1f\x85\xa0 ᠎  ​    　Ġ﻿\r\v"]
+    for _ in range(2):
+        for some in (texts, texts[::-1]):
+            ids, many = coder.encode(some)
+            for t, got in zip(some, np.split(ids, np.cumsum(many)[:-1]), strict=True):
+                assert got.tolist() == ids_of(tokenizer, t)
+
+
+def test_a_table_that_fills_grows(tokenizer):
+    with open(bpe.tokenizer_file()) as f:
+        coder = bpe.Encoder(f.read())
+    for k in range(3):
+        text = " ".join(f"{i:x}" for i in range(k * 9000, k * 9000 + 12000))
+        assert coder.encode([text])[0].tolist() == ids_of(tokenizer, text)
+    assert len(coder.table) >= 2 * coder.known

@@ -335,7 +335,7 @@ class AutomatonEncoder(Encoder):
         like = "".join("\u0378" if c in self.newer else c for c in piece)  # a code point that no table knows
         return [piece[m.start():m.end()] for m in self.word.finditer(like)]
 
-    def remember(self, pieces: list[str]) -> None:
+    def ids_of(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         every = [self.words(p) for p in pieces]
         number: dict[str, int] = {}
         which = np.fromiter((number.setdefault(w, len(number)) for words in every for w in words), np.int64)
@@ -346,17 +346,9 @@ class AutomatonEncoder(Encoder):
             ids = np.insert(ids, (np.cumsum(many) - many)[at], [special[s] for s in special if s in number])
             many[at] = 1
         start = np.cumsum(many) - many
-        flat = ids[ranges(start[which], many[which])]
         size = np.add.reduceat(np.append(many[which], 0), np.cumsum([0, *map(len, every[:-1])])) if every else np.zeros(0, np.int64)
         size[[not words for words in every]] = 0
-        n, total = len(self.code), len(flat)
-        self.code.update(zip(pieces, range(n, n + len(pieces)), strict=True))
-        self.start, self.length, self.uses = (room(x, n, len(pieces)) for x in (self.start, self.length, self.uses))
-        self.start[n:n + len(pieces)] = self.used + np.cumsum(size) - size
-        self.length[n:n + len(pieces)], self.uses[n:n + len(pieces)] = size, 0
-        self.ids = room(self.ids, self.used, total)
-        self.ids[self.used:self.used + total] = flat
-        self.used += total
+        return ids[ranges(start[which], many[which])], size
 
 
 def kept(name: str, given, make):
@@ -397,7 +389,7 @@ def encode(batches, compiled: Given):
     for batch in batches:
         docs = texts(batch)
         for a, b in chunks(docs):
-            ids, many = coder.encode([d.decode() for d in docs[a:b]])
+            ids, many = coder.encode_bytes(docs[a:b])
             ends = 4 * np.cumsum(many)  # each text's ids have an end mark after them, which is not asked for here
             raw = ids.astype("<u4").tobytes()
             parts = [raw[e - 4 * n:e - 4] for e, n in zip(ends.tolist(), many.tolist(), strict=True)]
