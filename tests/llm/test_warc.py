@@ -145,3 +145,60 @@ def test_text_of_generated_pages():
         page = warc.parsed(("<!DOCTYPE html><html><head><title>t</title></head><body>" + "".join(p[0] for p in parts) + "</body></html>").encode())
         lines = (" ".join(x.split()) for line in "".join(p[1] for p in parts).split("\0") for x in line.split("\n"))
         assert page.text().split("\n") == [x for x in lines if x] or not any(lines)
+
+
+class Plain(warc.Page):
+    """Every construct by the library's parser."""
+
+    def ordinary(self, i):
+        return i
+
+
+def seen(kind, text):
+    page = kind()
+    page.feed(text)
+    page.close()
+    return page.parts, page.links, page.skipped, page.title, page.lang, page.charset, page.base
+
+
+def test_ordinary_tags_are_read_as_the_parser_reads_them():
+    import random
+
+    r = random.Random(5)
+    parts = ["<", ">", "</", "/>", "/ >", "=", "==", "\"", "'", " ", "\n", "\t", "\f", "\v", "\u00a0", "\x1c", "\0", "&amp;", "&lt", "&", "&#65;", "text", "x",
+             "<p>", "</p>", "<P >", "</P\n>", "</ p>", "</p x>", "</>", "<br/>", "<br />", "<br / >", "<p/x>", "<a", "<A HREF=/x>", "<a href='/y&amp;z'>",
+             "<a href=\"/q\" class=c>", "<a href=/x/>", "<a href=x />", "<img src=i.png/>", "<img src=\"i\"/>", "<a href=\"a\"href='b'>", "<a href = z>",
+             "<a href>", "<a href=>", "<a href=/>", "<a href='' href=2>", "<a\u00a0href=1>", "<a href=1\u00a0b=2>", "<a href=\"1\"\u00a0b=2>", "<a b=\"", "<a b='>",
+             "<a @x=1 href=2>", "<base href=/b>", "<html lang=en>", "<meta charset='utf-8'/>", "<title>", "</title>", "<script>", "<script src=s>", "</script>",
+             "</script >", "</SCRIPT>", "<style>", "</style>", "<style/>", "<textarea>", "</textarea>", "<svg>", "</svg>", "<desc>", "<head>", "</head>", "<body>",
+             "<!doctype html>", "<!-- c > -->", "<!-->", "<!--", "-->", "<!x>", "<![if]>", "<![", "<?pi?>", "<?", "<x-y>", "<x:y z>", "<h1 a b c=d e>", "<\u00e9>",
+             "<p\u00e9>", " href=1", " href", ">"]
+    for _ in range(20000):
+        text = "".join(r.choice(parts) for _ in range(r.randrange(1, 25)))
+        assert seen(warc.Page, text) == seen(Plain, text), text
+
+
+def test_the_parser_is_asked_for_what_is_not_ordinary_only(monkeypatch):
+    asked = []
+    real = warc.HTMLParser.parse_starttag
+    monkeypatch.setattr(warc.HTMLParser, "parse_starttag", lambda self, i: asked.append(i) or real(self, i))
+    page = warc.parsed(b"<!DOCTYPE html><html lang=en>" + b"<p class='x'>a<br/><a href=\"/y\">b</a></p>" * 500)
+    assert page.text() == "\n".join(["a", "b"] * 500) and len(page.links) == 500 and page.lang == "en"
+    assert len(asked) <= 1
+
+
+@pytest.mark.parametrize("base", ["", "http://a.example", "http://a.example/x/y?z#w", "HTTPS://A.example:80/x/", "mailto:a@b", "x", "/x/y", "http:x", "http://[bad", "//h/x",
+                                  "ftp://f/x;p", "data:,x", "http://a.example/%20", "http://\u2100.example/"])
+def test_links_are_joined_as_urljoin_does(base):
+    links = ["/a", "/a/b-c_d", "/\u00fcber", "/a//b", "//h/a", "/../a", "/a/", "/a?b", "/a;b", " /a ", "\t/a", "/a b", "a", "", " ", "#x", "http://a.example", "http://a.example/",
+             "https://b.example/c/../d/%41~x.html", "https://b.example//c", "http://b.example:8/c", "http://B.example/c", "http://b..example/", "http://b.example/c ", "http://[bad",
+             "http://b.example/c?", "http://b.example/c#", "HTTP://b.example/", "javascript:x", "http:/a", "http:a", "/a\n"]
+    assert warc.outlinks(base, links) == [warc.joined(base, x) for x in links]
+
+
+def test_digests_of_parts():
+    import random
+
+    for n in (0, 1, 63, 64, 1000):
+        data = random.Random(n).randbytes(n)
+        assert warc.digest(data) == sha1(data) == warc.digest(data[:n // 2], data[n // 2:])

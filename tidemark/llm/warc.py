@@ -22,16 +22,20 @@ table gives an empty result and no file.  A character set that cannot be
 decoded with counts as UTF-8, a marked section as a comment; a start tag
 that cannot stand in an unclosed ``svg`` ends it.  ``row`` holds the key,
 and what other columns ``carry`` names.
+
+Pages are read by the standard library's parser.  Ordinary text and tags
+after each of its steps are read by one pattern, which takes only what
+that parser reads alike; attributes are parsed where one is looked at.
 """
 
 from __future__ import annotations
 
-import base64
 import gzip
 import hashlib
 import re
 import uuid
 import zlib
+from html import unescape
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
@@ -58,6 +62,18 @@ INSIDE_SVG = frozenset(("foreignobject", "desc"))  # parts of an svg where HTML
 BLOCKS = frozenset(("address", "article", "aside", "blockquote", "body", "br", "dd", "div", "dl", "dt", "fieldset", "figcaption", "figure",
                     "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "li", "main", "nav", "ol", "p", "pre",
                     "section", "table", "td", "th", "title", "tr", "ul"))
+READ = frozenset(("html", "meta", "base", "title", "a", "area", "img", "iframe", "script"))  # tags with more to them than text
+# Elements whose content the parser of some Python version reads as text.
+RAW = frozenset(("script", "style", "title", "textarea", "plaintext", "xmp", "iframe", "noembed", "noframes", "noscript"))
+VALUE = r"""(?:"[^"]*"|'[^']*'|[^\s"'>=][^\s>]*+)"""
+ORDINARY = re.compile(  # text, and an end tag or a start tag
+    r"([^<]*+)<(?:/([a-zA-Z][a-zA-Z0-9]*+)[ \t\n\r\f]*+>"
+    rf"|([a-zA-Z][a-zA-Z0-9]*+)((?:[ \t\n\r\f]++[a-zA-Z][a-zA-Z0-9_:.-]*+(?:={VALUE})?+)*+)[ \t\n\r\f]*+(/?)>)")
+ATTRIBUTE = re.compile(rf"([a-zA-Z][a-zA-Z0-9_:.-]*+)(?:=({VALUE}))?+")
+# Links that urljoin gives back unchanged, and those it puts after scheme and host.
+WHOLE = re.compile(r"https?://[a-z0-9-]+(?:\.[a-z0-9-]+)*+(?:/[\w~.%-]*+)*+")
+ROOTED = re.compile(r"/[\w-]++(?:/[\w-]++)*+")
+PAIRS = [a + b for a in "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567" for b in "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"]  # base 32
 
 
 def as_responses(pages: DataFrame, key: str = "page_id", uri: str = "url", html: str = "html",
@@ -93,19 +109,8 @@ class Page(HTMLParser):
         self.in_title = False
 
     def handle_starttag(self, tag, attrs):
-        values = {k: v or "" for k, v in attrs} if attrs else {}
-        if tag == "html":
-            self.lang = self.lang or values.get("lang", "")
-        elif tag == "meta":
-            self.charset = self.charset or values.get("charset", "")
-        elif tag == "base":
-            self.base = self.base or values.get("href", "")
-        elif tag == "title":
-            self.in_title = "svg" not in self.skipped
-        if tag in ("a", "area") and values.get("href"):
-            self.links.append(values["href"])
-        elif tag in ("img", "iframe", "script") and values.get("src"):
-            self.links.append(values["src"])
+        if tag in READ:
+            self.read_tag(tag, {k: v or "" for k, v in attrs})
         if self.skipped:
             if self.skipped[-1] == "svg":
                 if tag in BREAKOUT:
@@ -121,6 +126,21 @@ class Page(HTMLParser):
         elif tag in BLOCKS:
             self.parts.append("\n")
 
+    def read_tag(self, tag, values):
+        if tag == "html":
+            self.lang = self.lang or values.get("lang", "")
+        elif tag == "meta":
+            self.charset = self.charset or values.get("charset", "")
+        elif tag == "base":
+            self.base = self.base or values.get("href", "")
+        elif tag == "title":
+            self.in_title = "svg" not in self.skipped
+        elif tag in ("a", "area"):
+            if values.get("href"):
+                self.links.append(values["href"])
+        elif values.get("src"):
+            self.links.append(values["src"])
+
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag in self.skipped:
@@ -149,6 +169,41 @@ class Page(HTMLParser):
         while self.skipped and self.skipped[-1] == "head":
             self.skipped.pop()
 
+    def ordinary(self, i):
+        """Reads ordinary text and tags from place i on, if it is one, and returns the place after them."""
+        if i < 0 or self.cdata_elem is not None:
+            return i
+        match, text = ORDINARY.match, self.rawdata
+        while found := match(text, i):
+            data, ended, started, attrs, empty = found.groups()
+            if data:
+                self.handle_data(unescape(data))
+            if ended:
+                self.handle_endtag(ended.lower())
+            else:
+                tag = started.lower()
+                if tag in RAW:
+                    return found.end(1)
+                values = [(k.lower(), unescape(v[1:-1] if v[:1] in "'\"" else v)) for k, v in ATTRIBUTE.findall(attrs)] if tag in READ else []
+                if empty:
+                    self.handle_startendtag(tag, values)
+                else:
+                    self.handle_starttag(tag, values)
+            i = found.end()
+        return i
+
+    def parse_starttag(self, i):
+        return self.ordinary(super().parse_starttag(i))
+
+    def parse_endtag(self, i):
+        return self.ordinary(super().parse_endtag(i))
+
+    def parse_pi(self, i):
+        return self.ordinary(super().parse_pi(i))
+
+    def parse_html_declaration(self, i):
+        return self.ordinary(super().parse_html_declaration(i))
+
     def parse_marked_section(self, i, report=1):
         """Of any name: HTML has none and takes it for a comment, up to the text's end if it is not closed."""
         end = self.parse_bogus_comment(i, report)
@@ -158,16 +213,16 @@ class Page(HTMLParser):
         """HTML's two abrupt ends, and a comment that is not closed, which goes up to the text's end."""
         for whole in ("<!-->", "<!--->"):
             if self.rawdata.startswith(whole, i):
-                return i + len(whole)
+                return self.ordinary(i + len(whole))
         end = super().parse_comment(i, report)
-        return len(self.rawdata) if end < 0 else end
+        return len(self.rawdata) if end < 0 else self.ordinary(end)
 
     def updatepos(self, i, j):  # nobody asks for line numbers
         return j
 
     def text(self) -> str:
-        lines = (" ".join(line.split()) for line in "".join(self.parts).split("\n"))
-        return "\n".join(line for line in lines if line)
+        lines = map(" ".join, map(str.split, "".join(self.parts).split("\n")))
+        return "\n".join(filter(None, lines))
 
 
 def parsed(payload: bytes, charset: str = "utf-8") -> Page:
@@ -181,8 +236,16 @@ def parsed(payload: bytes, charset: str = "utf-8") -> Page:
     return page
 
 
-def digest(data: bytes) -> str:
-    return "sha1:" + base64.b32encode(hashlib.sha1(data, usedforsecurity=False).digest()).decode()
+def digest(*data: bytes) -> str:
+    """Of all the parts, one after the other."""
+    sha = hashlib.sha1(usedforsecurity=False)
+    for part in data:
+        sha.update(part)
+    raw, out = sha.digest(), "sha1:"
+    for i in range(0, 20, 5):  # five bytes are eight digits
+        n = int.from_bytes(raw[i:i + 5])
+        out += PAIRS[n >> 30] + PAIRS[n >> 20 & 1023] + PAIRS[n >> 10 & 1023] + PAIRS[n & 1023]
+    return out
 
 
 def line(value: str | None) -> str:
@@ -204,23 +267,24 @@ def derive(batches):
         rows, out = [], []
         for i, r in enumerate(batch.select(["record_id", "target_uri", "date", "http", "payload"]).to_pylist()):
             payload, http = r["payload"] or b"", r["http"] or ""
-            source_digest, source_block = digest(payload), digest(http.encode() + b"\r\n" + payload)
+            source_digest, source_block = digest(payload), digest(http.encode(), b"\r\n", payload)
             declared = re.search(r"(?im)^content-type:.*?charset=[\"']?([\w.:-]+)", http)
             page = parsed(payload, declared[1] if declared else "utf-8")
             uri = safe_uri(r["target_uri"])
             ids = {k: record_id(r["record_id"], k) for k in ("metadata", "conversion")}
             base = urljoin(uri, page.base) if page.base else uri
             fields = [("title", " ".join(page.title.split())), ("language", page.lang), ("charset", page.charset or (declared[1] if declared else "")),
-                      *[("outlink", joined(base, x)) for x in dict.fromkeys(page.links)],
+                      *[("outlink", x) for x in outlinks(base, dict.fromkeys(page.links))],
                       *[("source-http-header", x) for x in http.splitlines() if x],
                       ("source-payload-digest", source_digest), ("source-block-digest", source_block)]
-            blocks = {"metadata": "".join(f"{k}: {line(v)}\r\n" for k, v in fields if line(v)).encode(), "conversion": page.text().encode()}
+            blocks = {"metadata": "".join([f"{k}: {x}\r\n" for k, v in fields if (x := line(v))]).encode(), "conversion": page.text().encode()}
             kinds = {"metadata": "application/warc-fields", "conversion": "text/plain; charset=utf-8"}
             for kind, other in (("metadata", "conversion"), ("conversion", "metadata")):
                 block = blocks[kind]
+                block_digest = digest(block)
                 about = {"record_type": kind, "record_id": ids[kind], "refers_to": r["record_id"], "concurrent_to": ids[other], "target_uri": uri or None,
-                         "date": r["date"], "content_type": kinds[kind], "source_payload_digest": source_digest, "payload_digest": digest(block),
-                         "block_digest": digest(block)}
+                         "date": r["date"], "content_type": kinds[kind], "source_payload_digest": source_digest, "payload_digest": block_digest,
+                         "block_digest": block_digest}
                 rows.append(i)
                 out.append(about | {"headers": headers(about, len(block)), "block": block})
         table = pa.Table.from_pylist(out, pa.schema([(n, pa.binary() if n == "block" else pa.string()) for n in NAMES]))
@@ -228,6 +292,19 @@ def derive(batches):
         yield from table.add_column(0, "row", row).combine_chunks().to_batches()
 
 
+def outlinks(base: str, links) -> list[str]:
+    """The links as seen from ``base``."""
+    out, root = [], None
+    for link in links:
+        if ROOTED.fullmatch(link):
+            if root is None:
+                root = joined(base, "/a")[:-1]
+            out.append(root + link[1:])
+        else:
+            out.append(link if WHOLE.fullmatch(link) else joined(base, link))
+    return out
+
+
 def joined(base: str, link: str) -> str:
     try:
         return safe_uri(urljoin(base, link.strip()))
@@ -241,7 +318,7 @@ def headers(about: dict, length: int) -> str:
              ("WARC-Refers-To-Date", about["date"]), ("WARC-Concurrent-To", about["concurrent_to"]),
              ("WARC-Source-Payload-Digest", about["source_payload_digest"]), ("WARC-Payload-Digest", about["payload_digest"]),
              ("WARC-Block-Digest", about["block_digest"]), ("Content-Type", about["content_type"]), ("Content-Length", str(length))]
-    return "WARC/1.1\r\n" + "".join(f"{k}: {line(v)}\r\n" for k, v in named if v) + "\r\n"
+    return "WARC/1.1\r\n" + "".join([f"{k}: {line(v)}\r\n" for k, v in named if v]) + "\r\n"
 
 
 def write_warc(records: DataFrame, path: str) -> list[str]:
