@@ -65,6 +65,7 @@ BLOCKS = frozenset(("address", "article", "aside", "blockquote", "body", "br", "
 READ = frozenset(("html", "meta", "base", "title", "a", "area", "img", "iframe", "script"))  # tags with more to them than text
 # Elements whose content the parser of some Python version reads as text.
 RAW = frozenset(("script", "style", "title", "textarea", "plaintext", "xmp", "iframe", "noembed", "noframes", "noscript"))
+APART = READ | SKIPPED | RAW
 VALUE = r"""(?:"[^"]*"|'[^']*'|[^\s"'>=][^\s>]*+)"""
 ORDINARY = re.compile(  # text, and an end tag or a start tag
     r"([^<]*+)<(?:/([a-zA-Z][a-zA-Z0-9]*+)[ \t\n\r\f]*+>"
@@ -173,15 +174,26 @@ class Page(HTMLParser):
         """Reads ordinary text and tags from place i on, if it is one, and returns the place after them."""
         if i < 0 or self.cdata_elem is not None:
             return i
-        match, text = ORDINARY.match, self.rawdata
+        match, text, add = ORDINARY.match, self.rawdata, self.parts.append
         while found := match(text, i):
             data, ended, started, attrs, empty = found.groups()
+            visible = not self.skipped and not self.in_title
             if data:
-                self.handle_data(unescape(data))
+                data = unescape(data) if "&" in data else data
+                add(data) if visible else self.handle_data(data)
             if ended:
-                self.handle_endtag(ended.lower())
+                tag = ended.lower()
+                if not visible:
+                    self.handle_endtag(tag)
+                elif tag in BLOCKS:
+                    add("\n")
             else:
                 tag = started.lower()
+                if visible and tag not in APART:
+                    if tag in BLOCKS:
+                        add("\n")
+                    i = found.end()
+                    continue
                 if tag in RAW:
                     return found.end(1)
                 values = [(k.lower(), unescape(v[1:-1] if v[:1] in "'\"" else v)) for k, v in ATTRIBUTE.findall(attrs)] if tag in READ else []
@@ -221,8 +233,15 @@ class Page(HTMLParser):
         return j
 
     def text(self) -> str:
-        lines = map(" ".join, map(str.split, "".join(self.parts).split("\n")))
-        return "\n".join(filter(None, lines))
+        lines = (tidy(line) for line in "".join(self.parts).split("\n") if line)
+        return "\n".join(line for line in lines if line)
+
+
+def tidy(text: str) -> str:
+    """Its words, a space between them."""
+    if "  " not in text and text.isprintable():  # no other white space than single spaces
+        return text.strip(" ")
+    return " ".join(text.split())
 
 
 def parsed(payload: bytes, charset: str = "utf-8") -> Page:
@@ -349,16 +368,19 @@ def read_warc(spark: SparkSession, files: list[str]) -> DataFrame:
     return paths.mapInArrow(read_files, "headers map<string,string>, block binary")
 
 
+READ_BYTES = 1 << 15  # each member takes with it a copy of what is left of them
+
+
 def members(source):
     """The gzip members of a stream, one at a time."""
     rest = b""
     while True:
-        rest = rest or source.read(1 << 20)
+        rest = rest or source.read(READ_BYTES)
         if not rest:
             return
         member, parts = zlib.decompressobj(31), []
         while not member.eof:
-            if not rest and not (rest := source.read(1 << 20)):
+            if not rest and not (rest := source.read(READ_BYTES)):
                 raise ValueError("a WARC file ends inside a record")
             parts.append(member.decompress(rest))
             rest = member.unused_data
@@ -371,7 +393,7 @@ def read_files(batches):
         for file in batch.column("file").to_pylist():
             store, name = fs.FileSystem.from_uri(file)
             heads, bodies, size = [], [], 0
-            with store.open_input_stream(name, compression=None) as source:
+            with store.open_input_stream(name, compression=None, buffer_size=1 << 20) as source:
                 for record in members(source):
                     head, _, body = record.partition(b"\r\n\r\n")
                     named = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:])
