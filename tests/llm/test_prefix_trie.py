@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -21,7 +22,8 @@ def brute(rows):
     whole = {}
     for c, own in said.items():
         h = zlib.crc32(str(c).encode()) % 4
-        whole[c] = tuple(said.get(c - c % 20, [])[:h] + own[h:])
+        base = c - int(math.fmod(c, 20))  # as in SQL, towards zero
+        whole[c] = tuple(said.get(base, [])[:h] + own[h:])
     members, children = defaultdict(list), defaultdict(set)
     for c, turns in whole.items():
         for d in range(len(turns) + 1):

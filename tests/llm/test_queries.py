@@ -13,11 +13,12 @@ COLUMNS = {
     "op6_decontaminate": "doc_id n_words n_hit n_items items_sha256 contaminated", "op7_substring_dedup": "doc_id n_words n_removed kept_sha256",
     "op9_pack": "doc_id start length ids_crc32 doc_tokens sequence_id offset", "op10_simhash_near_dedup": "doc_id fingerprint component_id",
 }
-ROWS = {"op1_warc_derivatives": ("pages", 2), "op5_embedding_near_dedup": ("embeddings", 1), "op9_pack": None}
+ROWS = {"op1_warc_derivatives": ("pages", 2), "op5_embedding_near_dedup": ("embeddings", 1), "op9_pack": None,
+        "op12_conversation_trie": None, "op13_collocations": None}
 
 
-def test_ten_queries():
-    assert sorted(int(n[2:].split("_")[0]) for n in REGISTRY) == list(range(1, 11))
+def test_thirteen_queries():
+    assert sorted(int(n[2:].split("_")[0]) for n in REGISTRY) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(REGISTRY))
@@ -31,7 +32,7 @@ def test_query(spark, name):
     if name not in ORACLE:
         return
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "embeddings"):
+    for t in ("documents", "benchmark", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     want = con.execute(ORACLE[name])
     order = [got.columns.index(d[0]) for d in want.description]
