@@ -1,0 +1,65 @@
+"""A step's work: one shuffle to dedupe a batch and one to apply it, with the results of the longer ways."""
+
+import random
+
+import pytest
+
+from conftest import MSG_SCHEMA
+from helpers import RAW_SCHEMA, envelope, raw_rows
+from test_growth import SPEC, raw
+from tidemark.operators import route
+from tidemark.operators.journal import dedupe
+from tidemark.session import work_dir
+from tidemark.sources.store import CdcStore
+from tidemark.spec import TableSpec
+
+OTHER = TableSpec(name="others", key="k", row_schema="k INT, w DOUBLE, valid_from BIGINT, valid_to BIGINT")
+
+
+@pytest.mark.parametrize("there", [False, True])
+def test_one_shuffle_applies_as_the_joins_do(spark, there):
+    rng, rows = random.Random(5), []
+    for i in range(600):
+        spec = rng.choice([SPEC, OTHER])
+        key, t = (1 if i % 3 == 0 else rng.randrange(40)), rng.randrange(25)
+        after = {SPEC.name: f'{{"id": {key}, "v": "m{i}", "valid_from": {t}, "valid_to": 0}}',
+                 OTHER.name: f'{{"k": {key}, "w": {i}.5, "valid_from": {t}, "valid_to": 0}}'}[spec.name]
+        op = rng.choice("ccuuud")
+        rows.append((i if i % 50 else 7, op, "dbo", rng.choice([spec.name] * 9 + ["nowhere"]), t, None,
+                     None if op == "d" else after[:9] if i % 29 == 0 else after, key if i % 41 else None, t if i % 37 else None))
+    specs = [SPEC, OTHER]
+    msgs = route.routed(spark.createDataFrame(rows, MSG_SCHEMA), specs)
+    existing = None
+    if there:
+        have = [(k, f"old{n}", k, 0) for k in range(0, 60, 2) for n in range(2 if k == 50 else 1)] + [(None, "nobody", 1, 0)]
+        existing = route.to_wide(spark.createDataFrame(have, SPEC.row_schema), SPEC).unionByName(
+            route.to_wide(spark.createDataFrame([(k, 0.5, 1, 0) for k in range(0, 60, 3)], OTHER.row_schema), OTHER), allowMissingColumns=True)
+    columns = ["of_table", "key_id", *[route.stored_name(f) for s in specs for f in s.struct.fields]]
+    columns = list(dict.fromkeys(columns))
+    got = route.apply_at_once(existing, msgs, specs, 3).select(*columns)
+    expected = route.apply_routed(existing, msgs, specs).select(*columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect())) and got.schema == expected.schema
+
+
+def test_a_batch_dealt_by_hash_is_deduped_as_any(spark):
+    rows = [(i, op, "dbo", table, t, None, image, key, t) for i, (op, table, t, image, key) in enumerate(
+        [("c", "items", 1, "a", 1), ("c", "items", 1, "a", 1), ("c", "items", 1, "b", 1), (None, None, None, None, None), ("r", "items", 1, "a", 1),
+         (None, None, None, None, None), ("u", None, None, None, None), ("u", None, None, None, None), ("c", "items", 1, "a", 1)] * 2)]
+    batch = spark.createDataFrame(rows, MSG_SCHEMA).repartition(3)
+    for preloaded in (False, True):
+        assert sorted(map(str, dedupe(batch, None, preloaded, 4).collect())) == sorted(map(str, dedupe(batch, None, preloaded).collect()))
+
+
+def test_copies_write_nothing(spark):
+    store = CdcStore(spark, work_dir(spark, "test-store"), [SPEC], buckets=2)
+    store.process_batch(raw(spark, range(20), 0), "s", 0)
+    changes = [envelope("u", "items", 100 + t, f'{{"id": {t}, "v": "v", "valid_from": {t}, "valid_to": 0}}',
+                        f'{{"id": {t}, "v": "w", "valid_from": {100 + t}, "valid_to": 0}}') for t in range(20)]
+    batch = spark.createDataFrame([(t, p, o + 100, k, v, ts) for (t, p, o, k, v, ts) in raw_rows(changes)], RAW_SCHEMA)
+    store.process_batch(batch, "s", 1)
+    before = store.state()
+    store.process_batch(batch, "s", 2)
+    assert store.state()["journal"] == before["journal"] and store.state()["current"] == before["current"]
+    assert sorted((r.id, r.v) for r in store.current(SPEC).collect()) == [(t, "w") for t in range(20)]
+    rows = spark.read.parquet(f"{store.root}/journal/{before['journal'][-1]['folder']}")
+    assert rows.count() == 20 and [r.batch for r in rows.select("batch").distinct().collect()] == [2]
